@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelake.llm import exact_dedup, mixing, packing, quality
+from tidelake.llm import exact_dedup, mixing, near_dedup, packing, quality
 from tidelake.llm.base import materialise
 
 
@@ -19,6 +19,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8."""
+    return near_dedup.keep(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.apply(docs)
@@ -29,7 +34,7 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return packing.digests(packing.pack(docs, packing.tokenizer_path()))
 
 
-STAGES = [("quality", keep_quality), ("exact_dedup", drop_copies), ("mixing", mix_sources), ("packing", pack_windows)]
+STAGES = [("quality", keep_quality), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("mixing", mix_sources), ("packing", pack_windows)]
 
 #: SQL can't express a trained classifier or a tokenizer.
 ORACLE_SQL = None

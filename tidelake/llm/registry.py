@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidelake.llm import chat, exact_dedup, mixing, near_dedup, packing, quality, telephony, warc
+from tidelake.llm import chat, exact_dedup, likelihood, mixing, near_dedup, packing, passages, quality, telephony, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_packing": packing.query,
     "op3_near_dedup": near_dedup.query,
+    "op4_passages": passages.query,
+    "op5_likelihood": likelihood.query,
     "op6_telephony": telephony.query,
     "op7_chat": chat.query,
     "op8_quality": quality.query,
