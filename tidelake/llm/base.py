@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +66,40 @@ def lower_ascii(text: str) -> str:
 
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with about `limit` bytes of the column each, a row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of the texts, all words in order as places in that list, and words per text."""
+    lists = pc.ascii_split_whitespace(texts)
+    coded = lists.flatten().dictionary_encode()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    if "" in words:
+        there = codes != words.index("")
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[there], minlength=len(sizes))
+        codes = codes[there]
+    return words, codes.astype(np.int64), sizes
+
+
+def remembered(words: list[str], known: dict, reading: Callable[[str], object], most: int = 400_000) -> list:
+    """reading(word) of each word; known keeps those of the first `most` words a worker meets."""
+    out = [known.get(w) for w in words]
+    room = len(known) < most
+    for i, x in enumerate(out):
+        if x is None:
+            out[i] = x = reading(words[i])
+            if room:
+                known[words[i]] = x
+    return out

@@ -13,20 +13,22 @@ as often as they occur; ids may be null; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.base import SPACES, materialise, text_of
+from tidelake.llm.base import by_bytes, materialise, split_words, text_of
 
 WIDTH, END_ID = 2048, 1
 #: Words whose ids a worker remembers; later words are encoded batch by batch.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 _tokenizers: dict[str, WordEncoder] = {}
 
@@ -35,44 +37,62 @@ class WordEncoder:
     """A tokenizer that drops white space, applied word by word.
 
     Such a tokenizer never merges over white space, so the ids of a text are
-    those of its words in order; each distinct word is encoded once.
+    those of its words in order; a word is encoded once for many texts.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        vocab = self.tokenizer.get_vocab()
+        self.kind = "<u2" if max(vocab.values()) < 1 << 16 else "<u4"
+        self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a run of letters
+        self.last[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids, as little-endian unsigned integers of self.kind."""
-        known, new, split = self.known, {}, []
-        for text in texts:
-            for c in SPACES[1:]:
-                if c in text:
-                    text = text.replace(c, " ")
-            split.append(words := text.split(" "))
-            new.update((w, None) for w in words if w not in known)
-        if new:
-            self._learn(list(new))
-            known = self.known
-        out = [b"".join([known[w] for w in words]) for words in split]
-        if len(known) > REMEMBERED:
-            self.known = dict(list(known.items())[:REMEMBERED])
-        return out
-
-    def _learn(self, words: list[str]) -> None:
-        # Letters before one ASCII mark are a piece of their own, and ASCII letters count in lower case.
-        parts = {}
-        for w in words:
-            body, mark = (w[:-1], w[-1]) if w[-1] in ".,;:!?" and w[:-1].isalpha() else (w, "")
-            parts[w] = (body.lower() if body.isascii() and body.isalpha() else body, mark)
-        todo = list({p for pair in parts.values() for p in pair if p not in self.known})
-        for word, found in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False), strict=True):
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and ids per text."""
+        # ASCII marks between a letter or digit and a word's end are a piece of their own.
+        words, codes, sizes = split_words(pc.replace_substring_regex(texts, r"([\pL\pN])([.,;:!?*#$%&]+)(\s|$)", r"\1 \2 \3"))
+        # ASCII letters count in lower case, but for the names of special tokens.
+        given = pa.array(words, pa.string())
+        low = pc.if_else(pc.match_substring(given, "<|"), given, pc.ascii_lower(given)).dictionary_encode()
+        words, codes = low.dictionary.to_pylist(), low.indices.to_numpy()[codes]
+        new = self._learn([w for w in words if w not in self.known])
+        each = [self.known[w] for w in words]
+        if len(self.known) > REMEMBERED:
+            for w in new:
+                del self.known[w]
+        flat = np.frombuffer(b"".join(each), self.kind)
+        count = np.array([len(x) for x in each], np.int32) // flat.itemsize
+        n = count[codes]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(count, dtype=np.int32) - count)[codes] - (ends - n).astype(np.int32), n)
+        at += np.arange(len(at), dtype=np.int32)
+        stops = np.append(0, ends)[np.cumsum(sizes)]
+        return flat[at], np.diff(stops, prepend=0)
+
+    def _learn(self, words: list[str]) -> list[str]:
+        """Adds the words to those known."""
+        runs = [w for w in words if w.isalpha()]
+        for k in range(0, len(runs), 4096):
+            self._learn_letters(runs[k : k + 4096])
+        self._learn_each([w for w in words if w not in self.known])
+        return words
+
+    def _learn_letters(self, runs: list[str]) -> None:
+        """Runs of letters, encoded as one text: each ends at an id that ends a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids, self.kind)
+        ends = (np.flatnonzero(self.last[ids]) + 1) * ids.itemsize
+        if len(ends) != len(runs):
+            return self._learn_each(runs)
+        raw, stops = ids.tobytes(), ends.tolist()
+        self.known.update(zip(runs, (raw[a:b] for a, b in zip([0, *stops], stops))))
+
+    def _learn_each(self, words: list[str]) -> None:
+        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
             self.known[word] = np.array(found.ids, self.kind).tobytes()
-        for w, (body, mark) in parts.items():
-            self.known[w] = self.known[body] + self.known[mark]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -89,14 +109,15 @@ def tokenise(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         part, at, enc = TaskContext.get().partitionId(), 0, encoder(path)
         end, size = np.array([end_id], enc.kind).tobytes(), int(enc.kind[2])
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                some = batch.slice(k, 512)
-                ids = [x + end for x in enc.encode(some.column(1).to_pylist())]
-                sizes = [len(x) // size for x in ids]
-                starts = list(accumulate(sizes, initial=at))
-                at = starts.pop()
+            for some in by_bytes(batch, 1):
+                flat, sizes = enc.encode(some.column(1))
+                stops = np.cumsum(sizes)
+                raw, ends = flat.tobytes(), (stops * size).tolist()
+                ids = [raw[a:b] + end for a, b in zip([0, *ends], ends)]
+                starts = at + stops - sizes + np.arange(len(ids))
+                at += len(flat) + len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array([part] * len(ids), pa.int32()), pa.array(starts, pa.int64())],
+                    [some.column(0), pa.array(ids, pa.binary()), pa.array(sizes + 1), pa.array(np.full(len(ids), part, np.int32)), pa.array(starts)],
                     ["doc_id", "ids", "doc_tokens", "__part", "__at"],
                 )
 
