@@ -18,10 +18,11 @@ number (optimal densification), so that small sets can be banded too.
 4. Verify: each class's most similar candidate of smaller id is checked on the
    full sets of the two texts; components of the links found are contracted,
    and the remaining pairs between components are checked.
-5. Large bands that still hold several components are compared in blocks of
-   `block` classes, each pair of blocks in a task of its own that returns only
-   similar pairs of different components; these are verified as in 4. So no
-   pair of a large band is left out, and no group's pairs are ever listed.
+5. Large bands that still hold several components are compared in blocks: the
+   band's rows outside its largest component, `block` at a time, with all its rows,
+   `block` at a time. A task compares two blocks' whole sets and returns a pair for
+   two components at most; these are verified as in 4. So no pair of a large band
+   is left out, and no group's pairs are ever listed.
 
 Components are tables throughout: each round hooks every root to its smallest
 neighbour, then jumps pointers until all are roots.
@@ -273,32 +274,69 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return relabel(relabel(ends, "__x", roots), "__y", roots).filter("__x <> __y").drop("__x", "__y")
 
 
-def _blocks(crowded: DataFrame, similarity: int, block: int) -> DataFrame:
-    """Similar pairs of different components inside large bands.
+def _crowded(placed: DataFrame) -> DataFrame:
+    """__band, __id, __root, __ku, __ka, __rest of bands that hold several components.
 
-    crowded: __band, __id, __root, __n, __regs. The rows of a band are dealt to
-    blocks of about `block`; each pair of blocks is compared in one group.
+    __rest: not in the band's largest component. __ku and __ka: numbers of blocks
+    for such rows, and for all rows.
     """
-    w = Window.partitionBy("__band")
-    dealt = crowded.withColumn("__k", F.ceil(F.count("*").over(w) / F.lit(block)).cast("int")).withColumn("__i", F.pmod(F.xxhash64("__id"), F.col("__k")).cast("int"))
-    sent = dealt.withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
-    sent = sent.withColumns({"__low": F.least("__i", "__j"), "__high": F.greatest("__i", "__j")})
+    sizes = placed.groupBy("__band", "__root").agg(F.count("*").alias("__n"))
+    bands = sizes.groupBy("__band").agg(F.sum("__n").alias("__all"), F.max(F.struct("__n", "__root")).alias("__main"), F.count("*").alias("__roots")).filter("__roots > 1")
+    bands = bands.select("__band", "__all", F.col("__main.__root").alias("__top"), (F.col("__all") - F.col("__main.__n")).alias("__few"))
+    return placed.join(bands, "__band").withColumn("__rest", F.col("__root") != F.col("__top")).drop("__top")
+
+
+def _blocks(crowded: DataFrame, docs: DataFrame, words: int, similarity: int, block: int) -> DataFrame:
+    """Links between different components of a band, one for each two components of a group at most.
+
+    The rows outside the largest component are dealt to blocks, and so are all
+    rows; each block of the former meets each of the latter in a group of its own.
+    There the sets' intersections come from products of 0/1 matrices.
+    """
+    k = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
+    dealt = crowded.withColumns({"__i": F.pmod(F.xxhash64("__id"), k("__few")).cast("int"), "__j": F.pmod(F.xxhash64("__id"), k("__all")).cast("int")})
+    every = F.sequence(F.lit(0), k("__few") - 1)
+    left = dealt.filter("__rest").select("__band", "__id", "__root", F.lit(True).alias("__left"), "__i", F.explode(F.sequence(F.lit(0), k("__all") - 1)).alias("__j"))
+    right = dealt.select("__band", "__id", "__root", F.lit(False).alias("__left"), F.explode(every).alias("__i"), "__j")
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), text_of().alias("__text"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        regs = np.frombuffer(b"".join(pdf["__regs"]), np.uint16).reshape(-1, BUCKETS)
-        n, root, ids, side = (pdf[c].to_numpy() for c in ("__n", "__root", "__id", "__i"))
-        high = pdf["__high"].iloc[0]
-        out = []
-        for i in range(len(pdf)):
-            rest = np.arange(i + 1, len(pdf))
-            rest = rest[(root[rest] != root[i]) & ((side[rest] != side[i]) | (pdf["__low"].iloc[0] == high))]
-            if len(rest):
-                est = estimate((regs[rest] == regs[i]).sum(1), n[rest], np.full(len(rest), n[i]))
-                near = rest[_near(est, n[rest], n[i], similarity)]
-                out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in near]
-        return pd.DataFrame(out, columns=["__a", "__b"], dtype="int64")
-
-    return sent.groupBy("__band", "__low", "__high").applyInPandas(run, "__a long, __b long").distinct()
+        out: dict[tuple[int, int], tuple[float, int, int]] = {}
+        one, two = pdf[pdf["__left"]].drop_duplicates("__id"), pdf[~pdf["__left"]].drop_duplicates("__id")
+        if len(one) and len(two):
+            share = _similarities([shingle_hashes(t, words) for t in one["__text"]], [shingle_hashes(t, words) for t in two["__text"]])
+            ids, others, roots, theirs = (x.to_numpy() for x in (one["__id"], two["__id"], one["__root"], two["__root"]))
+            for i, j in np.argwhere((share >= similarity / 100 - 1e-9) & (roots[:, None] != theirs[None, :])):
+                key = (min(roots[i], theirs[j]), max(roots[i], theirs[j]))
+                out[key] = max(out.get(key, (0.0, 0, 0)), (float(share[i, j]), int(min(ids[i], others[j])), int(max(ids[i], others[j]))))
+        return pd.DataFrame([v[1:] for v in out.values()], columns=["__a", "__b"], dtype="int64")
+
+    sent = left.unionByName(right).join(texts, "__id")
+    return sent.groupBy("__band", "__i", "__j").applyInPandas(run, "__a long, __b long").distinct()
+
+
+def _similarities(one: list[np.ndarray], two: list[np.ndarray], columns: int = 16384) -> np.ndarray:
+    """Jaccard similarities of all sets of hashes in one with all in two."""
+    known = np.unique(np.concatenate(one))
+    same = np.zeros((len(one), len(two)))
+    places = []
+    for sets in (one, two):
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        h = np.concatenate(sets)
+        at = np.searchsorted(known, h).clip(0, len(known) - 1)
+        there = known[at] == h
+        order = np.argsort(at[there], kind="stable")
+        places.append((row[there][order], at[there][order]))
+    for low in range(0, len(known), columns):
+        parts = []
+        for (row, at), n in zip(places, (len(one), len(two))):
+            a, b = np.searchsorted(at, (low, low + columns))
+            m = np.zeros((n, columns), np.float32)
+            m[row[a:b], at[a:b] - low] = 1
+            parts.append(m)
+        same += parts[0] @ parts[1].T
+    n, m = np.array([len(s) for s in one])[:, None], np.array([len(s) for s in two])[None, :]
+    return same / np.maximum(n + m - same, 1)
 
 
 def mark(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY, small: int = SMALL, block: int = BLOCK) -> DataFrame:
@@ -338,14 +376,11 @@ def _linked(classes: DataFrame, docs: DataFrame, words: int, similarity: int, sm
     rest = _across(near.select("__a", "__b").join(best, ["__a", "__b"], "left_anti"), roots)
     checked = verify(rest, docs, words, similarity)
     roots = _grown(roots, checked)
-    # Large bands whose classes are not all in one component.
     placed = relabel(many.select("__band", "__id").withColumn("__root", F.col("__id")), "__root", roots)
-    split = placed.groupBy("__band").agg((F.max("__root") != F.min("__root")).alias("__split")).filter("__split")
-    crowded = materialise(placed.join(split, "__band", "left_semi"), "crowded")
+    crowded = materialise(_crowded(placed), "crowded")
     if crowded.isEmpty():
         return roots
-    more = _blocks(crowded.join(classes, "__id"), similarity, block).join(near, ["__a", "__b"], "left_anti")
-    return _grown(roots, verify(more, docs, words, similarity))
+    return _grown(roots, verify(_blocks(crowded, docs, words, similarity, block), docs, words, similarity))
 
 
 def _grown(roots: DataFrame | None, links: DataFrame) -> DataFrame:
