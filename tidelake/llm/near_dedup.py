@@ -41,15 +41,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.llm.base import lower_ascii, materialise, text_of, words_of
+from tidelake.llm.base import by_bytes, lower_ascii, materialise, remembered, split_words, text_of, words_of
 
 BUCKET_BITS, MANTISSA_BITS, ROWS = 7, 10, 4
 BUCKETS, BANDS = 1 << BUCKET_BITS, (1 << BUCKET_BITS) // ROWS
 WORDS, SIMILARITY, SMALL, BLOCK, SURE = 5, 80, 16, 256, 256
-REMEMBERED = 400_000
 _GOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 _known: dict[str, int] = {}
@@ -73,23 +73,25 @@ def shingle_set(text: str, n: int) -> set[tuple[str, ...]]:
     return set(zip(*(words[i:] for i in range(n))))
 
 
-def shingle_hashes(text: str, n: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the shingle set."""
-    words = words_of(lower_ascii(text))
-    seen = _known
-    for w in words:
-        if w not in seen:
-            seen[w] = _word_hash(w)
-    h = np.array([seen[w] for w in words], np.uint64)
-    if len(seen) > REMEMBERED:
-        seen.clear()
-    if not len(h):
-        return h
-    k = min(n, len(h))
-    out = np.full(len(h) - k + 1, k, np.uint64)
-    for i in range(k):
-        out = _mix((out + _GOLD) ^ h[i : len(h) - k + 1 + i])
-    return np.unique(out)
+def shingle_hashes(texts: pa.Array, n: int) -> list[np.ndarray]:
+    """Sorted 64-bit hashes of each text's shingle set."""
+    words, codes, sizes = split_words(pc.ascii_lower(texts))
+    h = np.array(remembered(words, _known, _word_hash), np.uint64)[codes] if words else np.zeros(0, np.uint64)
+    ends = np.cumsum(sizes)
+    rolled = _rolled(h, n)
+    out = []
+    for end, size in zip(ends.tolist(), sizes.tolist()):
+        start = end - size
+        out.append(np.unique(rolled[start : end - n + 1] if size >= n else _rolled(h[start:end], size)))
+    return out
+
+
+def _rolled(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of n word hashes."""
+    out = np.full(max(0, len(h) - n + 1) if n else 0, n, np.uint64)
+    for i in range(n if len(out) else 0):
+        out = _mix((out + _GOLD) ^ h[i : len(h) - n + 1 + i])
+    return out
 
 
 def _borrow_order() -> np.ndarray:
@@ -170,9 +172,8 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 512):
-                some = b.slice(k, 512)
-                sets = [shingle_hashes(t, words) for t in some.column(1).to_pylist()]
+            for some in by_bytes(b, 1, 2 << 20):
+                sets = shingle_hashes(some.column(1), words)
                 regs = sketch(sets)
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())],
@@ -304,7 +305,7 @@ def _blocks(crowded: DataFrame, docs: DataFrame, words: int, similarity: int, bl
         out: dict[tuple[int, int], tuple[float, int, int]] = {}
         one, two = pdf[pdf["__left"]].drop_duplicates("__id"), pdf[~pdf["__left"]].drop_duplicates("__id")
         if len(one) and len(two):
-            share = _similarities([shingle_hashes(t, words) for t in one["__text"]], [shingle_hashes(t, words) for t in two["__text"]])
+            share = _similarities(*(shingle_hashes(pa.array(x["__text"], pa.string()), words) for x in (one, two)))
             ids, others, roots, theirs = (x.to_numpy() for x in (one["__id"], two["__id"], one["__root"], two["__root"]))
             for i, j in np.argwhere((share >= similarity / 100 - 1e-9) & (roots[:, None] != theirs[None, :])):
                 key = (min(roots[i], theirs[j]), max(roots[i], theirs[j]))

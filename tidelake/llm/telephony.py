@@ -173,15 +173,19 @@ def expand(media: DataFrame, to: int = PCM_RATE, keep_pcm: bool = True) -> DataF
     return media.mapInArrow(run, schema)
 
 
-def store_texts(docs: DataFrame, kind: int = ULAW) -> DataFrame:
-    """doc_id, n_bytes, media: each text's bytes, filled with spaces to a multiple of UNIT, as samples of a WAV file."""
+def store_texts(docs: DataFrame, kinds: tuple[int, ...] = (ULAW, ALAW, ADPCM)) -> DataFrame:
+    """doc_id, n_bytes, media: each text's bytes, filled with spaces to a multiple of UNIT, as the encoded samples of a WAV file.
+
+    The payload's checksum chooses the format among kinds; an ADPCM block is a unit.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, BATCH):
                 some = b.slice(k, BATCH)
                 raw = [t.encode() for t in some.column(1).to_pylist()]
-                media = [wav(x + b" " * (max(UNIT, -(-len(x) // UNIT) * UNIT) - len(x)), kind, RATE, UNIT) for x in raw]
+                full = [x + b" " * (max(UNIT, -(-len(x) // UNIT) * UNIT) - len(x)) for x in raw]
+                media = [wav(x, kinds[zlib.crc32(x) % len(kinds)], RATE, UNIT) for x in full]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
     return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
