@@ -32,8 +32,8 @@ def skill(model: DataFrame, obs: DataFrame, keys: list[str], least: int = MIN_HO
     d = F.col("m") - F.col("o")
     out = both.groupBy(*keys).agg(
         F.count("*").alias("n"), F.avg(d).alias("bias"), F.sqrt(F.avg(d * d)).alias("rmse"),
-        F.when((F.stddev_pop("m") > 0) & (F.stddev_pop("o") > 0), F.corr("m", "o")).alias("corr"),
+        F.try_divide(F.covar_pop("m", "o"), F.stddev_pop("m") * F.stddev_pop("o")).alias("corr"),
         F.avg("m").alias("mean_model"), F.avg("o").alias("mean_obs"), F.stddev_pop("m").alias("std_model"), F.stddev_pop("o").alias("std_obs"),
     )
-    out = out.filter(F.col("n") >= least).withColumn("scatter_index", F.when(F.col("std_obs") > 0, F.col("rmse") / F.col("std_obs")))
+    out = out.filter(F.col("n") >= least).withColumn("scatter_index", F.try_divide("rmse", "std_obs"))
     return out.select(*keys, "n", *(F.round(c, 4).alias(c) for c in ("bias", "rmse", "corr", "scatter_index", "mean_model", "mean_obs", "std_model", "std_obs")))
