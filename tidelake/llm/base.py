@@ -68,7 +68,7 @@ def lower_ascii(text: str) -> str:
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batch with about `limit` bytes of the column each, a row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
@@ -93,7 +93,7 @@ def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return words, codes.astype(np.int64), sizes
 
 
-def remembered(words: list[str], known: dict, reading: Callable[[str], object], most: int = 400_000) -> list:
+def remembered(words: list[str], known: dict, reading: Callable[[str], object], most: int = 120_000) -> list:
     """reading(word) of each word; known keeps those of the first `most` words a worker meets."""
     out = [known.get(w) for w in words]
     room = len(known) < most

@@ -28,7 +28,7 @@ from tidelake.llm.base import by_bytes, materialise, split_words, text_of
 
 WIDTH, END_ID = 2048, 1
 #: Words whose ids a worker remembers; later words are encoded batch by batch.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _tokenizers: dict[str, WordEncoder] = {}
 

@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.base import text_of, words_of
 
-BITS, LIMIT, EPOCHS, THRESHOLD, HELD_OUT_MOD = 18, 8000, 4, 0.3, 5
+BITS, LIMIT, EPOCHS, THRESHOLD, HELD_OUT_MOD = 18, 4000, 4, 0.3, 5
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.0005, 0.001
 #: Weight of each kind of n-gram: word 1, word 2, form 1, form 2, form 3.
 KINDS = ((0, 1), (0, 2), (1, 1), (1, 2), (1, 3))
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 _known: dict[str, tuple[int, int]] = {}
 _CORE = re.compile(r"^(\W*)(.*?)(\W*)$", re.S)
@@ -92,7 +92,7 @@ def train(texts: list[str], labels: list[int], bits: int = BITS, epochs: int = E
     rows = []
     for t in texts:
         i, v = features(t, bits)
-        rows.append((np.append(i, 1 << bits), np.append(v, 1.0)))
+        rows.append((np.append(i, 1 << bits).astype(np.int32), np.append(v, 1.0).astype(np.float32)))
     for _ in range(epochs):
         for (i, v), y in zip(rows, labels):
             zi, ni = z[i], n[i]
