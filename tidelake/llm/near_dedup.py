@@ -41,28 +41,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.llm.base import by_bytes, lower_ascii, materialise, remembered, split_words, text_of, words_of
+from tidelake.llm.base import GOLD, by_bytes, lower_ascii, materialise, mix, text_of, word_hashes, words_of
 
 BUCKET_BITS, MANTISSA_BITS, ROWS = 7, 10, 4
 BUCKETS, BANDS = 1 << BUCKET_BITS, (1 << BUCKET_BITS) // ROWS
 WORDS, SIMILARITY, SMALL, BLOCK, SURE = 5, 80, 16, 256, 256
-_GOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-
-_known: dict[str, int] = {}
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _word_hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
 
 
 def shingle_set(text: str, n: int) -> set[tuple[str, ...]]:
@@ -75,8 +61,7 @@ def shingle_set(text: str, n: int) -> set[tuple[str, ...]]:
 
 def shingle_hashes(texts: pa.Array, n: int) -> list[np.ndarray]:
     """Sorted 64-bit hashes of each text's shingle set."""
-    words, codes, sizes = split_words(pc.ascii_lower(texts))
-    h = np.array(remembered(words, _known, _word_hash), np.uint64)[codes] if words else np.zeros(0, np.uint64)
+    h, sizes = word_hashes(texts)
     ends = np.cumsum(sizes)
     rolled = _rolled(h, n)
     out = []
@@ -90,14 +75,14 @@ def _rolled(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the runs of n word hashes."""
     out = np.full(max(0, len(h) - n + 1) if n else 0, n, np.uint64)
     for i in range(n if len(out) else 0):
-        out = _mix((out + _GOLD) ^ h[i : len(h) - n + 1 + i])
+        out = mix((out + GOLD) ^ h[i : len(h) - n + 1 + i])
     return out
 
 
 def _borrow_order() -> np.ndarray:
     """For each attempt and bucket, the bucket to borrow from: the same for all documents."""
     at = np.arange(BUCKETS * 64, dtype=np.uint64).reshape(64, BUCKETS)
-    return (_mix(at * _GOLD + _GOLD) % np.uint64(BUCKETS)).astype(np.int64)
+    return (mix(at * GOLD + GOLD) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 _BORROW = _borrow_order()
@@ -161,9 +146,9 @@ def estimate(equal: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
 def _bands(regs: np.ndarray) -> np.ndarray:
     """64-bit keys of the bands, a row for each sketch."""
     wide = regs.reshape(-1, BANDS, ROWS).astype(np.uint64)
-    out = np.arange(BANDS, dtype=np.uint64) * _GOLD
+    out = np.arange(BANDS, dtype=np.uint64) * GOLD
     for i in range(ROWS):
-        out = _mix((out + _GOLD) ^ wide[:, :, i])
+        out = mix((out + GOLD) ^ wide[:, :, i])
     return out.view(np.int64)
 
 
