@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidelake.llm import bitmap, chat, exact_dedup, likelihood, mixing, near_dedup, packing, passages, quality, registry, telephony, warc
+from tidelake.llm import base, bitmap, chat, exact_dedup, likelihood, mixing, near_dedup, packing, passages, quality, registry, telephony, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 DIR = "/root/testdata/sf0.001"
@@ -159,6 +159,30 @@ def test_passages_find_what_repeats(spark):
     assert passages.find(docs(spark, [])).count() == 0
 
 
+def test_word_hashes_tell_words_apart():
+    texts = [*EDGE, "A b\x0bB  a", "ab", "ba", "a" * 3000, " x"]
+    column = pa.array(["skipped", *((t or "") for t in texts)])[1:]
+    want = [base.words_of(base.lower_ascii(t or "")) for t in texts]
+    for chunk in (1, 64, 1 << 18):
+        h, sizes = base.word_hashes(column, chunk)
+        assert sizes.tolist() == [len(w) for w in want]
+        pairs = set(zip((w for ws in want for w in ws), h.tolist()))
+        assert len(pairs) == len({w for w, _ in pairs}) == len({x for _, x in pairs})
+    assert len(base.word_hashes(pa.array([], pa.string()))[0]) == 0 and base.word_hashes(pa.array(["", " "]))[1].tolist() == [0, 0]
+
+
+def test_voted_equals_pair_by_pair():
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(1, 12, 40)
+    l, l2 = rng.integers(0, 60, (2, sizes.sum()))
+    rects = np.stack([rng.integers(0, 5, sizes.sum()), l, l + rng.integers(5, 40, len(l)), l2, l2 + rng.integers(5, 40, len(l))], 1)
+    got = passages._voted(rects, sizes, 10, 2, most=50)
+    for rows, ok in zip(np.split(rects, np.cumsum(sizes)[:-1]), np.split(got, np.cumsum(sizes)[:-1])):
+        for (f, a, b, c, d), good in zip(rows, ok):
+            votes = {g for g, p, q, r, s in rows if min(b, q) - max(a, p) + 1 >= 10 and min(d, s) - max(c, r) + 1 >= 10}
+            assert good == (len(votes) >= 2)
+
+
 def test_bitmap_never_loses(spark):
     bits = bitmap.build(spark.range(0, 5000, 7))
     assert spark.range(5000).filter(bitmap.maybe(bits, "id")).filter("id % 7 = 0").count() == spark.range(0, 5000, 7).count()
