@@ -159,6 +159,31 @@ def test_passages_find_what_repeats(spark):
     assert passages.find(docs(spark, [])).count() == 0
 
 
+def test_near_passages_of_large_groups(spark):
+    rng = random.Random(5)
+    text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    notice = text(60)
+
+    def changed(i):
+        at = 20 + 2 * (i % 10)
+        return notice[:at] + [f"z{i}"] + notice[at + 1 :]
+
+    ids, whole = range(90), 41
+    bodies = [notice if i == whole else changed(i) for i in ids]
+    d = docs(spark, [" ".join(text(70) + b + text(70)) for b in bodies])
+    sets = [{tuple(b[k : k + 5]) for k in range(56)} for b in bodies]
+    assert all(len(sets[whole] & s) >= 0.8 * len(sets[whole] | s) for s in sets)
+    for block in (7, 512):
+        got = passages.find(d, small=4, block=block).collect()
+        up = {i: i for i in ids}
+        for r in got:
+            a, b = r["doc_id"], r["twin_id"]
+            assert len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+            x, y = up[a], up[b]
+            up = {i: y if t == x else t for i, t in up.items()}
+        assert len(set(up.values())) == 1
+
+
 def test_word_hashes_tell_words_apart():
     texts = [*EDGE, "A b\x0bB  a", "ab", "ba", "a" * 3000, " x"]
     column = pa.array(["skipped", *((t or "") for t in texts)])[1:]

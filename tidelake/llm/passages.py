@@ -16,13 +16,18 @@ windows; a text has about 2n / t of them for a hash function.
    order of what lies right, and left, of c, so that texts which go on alike stand
    side by side. Besides, the texts of larger groups are grouped by every whole run
    of `least` words that holds such a c, and paired with each run's first text: a
-   run that repeats word for word is found whatever the size of its group. No
-   group's pairs are ever listed.
+   run that repeats word for word is found whatever the size of its group.
 4. An interval join per pair of texts keeps rectangles (window x window) that
    overlap, on both sides by the least passage, with those of enough functions.
 5. Their union is verified on the full texts: stretches of shared shingles with a
-   set similarity of `similarity` percent or more, or equal runs, of at least
-   `least` words.
+   set similarity of `similarity` percent or more, of at least `least` words; where
+   a stretch is not similar as a whole, its longest parts that are, then equal runs.
+6. Windows of a larger group that passages around their c join get one root. A
+   group that still holds several is compared in blocks: the windows outside its
+   largest root's, `block` at a time, with all its windows, `block` at a time. A
+   task compares whole spans and returns a stretch for two roots at most; these
+   are verified as in 5. So no window of a large group is left without a passage
+   that it has with another, and no group's pairs are ever listed.
 
 Defined cases: null or empty texts, and texts below `least` words, have no
 passages and no copies; repeated passages inside one text don't count, and the first of them is the one reported against a twin; a null
@@ -42,12 +47,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.llm import bitmap
+from tidelake.llm import bitmap, near_dedup
 from tidelake.llm.base import GOLD, by_bytes, materialise, mix, rolling, text_of, word_hashes, word_places
 
-HASHES, ENOUGH, WORDS, LEAST, SIMILARITY, SMALL, GAP = 5, 2, 5, 50, 80, 16, 15
-#: Number, as of a hash function, of runs that are equal word for word.
-EXACT = 100
+HASHES, ENOUGH, WORDS, LEAST, SIMILARITY, SMALL, GAP, BLOCK = 5, 2, 5, 50, 80, 16, 15, 512
+#: Numbers, as of a hash function, of runs that are equal word for word, and of stretches found similar in blocks.
+EXACT, NEAR = 100, 101
 #: Rectangles of a pair up to which they are compared with those of other pairs in one go.
 MANY = 64
 
@@ -243,16 +248,127 @@ def _runs_paired(shared: DataFrame, texts: DataFrame, small: int, least: int) ->
     return pairs.select(F.col("__x.__id").alias("__a"), F.col("__id").alias("__b"), exact.bitwiseOR(rect(F.col("__x.__at"))).alias("__lr"), rect(F.col("__at")).alias("__lr2"))
 
 
+def _crowded(shared: DataFrame, found: DataFrame, small: int, words: int) -> DataFrame:
+    """__band (the key), __id, __node, __c, __lr, __root, __all, __few, __rest of the windows of large groups that hold several roots."""
+    many = shared.filter(F.col("__m") > small).withColumn("__node", F.xxhash64("__key", "__id", "__c"))
+    inside = lambda at, start, n: (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(start) + F.col(n) - F.lit(words))
+    one = many.select(F.col("__id").alias("doc_id"), "__key", F.col("__c").alias("__x"), F.col("__node").alias("__a"))
+    two = many.select(F.col("__id").alias("twin_id"), "__key", F.col("__c").alias("__y"), F.col("__node").alias("__b"))
+    links = found.join(one, "doc_id").filter(inside("__x", "start", "n_words")).join(two, ["twin_id", "__key"]).filter(inside("__y", "twin_start", "twin_words"))
+    # Two steps towards the smallest node: what has one root is linked, and what is linked may still have two.
+    hooks = links.select(F.greatest("__a", "__b").alias("__id"), F.least("__a", "__b").alias("__root")).filter("__id <> __root").groupBy("__id").agg(F.min("__root").alias("__root"))
+    hooks = materialise(hooks, "hooks")
+    roots = near_dedup.relabel(hooks, "__root", hooks)
+    placed = near_dedup.relabel(many.select(F.col("__key").alias("__band"), "__id", "__node", "__c", "__lr", F.col("__node").alias("__root")), "__root", roots)
+    return near_dedup._crowded(placed).drop("__roots")
+
+
+def _spans(crowded: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """The windows of crowded groups with __span, the hashes of the shingles l .. r."""
+    mask = (1 << 28) - 1
+    kinds = {"__band": "long", "__node": "long", "__root": "long", "__all": "long", "__few": "long", "__rest": "boolean", "__c": "long", "__lr": "long"}
+    lists = crowded.groupBy("__id").agg(F.collect_list(F.struct(*kinds)).alias("__w"))
+    near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists, "__id").select("__id", "__w", "__text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for some in by_bytes(b, 2, 1 << 20):
+                h, sizes = shingle_sequences(some.column(2), words)
+                starts = np.cumsum(sizes) - sizes
+                own = np.repeat(np.arange(len(sizes)), pc.list_value_length(some.column(1)).to_numpy())
+                flat = some.column(1).flatten()
+                cols = dict(zip(kinds, flat.flatten()))
+                lr = cols["__lr"].to_numpy()
+                low, high = starts[own] + (lr >> 28 & mask), starts[own] + (lr & mask) + 1
+                spans = [h[i:j].tobytes() for i, j in zip(low.tolist(), high.tolist())]
+                yield pa.RecordBatch.from_arrays([*cols.values(), pa.array(some.column(0).to_numpy()[own]), pa.array(spans, pa.binary())], [*kinds, "__id", "__span"])
+
+    return near.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in kinds.items()) + ", __id long, __span binary")
+
+
+def _common(one: list[np.ndarray], two: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Numbers of distinct hashes that each array of one has in common with each of two."""
+    same = np.zeros((len(one), len(two)), np.float32)
+    both = np.intersect1d(np.concatenate(one), np.concatenate(two))
+    placed = []
+    for some in (one, two):
+        row, h = np.repeat(np.arange(len(some)), [len(x) for x in some]), np.concatenate(some)
+        at = np.searchsorted(both, h).clip(0, max(0, len(both) - 1))
+        there = both[at] == h if len(both) else np.zeros(len(h), bool)
+        order = np.argsort(at[there], kind="stable")
+        placed.append((row[there][order], at[there][order]))
+    for low in range(0, len(both), columns):
+        parts = []
+        for (row, at), some in zip(placed, (one, two)):
+            i, j = np.searchsorted(at, (low, low + columns))
+            m = np.zeros((len(some), min(columns, len(both) - low)), np.float32)
+            m[row[i:j], at[i:j] - low] = 1
+            parts.append(m)
+        same += parts[0] @ parts[1].T
+    return same
+
+
+def similar_spans(one: pd.DataFrame, two: pd.DataFrame, width: int, similarity: int) -> list[tuple[int, int, int, int]]:
+    """a, b and packed stretches of passages around c, for two components at most; rows of __id, __node, __root, __rest, __c, __lr, __span."""
+    mask, out, up = (1 << 28) - 1, [], {}
+
+    def top(x: int) -> int:
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    spans = [[np.frombuffer(s, np.uint64) for s in side["__span"]] for side in (one, two)]
+    # A passage has at least width shingles, each as often as in the whole span at most.
+    need = [np.array([np.ceil(similarity / 100 * width / np.unique(s, return_counts=True)[1].max() - 1e-9) for s in some]) for some in spans]
+    ids, nodes, roots = ([side[c].to_numpy() for side in (one, two)] for c in ("__id", "__node", "__root"))
+    same = _common(*spans)
+    ok = (same >= np.maximum(need[0][:, None], need[1][None, :])) & (ids[0][:, None] != ids[1][None, :]) & (roots[0][:, None] != roots[1][None, :])
+    ok &= ~two["__rest"].to_numpy(bool)[None, :] | (nodes[0][:, None] < nodes[1][None, :])  # else met twice
+    i, j = np.nonzero(ok)
+    order = np.argsort(-same[i, j], kind="stable")
+    lefts = [(side["__lr"].to_numpy() >> 28 & mask).tolist() for side in (one, two)]
+    places = [side["__c"].to_numpy().tolist() for side in (one, two)]
+    for p, q in zip(i[order].tolist(), j[order].tolist()):
+        x, y = top(int(roots[0][p])), top(int(roots[1][q]))
+        if x == y:
+            continue
+        l, l2 = lefts[0][p], lefts[1][q]
+        c, c2 = places[0][p] - l, places[1][q] - l2
+        for s, e, s2, e2, _ in passages(spans[0][p], spans[1][q], (0, len(spans[0][p]) - 1, 0, len(spans[1][q]) - 1), width, similarity):
+            if s <= c <= e and s2 <= c2 <= e2:
+                up[x] = y
+                ends = sorted([(int(ids[0][p]), l + s << 28 | l + e), (int(ids[1][q]), l2 + s2 << 28 | l2 + e2)])
+                out.append((ends[0][0], ends[1][0], NEAR << 56 | ends[0][1], ends[1][1]))
+                break
+    return out
+
+
+def _blocks(spans: DataFrame, width: int, similarity: int, block: int) -> DataFrame:
+    """Rectangles that link different components of a large group: its windows, dealt to blocks, each block against each in a group of its own."""
+    k = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
+    dealt = spans.withColumns({"__i": F.pmod(F.xxhash64("__node"), k("__few")).cast("int"), "__j": F.pmod(F.xxhash64("__node"), k("__all")).cast("int")})
+    names = ["__band", "__id", "__node", "__root", "__rest", "__c", "__lr", "__span"]
+    left = dealt.filter("__rest").select(*names, F.lit(True).alias("__left"), "__i", F.explode(F.sequence(F.lit(0), k("__all") - 1)).alias("__j"))
+    right = dealt.select(*names, F.lit(False).alias("__left"), F.explode(F.sequence(F.lit(0), k("__few") - 1)).alias("__i"), "__j")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        one, two = pdf[pdf["__left"]], pdf[~pdf["__left"]]
+        out = similar_spans(one, two, width, similarity) if len(one) and len(two) else []
+        return pd.DataFrame(out, columns=["__a", "__b", "__lr", "__lr2"], dtype="int64")
+
+    return left.unionByName(right).groupBy("__band", "__i", "__j").applyInPandas(run, "__a long, __b long, __lr long, __lr2 long")
+
+
 def regions(rects: np.ndarray, width: int, enough: int) -> list[tuple[int, int, int, int]]:
     """Regions (l, r, l2, r2), inclusive, that hold the rectangles supported by enough functions.
 
     rects: rows of function, l, r, l2, r2. A rectangle is supported by those that
-    overlap it by width on both sides; one of the function EXACT needs no other.
+    overlap it by width on both sides; one of EXACT or NEAR needs no other.
     """
     exact = _merged(rects[rects[:, 0] == EXACT])
     rects = np.concatenate([rects[rects[:, 0] != EXACT], exact])
     rects = rects[np.argsort(rects[:, 1], kind="stable")]
-    good = rects[:, 0] == EXACT
+    good = rects[:, 0] >= EXACT
     for k in range(0, len(rects), 256):  # some rows with those that may overlap them
         f, l, r, l2, r2 = (x[:, None] for x in rects[k : k + 256].T)
         near = rects[(rects[:, 1] <= r.max()) & (rects[:, 2] >= l.min())]
@@ -385,7 +501,7 @@ def _digests(base: DataFrame, least: int) -> DataFrame:
     return base.mapInArrow(run, "__id long, __same binary, __n long")
 
 
-def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: int = SIMILARITY, hashes: int = HASHES, enough: int = ENOUGH, small: int = SMALL) -> DataFrame:
+def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: int = SIMILARITY, hashes: int = HASHES, enough: int = ENOUGH, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """doc_id, twin_id, start, n_words, twin_start, twin_words, similarity, kind.
 
     kind `passage`: words start .. start + n_words - 1 of the document repeat in
@@ -402,7 +518,12 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
     keys = materialise(shared_keys(texts, words, least, hashes), "keys")
     shared = materialise(windows(texts, keys, words, least, hashes), "windows")
     rects = _paired(shared, small).unionByName(_runs_paired(shared, texts, small, least))
-    found = _checked(materialise(_supported(rects, least - words + 1, enough), "regions"), texts, words, least, similarity)
+    found = materialise(_checked(materialise(_supported(rects, least - words + 1, enough), "regions"), texts, words, least, similarity), "passages")
+    crowded = materialise(_crowded(shared, found, small, words), "crowded")
+    if not crowded.isEmpty():
+        rects = _blocks(materialise(_spans(crowded, texts, words), "spans"), least - words + 1, similarity, block)
+        more = _checked(materialise(_supported(rects, least - words + 1, enough), "regions"), texts, words, least, similarity)
+        found = found.unionByName(more).distinct()
     zero, n = F.lit(0).cast("long"), F.col("__n")
     return found.unionByName(
         copies.select(F.col("__id").alias("doc_id"), F.col("__first").alias("twin_id"), zero.alias("start"), n.alias("n_words"), zero.alias("twin_start"), n.alias("twin_words"), F.lit(1.0).alias("similarity"), F.lit("copy").alias("kind"))
@@ -436,7 +557,7 @@ def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
         rows = np.stack([x >> 56, x >> 28 & mask, x & mask, y >> 28 & mask, y & mask], 1)
         sizes = np.bincount(pair, minlength=len(starts))
         # Runs of words have a way of their own, and so have pairs with many rectangles.
-        other = (np.bincount(pair[rows[:, 0] == EXACT], minlength=len(starts)) > 0) | (sizes > MANY)
+        other = (np.bincount(pair[rows[:, 0] >= EXACT], minlength=len(starts)) > 0) | (sizes > MANY)
         good = np.ones(len(rows), bool)
         good[~other[pair]] = _voted(rows[~other[pair]], sizes[~other], width, enough)
         rows, pair = rows[good], pair[good]
