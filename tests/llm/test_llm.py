@@ -184,6 +184,17 @@ def test_near_passages_of_large_groups(spark):
         assert len(set(up.values())) == 1
 
 
+def test_passages_beside_lines_that_repeat_inside_a_text(spark):
+    rng = random.Random(2)
+    text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for _ in range(12):
+        line, more = text(46), text(120)
+        texts += [" ".join(line + text(300) + line + more), " ".join(text(60) + line + more[:8] + text(60))]
+    got = {(r["doc_id"], r["twin_id"], r["start"], r["n_words"], r["twin_start"]) for r in passages.find(docs(spark, texts)).collect()}
+    assert got == {(2 * i, 2 * i + 1, 346, 54, 60) for i in range(12)}
+
+
 def test_word_hashes_tell_words_apart():
     texts = [*EDGE, "A b\x0bB  a", "ab", "ba", "a" * 3000, " x"]
     column = pa.array(["skipped", *((t or "") for t in texts)])[1:]

@@ -128,21 +128,35 @@ def _sides(h: np.ndarray, c: np.ndarray, starts: np.ndarray, row: np.ndarray) ->
 
 
 def text_windows(texts: pa.Array, words: int, least: int, hashes: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """For each hash function: text, key, l, c, r of the texts' compact windows, and their sides."""
+    """For each hash function: text, key, l, c, r of the texts' compact windows, and their sides.
+
+    Of windows with one key in a text whose whole spans are equal, the first stands for all: what
+    they hold repeats inside the text.
+    """
     h, sizes = shingle_sequences(texts, words)
     starts = np.cumsum(sizes) - sizes
     row = np.repeat(np.arange(len(sizes)), sizes)
     for f in range(hashes if len(h) else 0):
         values = mix(h ^ mix(np.array([f + 1], np.uint64) * GOLD)[0])
         l, c, r = compact_windows(values, starts, least - words + 1)
+        order = np.lexsort((c, values[c], row[c]))
+        again = (row[c][order][1:] == row[c][order][:-1]) & (values[c][order][1:] == values[c][order][:-1])
+        if again.any():
+            some = np.sort(order[np.append(again, False) | np.append(False, again)])  # in the order of c
+            span = rolling.stretches(h, l[some], r[some] + 1)
+            first = np.unique(np.stack([row[c[some]].astype(np.uint64), values[c[some]], span, (c - l)[some].astype(np.uint64)], 1), axis=0, return_index=True)[1]
+            kept = np.ones(len(c), bool)
+            kept[some] = False
+            kept[some[first]] = True
+            l, c, r = l[kept], c[kept], r[kept]
         at = starts[row[c]]
         yield row[c], values[c].view(np.int64), l - at, c - at, r - at, lambda c=c: _sides(h, c, starts, row)
 
 
 def shared_keys(texts: DataFrame, words: int, least: int, hashes: int) -> DataFrame:
-    """__key, __m: the windows' keys that several texts have, and how many.
+    """__key, __m: the windows' keys that several texts have, and how many windows have them.
 
-    A task sends each key once for a slice of its texts, with their number, as
+    A task sends each key once for a slice of its texts, with the numbers of texts and windows, as
     arrays for each part; a part, no larger than a shuffle partition, is sorted in
     one group.
     """
@@ -158,22 +172,24 @@ def shared_keys(texts: DataFrame, words: int, least: int, hashes: int) -> DataFr
                 order = np.lexsort((row, key))
                 row, key = row[order], key[order]
                 once = np.append(True, (row[1:] != row[:-1]) | (key[1:] != key[:-1]))[: len(key)]
-                key, n = np.unique(key[once], return_counts=True)
+                key, at, m = np.unique(key, return_index=True, return_counts=True)
+                n = np.add.reduceat(once.astype(np.int64), at) if len(at) else m
                 part = (mix(key.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 found, at = np.unique(part[order], return_index=True)
                 cut = lambda x: [y.tobytes() for y in np.split(x[order], at[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(cut(key), pa.binary()), pa.array(cut(n.astype(np.int32)), pa.binary())], ["__part", "__keys", "__ns"])
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(cut(key), pa.binary()), pa.array(cut(n.astype(np.int32)), pa.binary()), pa.array(cut(m.astype(np.int32)), pa.binary())], ["__part", "__keys", "__ns", "__ms"])
 
     def several(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, n = np.frombuffer(b"".join(pdf["__keys"]), np.int64), np.frombuffer(b"".join(pdf["__ns"]), np.int32)
+        key = np.frombuffer(b"".join(pdf["__keys"]), np.int64)
         order = np.argsort(key, kind="stable")
-        key, n = key[order], n[order].astype(np.int64)
+        key = key[order]
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
-        m = np.add.reduceat(n, starts) if len(n) else n
-        return pd.DataFrame({"__key": key[starts][m > 1], "__m": m[m > 1]})
+        n, m = (np.frombuffer(b"".join(pdf[c]), np.int32)[order].astype(np.int64) for c in ("__ns", "__ms"))
+        n, m = (np.add.reduceat(x, starts) if len(x) else x for x in (n, m))
+        return pd.DataFrame({"__key": key[starts][n > 1], "__m": m[n > 1]})
 
-    sent = texts.select("__id", "__text").mapInArrow(run, "__part long, __keys binary, __ns binary")
+    sent = texts.select("__id", "__text").mapInArrow(run, "__part long, __keys binary, __ns binary, __ms binary")
     return sent.groupBy("__part").applyInPandas(several, "__key long, __m long")
 
 
@@ -187,12 +203,7 @@ def windows(texts: DataFrame, keys: DataFrame, words: int, least: int, hashes: i
             for some in by_bytes(b, 1):
                 ids = some.column(0).to_numpy()
                 for f, (row, key, l, c, r, sides) in enumerate(text_windows(some.column(1), words, least, hashes)):
-                    # Of windows with one key in a text, the first: a stretch that repeats inside a text stands for its repeats.
-                    order = np.lexsort((key, row))
-                    once = np.append(True, (row[order][1:] != row[order][:-1]) | (key[order][1:] != key[order][:-1]))[: len(key)]
-                    ok = np.zeros(len(key), bool)
-                    ok[order[once]] = True
-                    ok &= bitmap.test(bits.value, key)
+                    ok = bitmap.test(bits.value, key)
                     right, left = sides()
                     yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in (key, ids[row], c, f << 56 | l << 28 | r, right, left)], names)
 
@@ -221,7 +232,10 @@ def _paired(shared: DataFrame, small: int) -> DataFrame:
 
 
 def _runs_paired(shared: DataFrame, texts: DataFrame, small: int, least: int) -> DataFrame:
-    """Rectangles of texts in large groups that share a whole run of `least` words around a window's c."""
+    """Rectangles of texts in large groups that share a whole run of `least` words around a window's c.
+
+    Small groups need none: an equal run gives every function a pair of windows.
+    """
     many = shared.filter(F.col("__m") > small).groupBy("__id").agg(F.collect_set("__c").alias("__cs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
