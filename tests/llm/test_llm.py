@@ -195,6 +195,40 @@ def test_passages_beside_lines_that_repeat_inside_a_text(spark):
     assert got == {(2 * i, 2 * i + 1, 346, 54, 60) for i in range(12)}
 
 
+def test_similar_parts_equal_brute_force():
+    rng, width = np.random.default_rng(3), 46
+
+    def shingles(words):
+        return np.array([hash(tuple(words[i : i + 5])) for i in range(len(words) - 4)], np.int64).view(np.uint64)
+
+    copy = [10**6 + i if (i < 200 and i % 10 == 0) or (i > 200 and i % 48 == 8) else i for i in range(400)]
+    cases = [(list(range(400)), copy)]
+    for _ in range(40):
+        n, gaps, edited = int(rng.integers(80, 160)), rng.choice([6, 12, 30, 60, 90], 4), []
+        for i in range(n):
+            kind = rng.integers(3) if rng.random() < 1 / gaps[i * 4 // n] else 3
+            edited += [[-i - 1], [-i - 1, i], [], [i]][kind]
+        cases.append((list(range(n)), edited))
+    for one, two in cases:
+        a, b = shingles(one), shingles(two)
+        at = {h: i for i, h in enumerate(b.tolist())}
+        met = [(i, at[h]) for i, h in enumerate(a.tolist()) if h in at]
+        best = 0
+        for i in range(len(met)):
+            for j in range(len(met) - 1, i, -1):
+                n, n2, same = met[j][0] - met[i][0] + 1, met[j][1] - met[i][1] + 1, j - i + 1
+                if n < max(width, best + 1):
+                    break
+                if 100 * same >= 80 * (n + n2 - same):
+                    best = n
+                    break
+        got = passages.passages(a, b, (0, len(a) - 1, 0, len(b) - 1), width, 80)
+        assert max([e - s + 1 for s, e, *_ in got], default=0) >= best
+        for s, e, s2, e2, _ in got:
+            x, y = set(a[s : e + 1].tolist()), set(b[s2 : e2 + 1].tolist())
+            assert e - s + 1 >= width and 100 * len(x & y) >= 80 * len(x | y)
+
+
 def test_word_hashes_tell_words_apart():
     texts = [*EDGE, "A b\x0bB  a", "ab", "ba", "a" * 3000, " x"]
     column = pa.array(["skipped", *((t or "") for t in texts)])[1:]

@@ -463,7 +463,7 @@ def passages(a: np.ndarray, b: np.ndarray, region: tuple[int, int, int, int], wi
     for s, e in _runs(np.flatnonzero(among(y)[x]), GAP):
         if e - s + 1 < width:
             continue
-        found, mine = False, x[s : e + 1]
+        known, mine = [], x[s : e + 1]
         for s2, e2 in _runs(np.flatnonzero(among(mine)[y]), GAP):
             if e2 - s2 + 1 < width:
                 continue
@@ -475,11 +475,94 @@ def passages(a: np.ndarray, b: np.ndarray, region: tuple[int, int, int, int], wi
             same, union = np.count_nonzero(kept & theirs), np.count_nonzero(kept | theirs)
             if q - p + 1 >= width and 100 * same >= similarity * union:
                 out.append((int(l + p), int(l + q), l2 + s2, l2 + e2, same / union))
-                found = True
-        if not found:  # equal runs inside a stretch that isn't similar as a whole
+                known.append((int(p), int(q)))
+        # What no stretch that is similar as a whole holds: its longest similar parts, then equal runs.
+        for lo, hi in _left(s, e, known, width):
+            for p, q, p2, q2, j in _similar_parts(x[lo : hi + 1], y, width, similarity):
+                out.append((int(l + lo + p), int(l + lo + q), int(l2 + p2), int(l2 + q2), j))
+                known.append((lo + p, lo + q))
+        for lo, hi in _left(s, e, known, width):
             if long_y is None:
                 long_y = np.unique(_long_runs(b[l2 : r2 + 1], width), return_index=True)
-            out += [(l + p, l + q, l2 + p2, l2 + p2 + q - p, 1.0) for p, q, p2 in _equal_runs(a[l + s : l + e + 1], s, width, *long_y)]
+            out += [(l + p, l + q, l2 + p2, l2 + p2 + q - p, 1.0) for p, q, p2 in _equal_runs(a[l + lo : l + hi + 1], lo, width, *long_y)]
+    return out
+
+
+def _left(s: int, e: int, known: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
+    """Stretches of width at least of s .. e that lie between those known."""
+    out, at = [], s
+    for p, q in [*sorted(known), (e + 1, e + 1)]:
+        if p - at >= width:
+            out.append((at, p - 1))
+        at = max(at, q + 1)
+    return out
+
+
+def _chain(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in x with a place of the same code in y: of several, the one that goes on best from the place before."""
+    order = np.argsort(y, kind="stable")
+    low, high = np.searchsorted(y[order], x, "left"), np.searchsorted(y[order], x, "right")
+    at = np.flatnonzero(high > low)
+    where, shift = order[low[at].clip(0, max(0, len(order) - 1))], 0
+    many = (high - low)[at] > 1
+    if many.any():
+        for k, i in enumerate(at.tolist()):
+            if many[k]:
+                own = order[low[i] : high[i]]
+                where[k] = own[np.argmin(np.abs(own - i - shift))]
+            shift = int(where[k]) - i
+    # Short strays from a diagonal that goes on after them count as not shared.
+    while len(at):
+        shifts = where - at
+        cut = np.flatnonzero(np.append(True, np.abs(np.diff(shifts)) > 2 * GAP))
+        ends = np.append(cut[1:], len(at))
+        stray = np.zeros(len(at), bool)
+        for k in range(1, len(cut) - 1):
+            if ends[k] - cut[k] <= GAP and abs(shifts[cut[k] - 1] - shifts[ends[k]]) <= 2 * GAP and not stray[cut[k] - 1]:
+                stray[cut[k] : ends[k]] = True
+        if not stray.any():
+            break
+        at, where = at[~stray], where[~stray]
+    return at, where
+
+
+def _similar_parts(x: np.ndarray, y: np.ndarray, width: int, similarity: int) -> list[tuple[int, int, int, int, float]]:
+    """Start, end, start2, end2 and similarity of the longest stretches of x, apart from each other, that reach the similarity with one of y.
+
+    The codes that follow one another in both are a chain. same / (n + n2 - same) >= s means that
+    (1 - s) * same >= s * (the codes not shared on both sides): in a sum that rises by the former and
+    falls by the latter, the stretches that reach s are those that don't end below their start.
+    """
+    at, where = _chain(x, y)
+    out, todo = [], []
+    if len(at):
+        cut = np.flatnonzero((np.diff(where) <= 0) | (np.diff(where) > 4 * GAP) | (np.diff(at) > 4 * GAP)) + 1
+        todo = list(zip([0, *cut.tolist()], [*cut.tolist(), len(at)]))
+    while todo:
+        i, j = todo.pop()
+        if j - i < 2 or at[j - 1] - at[i] + 1 < width:
+            continue
+        lost = np.append(0, np.cumsum(np.diff(at[i:j]) - 1 + np.diff(where[i:j]) - 1))
+        score = (100 - similarity) * np.arange(j - i) - similarity * lost
+        # The longest stretch k .. m with score[m] - score[k] + (100 - similarity) >= 0: ends by the highest score from there on.
+        high = np.maximum.accumulate(score[::-1])[::-1]
+        last = np.searchsorted(-high, -(score - (100 - similarity)), "right") - 1
+        long = at[i + last] - at[i : j]
+        k = int(np.argmax(long))
+        m = i + int(last[k])
+        k += i
+        if at[m] - at[k] + 1 < width:
+            continue
+        p, q, p2, q2 = int(at[k]), int(at[m]), int(where[k]), int(where[m])
+        one, two = np.unique(x[p : q + 1]), np.unique(y[p2 : q2 + 1])
+        same = len(np.intersect1d(one, two, assume_unique=True))
+        union = len(one) + len(two) - same
+        if 100 * same >= similarity * union:
+            out.append((p, q, p2, q2, same / union))
+            todo += [(i, k), (m + 1, j)]
+        elif m > k + 1:  # repeats inside it: its parts at the widest gap, and what lies beside it
+            g = k + 1 + int(np.argmax(np.diff(at[k : m + 1]) + np.diff(where[k : m + 1])))
+            todo += [(i, g), (g, j)]
     return out
 
 
