@@ -286,7 +286,7 @@ def _spans(crowded: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for some in by_bytes(b, 2, 1 << 20):
+            for some in by_bytes(b, 2, 1 << 17):
                 h, sizes = shingle_sequences(some.column(2), words)
                 starts = np.cumsum(sizes) - sizes
                 own = np.repeat(np.arange(len(sizes)), pc.list_value_length(some.column(1)).to_numpy())
