@@ -151,7 +151,7 @@ def test_passages_find_what_repeats(spark):
     shared = text(55)
     texts = [" ".join(text(100) + shared + text(80)), " ".join(shared + text(150)), " ".join(text(300)), " ".join(text(40) + shared[:40] + text(40)), None, "", "short text"]
     texts += [" ".join(text(rng.randrange(0, 60)) + shared + text(rng.randrange(0, 60))) for _ in range(40)] + [texts[2]]
-    got = passages.find(docs(spark, texts), small=4).collect()
+    got = passages.find(docs(spark, texts), small=4, few=8).collect()
     ids = {r["doc_id"] for r in got} | {r["twin_id"] for r in got}
     assert ids == set(range(len(texts))) - {3, 4, 5, 6}
     first = [r for r in got if r["doc_id"] == 0 and r["twin_id"] == 1]
@@ -174,7 +174,7 @@ def test_near_passages_of_large_groups(spark):
     sets = [{tuple(b[k : k + 5]) for k in range(56)} for b in bodies]
     assert all(len(sets[whole] & s) >= 0.8 * len(sets[whole] | s) for s in sets)
     for block in (7, 512):
-        got = passages.find(d, small=4, block=block).collect()
+        got = passages.find(d, small=4, few=8, block=block).collect()
         up = {i: i for i in ids}
         for r in got:
             a, b = r["doc_id"], r["twin_id"]
@@ -184,6 +184,47 @@ def test_near_passages_of_large_groups(spark):
         assert len(set(up.values())) == 1
 
 
+@pytest.mark.parametrize("n", [60, 500])
+def test_variants_of_a_passage_against_brute_force(spark, n):
+    """Default parameters; every text has one or two words of a passage changed, hardly two of them are equal for 50 words."""
+    rng = random.Random(n)
+    text = lambda k: [f"v{rng.randrange(10**6)}" for _ in range(k)]
+    passage, bodies = text(96), []
+    for i in range(n):
+        b = list(passage)
+        for at in rng.sample(range(30, 66), 1 + i % 2):
+            b[at] = f"z{i}-{at}"
+        bodies.append(b)
+    sets = [{tuple(b[k : k + 5]) for k in range(92)} for b in bodies]
+    true = {(i, j) for i in range(n) for j in range(i + 1, n) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    got = {(r["doc_id"], r["twin_id"]) for r in passages.find(docs(spark, [" ".join(text(70) + b + text(70)) for b in bodies])).collect()}
+    if n <= 60:
+        assert len(got & true) >= 0.98 * len(true)
+
+    def roots(pairs):
+        up = list(range(n))
+
+        def top(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in sorted(pairs):
+            a, b = sorted((top(a), top(b)))
+            up[b] = a
+        return [top(x) for x in range(n)]
+
+    mine = roots(got)
+    assert sum(mine[a] == mine[b] for a, b in true) == len(true)
+
+
+def test_words_repeated_over_and_over(spark):
+    texts = ["of " * 70, "a b " + "of " * 52 + "c", "x " + "of " * 30 + "y z", "of " * 28 + "q", "p " + "of " * 49 + "p"]
+    got = {(r["doc_id"], r["twin_id"]) for r in passages.find(docs(spark, [*texts, *(f"k{i} " + "of " * 51 for i in range(80))]), small=4, few=8).collect()}
+    ids = {x for p in got for x in p}
+    assert ids == {0, 1, *range(5, 85)}
+
+
 def test_passages_beside_lines_that_repeat_inside_a_text(spark):
     rng = random.Random(2)
     text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]

@@ -32,11 +32,11 @@ def build(numbers: DataFrame) -> Broadcast:
     """The bitmap of the only column of numbers, as packed bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << BITS, bool)
+        bits = np.zeros(1 << BITS - 3, np.uint8)
         for b in batches:
             for p in places(b.column(0).to_numpy(zero_copy_only=False)):
-                bits[p] = True
-        words = np.packbits(bits, bitorder="little").view(np.int64)
+                np.bitwise_or.at(bits, p >> 3, (1 << (p & 7)).astype(np.uint8))
+        words = bits.view(np.int64)
         at = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], ["__at", "__word"])
 

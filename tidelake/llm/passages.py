@@ -8,31 +8,33 @@ windows; a text has about 2n / t of them for a hash function.
 
 1. Texts that are equal, but for white space, form a class; its first document
    stands for it. Copies are returned as membership.
-2. The keys (min-hashes) of the windows of `HASHES` functions are dealt by hash and
-   sorted; a bitmap of those that several texts have keeps other windows out of the
-   exact join that follows. Windows carry digests of what lies left and right of c.
-3. Windows of a key are paired: all of them in groups of at most `small`; in
-   larger ones each with the group's first text and with its neighbours in the
-   order of what lies right, and left, of c, so that texts which go on alike stand
-   side by side. Besides, the texts of larger groups are grouped by every whole run
-   of `least` words that holds such a c, and paired with each run's first text: a
-   run that repeats word for word is found whatever the size of its group.
-4. An interval join per pair of texts keeps rectangles (window x window) that
-   overlap, on both sides by the least passage, with those of enough functions.
-5. Their union is verified on the full texts: stretches of shared shingles with a
+2. The keys (min-hashes) of the windows of `HASHES` functions are counted; bitmaps of
+   those that several texts have keep other windows where they are.
+3. Windows of a key that at most `small` windows have are paired, all with all. An
+   interval join per pair of texts keeps rectangles (window x window) that overlap,
+   on both sides by the least passage, with those of `enough` functions.
+4. The windows of larger groups are told apart by what lies around their c. A passage
+   at 0.8 has a stretch of LONG = 21 shingles word for word, as each change costs some
+   nine shingles on both sides; of each such stretch that holds a c, the run of RUN =
+   11 shingles with the least hash is chosen, so that texts which share a stretch
+   share a run. Texts of a run that at most `few` have are paired, all with all; of
+   others, each with the run's first text.
+5. Regions are verified on the full texts: stretches of shared shingles with a
    set similarity of `similarity` percent or more, of at least `least` words; where
    a stretch is not similar as a whole, its longest parts that are, then equal runs.
-6. Windows of a larger group that passages around their c join get one root. A
-   group that still holds several is compared in blocks: the windows outside its
-   largest root's, `block` at a time, with all its windows, `block` at a time. A
-   task compares whole spans and returns a stretch for two roots at most; these
-   are verified as in 5. So no window of a large group is left without a passage
+6. The members of a run that passages across it join get one root. A run that still
+   holds several is compared in blocks: the members outside its largest root's,
+   `block` at a time, with all its members, `block` at a time, but for those that
+   share fewer shingles with all others than a passage needs. A task compares what
+   lies around the run and returns a stretch for two roots at most; these
+   are verified as in 5. So no member of a large group is left without a passage
    that it has with another, and no group's pairs are ever listed.
 
 Defined cases: null or empty texts, and texts below `least` words, have no
 passages and no copies; repeated passages inside one text don't count, and the first of them is the one reported against a twin; a null
-doc_id is ignored; rows that repeat a doc_id and a text count once; other columns
-are ignored; an empty table gives an empty result.
+doc_id is ignored; rows that repeat a doc_id and a text count once; a word repeated
+over and over is a passage like others; other columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,17 +46,19 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm import bitmap, near_dedup
 from tidelake.llm.base import GOLD, by_bytes, materialise, mix, rolling, text_of, word_hashes, word_places
 
-HASHES, ENOUGH, WORDS, LEAST, SIMILARITY, SMALL, GAP, BLOCK = 5, 2, 5, 50, 80, 16, 15, 512
-#: Numbers, as of a hash function, of runs that are equal word for word, and of stretches found similar in blocks.
-EXACT, NEAR = 100, 101
-#: Rectangles of a pair up to which they are compared with those of other pairs in one go.
-MANY = 64
+HASHES, ENOUGH, WORDS, LEAST, SIMILARITY, SMALL, FEW, GAP, BLOCK = 5, 2, 5, 50, 80, 16, 64, 15, 512
+#: Shingles of the runs by which large groups are told apart; two texts that share LONG shingles in a row share a chosen run.
+RUN, LONG, AROUND = 11, 21, 45
+#: Number, as of a hash function, of rectangles that need no support.
+NEAR = 101
+#: Rectangles of a pair up to which they are compared with those of other pairs in one go; keys in a group of the first pass; bytes of text in a slice.
+MANY, KEYS, SLICE = 64, 1 << 21, 2 << 20
 
 
 def shingle_sequences(texts: pa.Array, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -65,10 +69,6 @@ def shingle_sequences(texts: pa.Array, n: int = WORDS) -> tuple[np.ndarray, np.n
     return rolling.stretches(h, at, at + n), np.maximum(0, sizes - n + 1)
 
 
-def split_at(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
-
-
 def compact_windows(values: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """l, c, r (inclusive) of the Cartesian trees' nodes that span at least width.
 
@@ -111,34 +111,17 @@ def compact_windows(values: np.ndarray, starts: np.ndarray, width: int) -> tuple
     return np.where(left > begin, before + 1, starts[owner]), c, np.where(right < end - 1, after - 1, ends[owner] - 1)
 
 
-def _sides(h: np.ndarray, c: np.ndarray, starts: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sortable digests of what lies right and left of c: a byte each for 6, 12, ... 48 shingles."""
-    sums = np.append(np.uint64(0), np.cumsum(h * (np.uint64(2) * np.arange(len(h), dtype=np.uint64) + np.uint64(1))))
-    plain = np.append(np.uint64(0), np.cumsum(h))
-    ends = np.append(starts[1:], len(h))
-    right, left = np.zeros(len(c), np.int64), np.zeros(len(c), np.int64)
-    for n in range(6, 49, 6):
-        hi = np.minimum(c + n + 1, ends[row[c]])
-        lo = np.maximum(c - n, starts[row[c]])
-        for out, a, b in ((right, c, hi), (left, lo, c + 1)):
-            # A sum weighted by the distance from c, so that equal stretches give equal sums anywhere.
-            d = (sums[b] - sums[a]) - (plain[b] - plain[a]) * (np.uint64(2) * c.astype(np.uint64))
-            out[:] = out << 8 | (mix(d + np.uint64(n)) >> np.uint64(56)).astype(np.int64)
-    return right, left
-
+def text_windows(h: np.ndarray, sizes: np.ndarray, width: int, hashes: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each hash function: text, key, l, c, r of the texts' compact windows; l, c, r count over all texts.
 
-def text_windows(texts: pa.Array, words: int, least: int, hashes: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """For each hash function: text, key, l, c, r of the texts' compact windows, and their sides.
-
-    Of windows with one key in a text whose whole spans are equal, the first stands for all: what
-    they hold repeats inside the text.
+    h, sizes: shingle_sequences of the texts. Of windows with one key in a text whose whole spans
+    are equal, the first stands for all: what they hold repeats inside the text.
     """
-    h, sizes = shingle_sequences(texts, words)
     starts = np.cumsum(sizes) - sizes
     row = np.repeat(np.arange(len(sizes)), sizes)
     for f in range(hashes if len(h) else 0):
         values = mix(h ^ mix(np.array([f + 1], np.uint64) * GOLD)[0])
-        l, c, r = compact_windows(values, starts, least - words + 1)
+        l, c, r = compact_windows(values, starts, width)
         order = np.lexsort((c, values[c], row[c]))
         again = (row[c][order][1:] == row[c][order][:-1]) & (values[c][order][1:] == values[c][order][:-1])
         if again.any():
@@ -149,23 +132,20 @@ def text_windows(texts: pa.Array, words: int, least: int, hashes: int) -> Iterat
             kept[some] = False
             kept[some[first]] = True
             l, c, r = l[kept], c[kept], r[kept]
-        at = starts[row[c]]
-        yield row[c], values[c].view(np.int64), l - at, c - at, r - at, lambda c=c: _sides(h, c, starts, row)
+        yield row[c], values[c].view(np.int64), l, c, r
 
 
-def shared_keys(texts: DataFrame, words: int, least: int, hashes: int) -> DataFrame:
+def shared_keys(texts: DataFrame, words: int, least: int, hashes: int, parts: int) -> DataFrame:
     """__key, __m: the windows' keys that several texts have, and how many windows have them.
 
     A task sends each key once for a slice of its texts, with the numbers of texts and windows, as
-    arrays for each part; a part, no larger than a shuffle partition, is sorted in
-    one group.
+    arrays for each of `parts` parts; a part is sorted in one group.
     """
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for some in by_bytes(b, 1):
-                got = [w[:2] for w in text_windows(some.column(1), words, least, hashes)]
+            for some in by_bytes(b, 1, SLICE):
+                got = [w[:2] for w in text_windows(*shingle_sequences(some.column(1), words), least - words + 1, hashes)]
                 if not got:
                     continue
                 row, key = (np.concatenate(x) for x in zip(*got))
@@ -193,111 +173,162 @@ def shared_keys(texts: DataFrame, words: int, least: int, hashes: int) -> DataFr
     return sent.groupBy("__part").applyInPandas(several, "__key long, __m long")
 
 
-def windows(texts: DataFrame, keys: DataFrame, words: int, least: int, hashes: int) -> DataFrame:
-    """__key, __id, __c, __lr (function, l and r packed), __right, __left, __m of the windows with shared keys."""
-    bits = bitmap.build(keys.select("__key"))
-    names = ["__key", "__id", "__c", "__lr", "__right", "__left"]
+def runs_around(h: np.ndarray, sizes: np.ndarray, c: np.ndarray, l: np.ndarray, r: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Text, hash, start, and hull of the spans l .. r, of the chosen runs of RUN shingles near the places c.
+
+    Of each stretch of LONG shingles that holds a c, the run with the least hash is chosen: texts that
+    share such a stretch share that run. Of equal runs in a text between equal neighbours, the first stands for all.
+    A run of one shingle over and over is chosen last, and only where it goes on for width: a passage that
+    has less of it has what lies beside it too.
+    """
+    none = np.zeros(0, np.int64)
+    starts = np.cumsum(sizes) - sizes
+    ends, row = starts + sizes, np.repeat(np.arange(len(sizes)), sizes)
+    near, n = np.zeros(len(h) + 1, np.int64), LONG - RUN + 1
+    low, high = np.maximum(starts[row[c]], c - LONG + 1), np.minimum(c, ends[row[c]] - LONG) + 1
+    ok = low < high
+    np.add.at(near, low[ok], 1)
+    np.add.at(near, high[ok], -1)
+    first = np.flatnonzero(np.cumsum(near)[:-1] > 0)
+    if not len(first):
+        return none, none, none, none, none
+    at = np.arange(len(h) - RUN + 1)
+    cut = np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1]))
+    stretch = np.cumsum(cut) - 1
+    even = stretch[at] == stretch[at + RUN - 1]
+    hashed = rolling.stretches(h, at, at + RUN) >> np.uint64(1) | even.astype(np.uint64) << np.uint64(63)
+    low_bits = np.uint64((1 << len(h).bit_length()) - 1)
+    least, reach = (hashed & ~low_bits) | at.astype(np.uint64), 1
+    while 2 * reach <= n:
+        least, reach = np.minimum(least[:-reach], least[reach:]), 2 * reach
+    p = np.unique((np.minimum(least[first], least[first + n - reach]) & low_bits).astype(np.int64))
+    p = p[~even[p] | (np.bincount(stretch)[stretch[p]] >= width)]
+    order = np.argsort(c, kind="stable")
+    c = c[order]
+    bounds = np.stack([np.searchsorted(c, p - LONG + RUN, "left"), np.searchsorted(c, p + LONG - 1, "right")], 1).ravel()
+    low, high = (f.reduceat(np.append(x[order], x[order][-1:]), bounds)[::2] for f, x in ((np.minimum, l), (np.maximum, r)))
+    p = np.where(even[p], np.flatnonzero(cut)[stretch[p]], p)
+    own = row[p]
+    around = rolling.stretches(h, np.maximum(starts[own], p - AROUND), np.minimum(ends[own], p + RUN + AROUND))
+    once = np.sort(np.unique(np.stack([own.astype(np.uint64), hashed[p], around], 1), axis=0, return_index=True)[1])
+    p, own = p[once], own[once]
+    low, high = np.maximum(low[once], starts[own]), np.minimum(high[once], ends[own] - 1)
+    return own, hashed[p].view(np.int64), p - starts[own], np.minimum(low, p) - starts[own], np.maximum(high, p + RUN - 1) - starts[own]
+
+
+def windows(texts: DataFrame, keys: DataFrame, words: int, least: int, hashes: int, small: int) -> DataFrame:
+    """__key, __id, __lr, __at: the windows with keys that up to `small` windows share (function, l and r packed; __at null),
+    and the chosen runs around the windows of all larger groups (__key: the run's hash; hull of the spans; place)."""
+    few, many = (bitmap.build(keys.filter(x).select("__key")) for x in (F.col("__m") <= small, F.col("__m") > small))
+    names, width = ["__key", "__id", "__lr", "__at"], least - words + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for some in by_bytes(b, 1):
-                ids = some.column(0).to_numpy()
-                for f, (row, key, l, c, r, sides) in enumerate(text_windows(some.column(1), words, least, hashes)):
-                    ok = bitmap.test(bits.value, key)
-                    right, left = sides()
-                    yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in (key, ids[row], c, f << 56 | l << 28 | r, right, left)], names)
-
-    found = texts.select("__id", "__text").mapInArrow(run, "__key long, __id long, __c long, __lr long, __right long, __left long")
-    return found.join(keys, "__key")
-
-
-def _paired(shared: DataFrame, small: int) -> DataFrame:
-    """Rectangles __a, __b, __lr, __lr2: the texts and packed windows of each pair; shared has __m, the size of the key's group."""
-    few = shared.filter(F.col("__m") <= small)
-    x = few.select("__key", F.col("__id").alias("__a"), "__lr")
-    y = few.select("__key", F.col("__id").alias("__b"), F.col("__lr").alias("__lr2"))
-    out = x.join(y, "__key").filter("__a < __b").drop("__key")
-    many = shared.filter(F.col("__m") > small)
-    first = many.groupBy("__key").agg(F.min(F.struct("__id", "__lr")).alias("__f")).select("__key", F.col("__f.__id").alias("__a"), F.col("__f.__lr").alias("__lr"))
-    more = [many.select("__key", F.col("__id").alias("__b"), F.col("__lr").alias("__lr2")).join(first, "__key").drop("__key")]
-    for order in ("__right", "__left"):
-        w = Window.partitionBy("__key", F.pmod(F.shiftright(order, 40), F.ceil(F.col("__m") / F.lit(4096)))).orderBy(order, "__id", "__c")
-        more.append(many.select(F.col("__id").alias("__a"), "__lr", F.lead("__id").over(w).alias("__b"), F.lead("__lr").over(w).alias("__lr2")).filter("__b is not null"))
-    for pairs in more:
-        out = out.unionByName(pairs)
-    swap = F.col("__a") > F.col("__b")
-    pick = lambda p, q: F.when(swap, F.col(q)).otherwise(F.col(p))
-    out = out.filter("__a <> __b").select(pick("__a", "__b").alias("__a"), pick("__b", "__a").alias("__b"), pick("__lr", "__lr2").alias("__lr"), pick("__lr2", "__lr").alias("__lr2"))
-    return out
+            for some in by_bytes(b, 1, SLICE):
+                ids, hot = some.column(0).to_numpy(), []
+                h, sizes = shingle_sequences(some.column(1), words)
+                starts = np.cumsum(sizes) - sizes
+                for f, (row, key, l, c, r) in enumerate(text_windows(h, sizes, width, hashes)):
+                    ok = bitmap.test(few.value, key)
+                    at = starts[row[ok]]
+                    yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(ids[row[ok]]), pa.array(f << 56 | l[ok] - at << 28 | r[ok] - at), pa.nulls(len(at), pa.int64())], names)
+                    ok = bitmap.test(many.value, key)
+                    hot.append((c[ok], l[ok], r[ok]))
+                if hot:
+                    row, key, at, l, r = runs_around(h, sizes, *(np.concatenate(x) for x in zip(*hot)), width)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, ids[row], NEAR << 56 | l << 28 | r, at)], names)
 
+    return texts.select("__id", "__text").mapInArrow(run, "__key long, __id long, __lr long, __at long")
 
-def _runs_paired(shared: DataFrame, texts: DataFrame, small: int, least: int) -> DataFrame:
-    """Rectangles of texts in large groups that share a whole run of `least` words around a window's c.
 
-    Small groups need none: an equal run gives every function a pair of windows.
-    """
-    many = shared.filter(F.col("__m") > small).groupBy("__id").agg(F.collect_set("__c").alias("__cs"))
+def _paired(rows: DataFrame) -> DataFrame:
+    """Rectangles __a, __b, __lr, __lr2 of all pairs of texts in the groups by __key of rows."""
+    x = rows.select("__key", F.col("__id").alias("__a"), "__lr")
+    y = rows.select("__key", F.col("__id").alias("__b"), F.col("__lr").alias("__lr2"))
+    return x.join(y, "__key").filter("__a < __b").drop("__key")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for some in by_bytes(b, 2):
-                h, sizes = shingle_sequences(some.column(2), least)
-                starts, near = np.cumsum(sizes) - sizes, np.zeros(len(h) + 1, np.int64)
-                owner = np.repeat(np.arange(len(sizes)), pc.list_value_length(some.column(1)).to_numpy())
-                c = some.column(1).flatten().to_numpy()
-                low, high = np.maximum(0, c - least + WORDS), np.minimum(c + 1, sizes[owner])
-                ok = low < high
-                np.add.at(near, (starts[owner] + low)[ok], 1)
-                np.add.at(near, (starts[owner] + high)[ok], -1)
-                at = np.flatnonzero(np.cumsum(near)[:-1] > 0)
-                row = np.repeat(np.arange(len(sizes)), sizes)[at]
-                yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(some.column(0).to_numpy()[row]), pa.array(at - starts[row])], ["__run", "__id", "__at"])
-
-    near = texts.filter(bitmap.maybe(bitmap.build(many.select("__id")), "__id")).join(many, "__id").select("__id", "__cs", "__text")
-    runs = materialise(near.mapInArrow(run, "__run long, __id long, __at long").groupBy("__run", "__id").agg(F.min("__at").alias("__at")), "word-runs")
-    first = runs.groupBy("__run").agg(F.min(F.struct("__id", "__at")).alias("__x"), F.count("*").alias("__n")).filter("__n > 1").drop("__n")
-    pairs = runs.join(first, "__run").filter("__id <> __x.__id")
-    rect = lambda at: F.shiftleft(at, 28).bitwiseOR(at + F.lit(least - WORDS))
-    exact = F.lit(EXACT << 56)
-    return pairs.select(F.col("__x.__id").alias("__a"), F.col("__id").alias("__b"), exact.bitwiseOR(rect(F.col("__x.__at"))).alias("__lr"), rect(F.col("__at")).alias("__lr2"))
-
-
-def _crowded(shared: DataFrame, found: DataFrame, small: int, words: int) -> DataFrame:
-    """__band (the key), __id, __node, __c, __lr, __root, __all, __few, __rest of the windows of large groups that hold several roots."""
-    many = shared.filter(F.col("__m") > small).withColumn("__node", F.xxhash64("__key", "__id", "__c"))
+
+def _starred(rows: DataFrame) -> DataFrame:
+    """Rectangles of each text of a group with the group's first text."""
+    first = rows.groupBy("__key").agg(F.min(F.struct("__id", "__lr")).alias("__f")).select("__key", F.col("__f.__id").alias("__a"), F.col("__f.__lr").alias("__lr"))
+    return rows.select("__key", F.col("__id").alias("__b"), F.col("__lr").alias("__lr2")).join(first, "__key").filter("__a <> __b").select("__a", "__b", "__lr", "__lr2")
+
+
+def _crowded(runs: DataFrame, found: DataFrame, words: int) -> DataFrame:
+    """__band (the run), __id, __node, __at, __root, __all, __few, __rest of the members of runs that still hold several roots."""
+    nodes = runs.withColumn("__node", F.xxhash64("__key", "__id", "__at"))
     inside = lambda at, start, n: (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(start) + F.col(n) - F.lit(words))
-    one = many.select(F.col("__id").alias("doc_id"), "__key", F.col("__c").alias("__x"), F.col("__node").alias("__a"))
-    two = many.select(F.col("__id").alias("twin_id"), "__key", F.col("__c").alias("__y"), F.col("__node").alias("__b"))
+    one = nodes.select(F.col("__id").alias("doc_id"), "__key", F.col("__at").alias("__x"), F.col("__node").alias("__a"))
+    two = nodes.select(F.col("__id").alias("twin_id"), "__key", F.col("__at").alias("__y"), F.col("__node").alias("__b"))
     links = found.join(one, "doc_id").filter(inside("__x", "start", "n_words")).join(two, ["twin_id", "__key"]).filter(inside("__y", "twin_start", "twin_words"))
-    # Two steps towards the smallest node: what has one root is linked, and what is linked may still have two.
-    hooks = links.select(F.greatest("__a", "__b").alias("__id"), F.least("__a", "__b").alias("__root")).filter("__id <> __root").groupBy("__id").agg(F.min("__root").alias("__root"))
+    # Two steps towards the first text: what has one root is linked, and what is linked may still have two.
+    hooks = links.groupBy(F.col("__b").alias("__id")).agg(F.min(F.struct("doc_id", "__x", "__a")).alias("__m")).select("__id", F.col("__m.__a").alias("__root"))
     hooks = materialise(hooks, "hooks")
     roots = near_dedup.relabel(hooks, "__root", hooks)
-    placed = near_dedup.relabel(many.select(F.col("__key").alias("__band"), "__id", "__node", "__c", "__lr", F.col("__node").alias("__root")), "__root", roots)
+    placed = near_dedup.relabel(nodes.select(F.col("__key").alias("__band"), "__id", "__node", "__at", F.col("__node").alias("__root")), "__root", roots)
     return near_dedup._crowded(placed).drop("__roots")
 
 
-def _spans(crowded: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """The windows of crowded groups with __span, the hashes of the shingles l .. r."""
-    mask = (1 << 28) - 1
-    kinds = {"__band": "long", "__node": "long", "__root": "long", "__all": "long", "__few": "long", "__rest": "boolean", "__c": "long", "__lr": "long"}
-    lists = crowded.groupBy("__id").agg(F.collect_list(F.struct(*kinds)).alias("__w"))
+def _promising(spans: DataFrame) -> DataFrame:
+    """The rows of spans that have as many distinct shingles in common with others of their run as a passage needs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for some in by_bytes(b, 2, SLICE):
+                sets = [np.unique(np.frombuffer(s, np.int64)) for s in some.column(2).to_pylist()]
+                sizes = [len(s) for s in sets]
+                row = np.repeat(np.arange(len(sets)), sizes)
+                yield pa.RecordBatch.from_arrays([*(some.column(i).take(pa.array(row)) for i in (0, 1, 3, 4)), pa.array(np.concatenate(sets))], ["__band", "__node", "__id", "__need", "__h"])
+
+    rows = spans.select("__band", "__node", "__span", "__id", "__need").mapInArrow(run, "__band long, __node long, __id long, __need long, __h long")
+    common = rows.groupBy("__band", "__h").agg(F.min("__id").alias("__p"), F.max("__id").alias("__q")).filter("__p <> __q").select("__band", "__h")
+    counted = rows.join(common, ["__band", "__h"]).groupBy("__node", "__need").agg(F.count("*").alias("__n"))
+    return spans.join(counted.filter("__n >= __need").select("__node"), "__node", "left_semi")
+
+
+def _spans(crowded: DataFrame, texts: DataFrame, words: int, width: int, similarity: int) -> DataFrame:
+    """The members of crowded runs with __lr and __span, the shingles around the run and their hashes, and __need, the distinct ones that a passage shares at least.
+
+    A passage of more than 2 * width shingles has a half that is as similar; so what lies within
+    2 * width of the run decides.
+    """
+    kinds = {"__band": "long", "__node": "long", "__root": "long", "__at": "long"}
+    lists = _listed(crowded.select("__id", F.struct(*kinds).alias("__x")), "__x")
     near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists, "__id").select("__id", "__w", "__text")
+    names = [*kinds, "__id", "__lr", "__need", "__span"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for some in by_bytes(b, 2, 1 << 17):
+            for some in by_bytes(b, 2, SLICE >> 3):
                 h, sizes = shingle_sequences(some.column(2), words)
                 starts = np.cumsum(sizes) - sizes
                 own = np.repeat(np.arange(len(sizes)), pc.list_value_length(some.column(1)).to_numpy())
-                flat = some.column(1).flatten()
-                cols = dict(zip(kinds, flat.flatten()))
-                lr = cols["__lr"].to_numpy()
-                low, high = starts[own] + (lr >> 28 & mask), starts[own] + (lr & mask) + 1
-                spans = [h[i:j].tobytes() for i, j in zip(low.tolist(), high.tolist())]
-                yield pa.RecordBatch.from_arrays([*cols.values(), pa.array(some.column(0).to_numpy()[own]), pa.array(spans, pa.binary())], [*kinds, "__id", "__span"])
+                cols = dict(zip(kinds, some.column(1).flatten().flatten()))
+                at = cols["__at"].to_numpy()
+                low, high = np.maximum(0, at - 2 * width), np.minimum(sizes[own] - 1, at + RUN + 2 * width)
+                spans = [h[i:j] for i, j in zip((starts[own] + low).tolist(), (starts[own] + high + 1).tolist())]
+                need = [int(np.ceil(similarity / 100 * _fewest(s, i, width) - 1e-9)) for s, i in zip(spans, (at - low).tolist())]
+                yield pa.RecordBatch.from_arrays([*cols.values(), pa.array(some.column(0).to_numpy()[own]), pa.array(low << 28 | high), pa.array(need, pa.int64()), pa.array([s.tobytes() for s in spans], pa.binary())], names)
 
-    return near.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in kinds.items()) + ", __id long, __span binary")
+    return near.mapInArrow(run, ", ".join(f"{n} long" for n in names[:-1]) + ", __span binary")
+
+
+def _fewest(span: np.ndarray, at: int, width: int) -> int:
+    """The least number of distinct shingles in a stretch of width of the span that holds the run at `at`."""
+    order = np.argsort(span, kind="stable")
+    again = np.flatnonzero(span[order][1:] == span[order][:-1]) + 1
+    if not len(again):
+        return width
+    before = np.full(len(span), -1)  # where each shingle came last
+    before[order[again]] = order[again - 1]
+    return min((np.count_nonzero(before[w : w + width] < w) for w in range(max(0, at + RUN - width), min(at, len(span) - width) + 1)), default=width)
+
+
+def _listed(rows: DataFrame, column: str, most: int = 1024) -> DataFrame:
+    """__id, __w: lists of the column's values by __id, of about `most` values each, so that no list grows with the rows of an id."""
+    sizes = rows.groupBy("__id").agg(F.ceil(F.count("*") / F.lit(most)).alias("__k"))
+    salted = rows.join(sizes, "__id").withColumn("__salt", F.pmod(F.xxhash64(column), "__k"))
+    return salted.groupBy("__id", "__salt").agg(F.collect_list(column).alias("__w")).drop("__salt")
 
 
 def _common(one: list[np.ndarray], two: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -323,7 +354,7 @@ def _common(one: list[np.ndarray], two: list[np.ndarray], columns: int = 4096) -
 
 
 def similar_spans(one: pd.DataFrame, two: pd.DataFrame, width: int, similarity: int) -> list[tuple[int, int, int, int]]:
-    """a, b and packed stretches of passages around c, for two components at most; rows of __id, __node, __root, __rest, __c, __lr, __span."""
+    """a, b and packed stretches of passages around the run, for two components at most; rows of __id, __node, __root, __rest, __at, __lr, __span."""
     mask, out, up = (1 << 28) - 1, [], {}
 
     def top(x: int) -> int:
@@ -332,8 +363,7 @@ def similar_spans(one: pd.DataFrame, two: pd.DataFrame, width: int, similarity:
         return x
 
     spans = [[np.frombuffer(s, np.uint64) for s in side["__span"]] for side in (one, two)]
-    # A passage has at least width shingles, each as often as in the whole span at most.
-    need = [np.array([np.ceil(similarity / 100 * width / np.unique(s, return_counts=True)[1].max() - 1e-9) for s in some]) for some in spans]
+    need = [side["__need"].to_numpy() for side in (one, two)]
     ids, nodes, roots = ([side[c].to_numpy() for side in (one, two)] for c in ("__id", "__node", "__root"))
     same = _common(*spans)
     ok = (same >= np.maximum(need[0][:, None], need[1][None, :])) & (ids[0][:, None] != ids[1][None, :]) & (roots[0][:, None] != roots[1][None, :])
@@ -341,7 +371,7 @@ def similar_spans(one: pd.DataFrame, two: pd.DataFrame, width: int, similarity:
     i, j = np.nonzero(ok)
     order = np.argsort(-same[i, j], kind="stable")
     lefts = [(side["__lr"].to_numpy() >> 28 & mask).tolist() for side in (one, two)]
-    places = [side["__c"].to_numpy().tolist() for side in (one, two)]
+    places = [side["__at"].to_numpy().tolist() for side in (one, two)]
     for p, q in zip(i[order].tolist(), j[order].tolist()):
         x, y = top(int(roots[0][p])), top(int(roots[1][q]))
         if x == y:
@@ -358,10 +388,10 @@ def similar_spans(one: pd.DataFrame, two: pd.DataFrame, width: int, similarity:
 
 
 def _blocks(spans: DataFrame, width: int, similarity: int, block: int) -> DataFrame:
-    """Rectangles that link different components of a large group: its windows, dealt to blocks, each block against each in a group of its own."""
+    """Rectangles that link different components of a run: its members, dealt to blocks, each block against each in a group of its own."""
     k = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
     dealt = spans.withColumns({"__i": F.pmod(F.xxhash64("__node"), k("__few")).cast("int"), "__j": F.pmod(F.xxhash64("__node"), k("__all")).cast("int")})
-    names = ["__band", "__id", "__node", "__root", "__rest", "__c", "__lr", "__span"]
+    names = ["__band", "__id", "__node", "__root", "__rest", "__at", "__lr", "__need", "__span"]
     left = dealt.filter("__rest").select(*names, F.lit(True).alias("__left"), "__i", F.explode(F.sequence(F.lit(0), k("__all") - 1)).alias("__j"))
     right = dealt.select(*names, F.lit(False).alias("__left"), F.explode(F.sequence(F.lit(0), k("__few") - 1)).alias("__i"), "__j")
 
@@ -377,12 +407,10 @@ def regions(rects: np.ndarray, width: int, enough: int) -> list[tuple[int, int,
     """Regions (l, r, l2, r2), inclusive, that hold the rectangles supported by enough functions.
 
     rects: rows of function, l, r, l2, r2. A rectangle is supported by those that
-    overlap it by width on both sides; one of EXACT or NEAR needs no other.
+    overlap it by width on both sides; one of NEAR needs no other.
     """
-    exact = _merged(rects[rects[:, 0] == EXACT])
-    rects = np.concatenate([rects[rects[:, 0] != EXACT], exact])
     rects = rects[np.argsort(rects[:, 1], kind="stable")]
-    good = rects[:, 0] >= EXACT
+    good = rects[:, 0] == NEAR
     for k in range(0, len(rects), 256):  # some rows with those that may overlap them
         f, l, r, l2, r2 = (x[:, None] for x in rects[k : k + 256].T)
         near = rects[(rects[:, 1] <= r.max()) & (rects[:, 2] >= l.min())]
@@ -423,24 +451,11 @@ def _voted(rects: np.ndarray, sizes: np.ndarray, width: int, enough: int, most:
         i, j = i[ok], j[ok]
         ok = np.minimum(r2[i], r2[j]) - np.maximum(l2[i], l2[j]) + 1 >= width
         votes = np.bincount(np.unique(i[ok] << 7 | f[j[ok]]) >> 7, minlength=len(each))
-        good[base : ends[stop - 1]] = votes >= enough
+        good[base : ends[stop - 1]] = (votes >= enough) | (f == NEAR)
         at = stop
     return good
 
 
-def _merged(rects: np.ndarray) -> np.ndarray:
-    """Rectangles of equal runs, joined where they follow one another on a diagonal."""
-    if len(rects) < 2:
-        return rects
-    shift = rects[:, 3] - rects[:, 1]
-    order = np.lexsort((rects[:, 1], shift))
-    rects, shift = rects[order], shift[order]
-    first = np.append(True, (shift[1:] != shift[:-1]) | (rects[1:, 1] > rects[:-1, 2] + 1))
-    at = np.flatnonzero(first)
-    last = np.append(at[1:], len(rects)) - 1
-    return np.stack([rects[at, 0], rects[at, 1], rects[last, 2], rects[at, 3], rects[last, 4]], 1)
-
-
 def _runs(places: np.ndarray, gap: int) -> list[tuple[int, int]]:
     if not len(places):
         return []
@@ -598,7 +613,7 @@ def _digests(base: DataFrame, least: int) -> DataFrame:
     return base.mapInArrow(run, "__id long, __same binary, __n long")
 
 
-def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: int = SIMILARITY, hashes: int = HASHES, enough: int = ENOUGH, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: int = SIMILARITY, hashes: int = HASHES, enough: int = ENOUGH, small: int = SMALL, few: int = FEW, block: int = BLOCK) -> DataFrame:
     """doc_id, twin_id, start, n_words, twin_start, twin_words, similarity, kind.
 
     kind `passage`: words start .. start + n_words - 1 of the document repeat in
@@ -609,17 +624,24 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
     classes = materialise(_digests(base, least), "texts")
     firsts = classes.groupBy("__same").agg(F.min("__id").alias("__first"), F.count("*").alias("__k")).filter("__k > 1").drop("__k")
     copies = materialise(classes.join(firsts, "__same").filter("__id <> __first").select("__id", "__first", "__n").distinct(), "copies")
-    gone = bitmap.build(copies.select("__id"))
-    unsure = base.filter(bitmap.maybe(gone, "__id")).join(copies.select("__id").distinct(), "__id", "left_anti")
-    texts = base.filter(~bitmap.maybe(gone, "__id")).unionByName(unsure)
-    keys = materialise(shared_keys(texts, words, least, hashes), "keys")
-    shared = materialise(windows(texts, keys, words, least, hashes), "windows")
-    rects = _paired(shared, small).unionByName(_runs_paired(shared, texts, small, least))
-    found = materialise(_checked(materialise(_supported(rects, least - words + 1, enough), "regions"), texts, words, least, similarity), "passages")
-    crowded = materialise(_crowded(shared, found, small, words), "crowded")
+    texts = _apart(base, copies)
+    width = least - words + 1
+    n = classes.agg(F.sum("__n")).first()[0] or 0
+    parts = int(2 * hashes * n / width / KEYS) + 1  # a text of n words has about 2 n / width windows for a function
+    parts = max(parts, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keys = materialise(shared_keys(texts, words, least, hashes, parts), "keys")
+    shared = materialise(windows(texts, keys, words, least, hashes, small), "windows")
+    rare = shared.filter("__at is null").join(keys.filter(F.col("__m") <= small).select("__key"), "__key").drop("__at")
+    runs = shared.filter("__at is not null")
+    sizes = materialise(runs.groupBy("__key").agg(F.count("*").alias("__m")).filter("__m > 1"), "runs")
+    common = runs.join(sizes.filter(F.col("__m") > few).select("__key"), "__key")
+    rects = _paired(rare).unionByName(_paired(runs.join(sizes.filter(F.col("__m") <= few).select("__key"), "__key").drop("__at"))).unionByName(_starred(common))
+    found = materialise(_checked(_supported(rects, width, enough), texts, words, least, similarity), "passages")
+    crowded = materialise(_crowded(common.drop("__lr"), found, words), "crowded")
     if not crowded.isEmpty():
-        rects = _blocks(materialise(_spans(crowded, texts, words), "spans"), least - words + 1, similarity, block)
-        more = _checked(materialise(_supported(rects, least - words + 1, enough), "regions"), texts, words, least, similarity)
+        spans = materialise(_promising(materialise(_spans(crowded, texts, words, width, similarity), "spans")), "spans")
+        again = near_dedup._crowded(spans).drop("__roots")
+        more = _checked(_supported(_blocks(again, width, similarity, block), width, enough), texts, words, least, similarity)
         found = found.unionByName(more).distinct()
     zero, n = F.lit(0).cast("long"), F.col("__n")
     return found.unionByName(
@@ -627,89 +649,103 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
     )
 
 
+def _apart(base: DataFrame, copies: DataFrame) -> DataFrame:
+    """The rows of base that are no copies. Only what a bitmap can't rule out is joined."""
+    gone = bitmap.build(copies.select("__id"))
+    unsure = base.filter(bitmap.maybe(gone, "__id")).join(copies.select("__id").distinct(), "__id", "left_anti")
+    return base.filter(~bitmap.maybe(gone, "__id")).unionByName(unsure)
+
+
 def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
     """__a, __b, __regions (flat: l, r, l2, r2 of each) of the pairs of texts that have any; a pair's rectangles come one after another."""
     mask = (1 << 28) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 4
+        held: list[list[np.ndarray]] = []  # of the pair that may go on
         for b in batches:
-            held = [np.concatenate([x, b.column(i).to_numpy()]) for i, x in enumerate(held)]
-            new = np.flatnonzero((held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1])) + 1
-            if len(new):  # the last pair may go on
-                yield joined([x[: new[-1]] for x in held], np.append(0, new[:-1]))
-                held = [x[new[-1] :] for x in held]
-        if len(held[0]):
-            yield joined(held, np.zeros(1, np.int64))
-
-    def joined(columns: list[np.ndarray], starts: np.ndarray) -> pa.RecordBatch:
+            some = [b.column(i).to_numpy() for i in range(4)]
+            new = np.flatnonzero((some[0][1:] != some[0][:-1]) | (some[1][1:] != some[1][:-1])) + 1
+            if held and len(some[0]) and (held[-1][0][-1], held[-1][1][-1]) != (some[0][0], some[1][0]):
+                new = np.append(0, new)
+            if len(new):
+                yield joined([np.concatenate([*(h[i] for h in held), x[: new[-1]]]) for i, x in enumerate(some)])
+                held = []
+                some = [x[new[-1] :] for x in some]
+            held.append(some)
+        if held:
+            yield joined([np.concatenate(x) for x in zip(*held)])
+
+    def joined(columns: list[np.ndarray]) -> pa.RecordBatch:
         a, b, x, y = columns
-        pair = np.zeros(len(a), np.int64)
-        pair[starts[1:]] = 1
-        pair = np.cumsum(pair)
+        first = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
+        starts, pair = np.flatnonzero(first), np.cumsum(first) - 1
         order = np.lexsort((y, x, pair))
         x, y = x[order], y[order]
-        once = np.append(True, (pair[1:] != pair[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
+        once = np.append(True, (pair[1:] != pair[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))[: len(x)]
         x, y, pair = x[once], y[once], pair[once]
         rows = np.stack([x >> 56, x >> 28 & mask, x & mask, y >> 28 & mask, y & mask], 1)
         sizes = np.bincount(pair, minlength=len(starts))
-        # Runs of words have a way of their own, and so have pairs with many rectangles.
-        other = (np.bincount(pair[rows[:, 0] >= EXACT], minlength=len(starts)) > 0) | (sizes > MANY)
+        many = sizes > MANY  # these are compared one pair at a time
         good = np.ones(len(rows), bool)
-        good[~other[pair]] = _voted(rows[~other[pair]], sizes[~other], width, enough)
+        good[~many[pair]] = _voted(rows[~many[pair]], sizes[~many], width, enough)
         rows, pair = rows[good], pair[good]
         order = np.lexsort((rows[:, 1], pair))
-        rows, pair = rows[np.where(other[pair], np.arange(len(pair)), order)], pair
+        rows = rows[order]
         at = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
-        out = [(p, regions(r, width, enough) if other[p] else _covering(r)) for p, r in zip(pair[at].tolist(), np.split(rows, at[1:]))]
+        out = [(p, regions(r, width, enough) if many[p] else _covering(r)) for p, r in zip(pair[at].tolist(), np.split(rows, at[1:]))]
         out = [(starts[p], g) for p, g in out if g]
         at = [s for s, _ in out]
         return pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(b[at]), pa.array([[v for q in g for v in q] for _, g in out], pa.list_(pa.int64()))], ["__a", "__b", "__regions"])
 
-    return rects.repartition("__a", "__b").sortWithinPartitions("__a", "__b").mapInArrow(run, "__a long, __b long, __regions array<long>")
-
-
-def _once(ids: pa.Array, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The texts without those that repeat the row before, and each row's place among them."""
-    i = ids.to_numpy()
-    new = np.append(True, i[1:] != i[:-1])[: len(i)]
-    return texts.take(pa.array(np.flatnonzero(new))), np.cumsum(new) - 1
+    rows = rects.select("__a", "__b", "__lr", "__lr2").repartition("__a", "__b").sortWithinPartitions("__a", "__b")
+    return rows.mapInArrow(run, "__a long, __b long, __regions array<long>")
 
 
 def _checked(supported: DataFrame, texts: DataFrame, words: int, least: int, similarity: int) -> DataFrame:
-    """The passages of the pairs' regions: the second text's words in them are cut out first, then brought to the first text."""
+    """The passages of the pairs' regions. Each text's stretches are cut out as shingle hashes and meet by pair, so no text is sent whole or once for a pair."""
     width = least - words + 1
-    ends = supported.select("__a").union(supported.select("__b")).distinct()
-    near = texts.filter(bitmap.maybe(bitmap.build(ends), "__id"))
+    supported = materialise(supported, "regions")
+    of = lambda text, odd: supported.select(F.col(text).alias("__id"), F.struct("__a", "__b", F.lit(odd).alias("__odd"), "__regions").alias("__x"))
+    lists = materialise(_listed(of("__a", False).unionByName(of("__b", True)), "__x"), "stretches")
+    near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists, "__id").select("__w", "__text")
+    names = ["__a", "__b", "__odd", "__regions", "__cut"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in by_bytes(batch, 3):
-                once, own = _once(some.column(1), some.column(3))
-                data, starts, stops, sizes = word_places(once)
-                at = np.cumsum(sizes) - sizes
-                cuts = [[data[starts[k + l2] : stops[k + r2 + words - 1]].tobytes().decode() for l2, r2 in zip(flat[2::4], flat[3::4])] for k, flat in zip(at[own].tolist(), some.column(2).to_pylist())]
-                yield pa.RecordBatch.from_arrays([*(some.column(i) for i in range(3)), pa.array(cuts, pa.list_(pa.string()))], ["__a", "__b", "__regions", "__cuts"])
+            for some in by_bytes(batch, 1, SLICE >> 2):
+                h, sizes = shingle_sequences(some.column(1), words)
+                starts = np.cumsum(sizes) - sizes
+                own = np.repeat(starts, pc.list_value_length(some.column(0)).to_numpy()).tolist()
+                cols = some.column(0).flatten().flatten()
+                for k in range(0, len(own), 256):
+                    a, b, odd, flat = (c.slice(k, 256) for c in cols)
+                    cuts = []
+                    for at, o, q in zip(own[k : k + 256], odd.to_pylist(), flat.to_pylist()):
+                        lows, highs = (q[2::4], q[3::4]) if o else (q[::4], q[1::4])
+                        cuts.append(b"".join(h[at + i : at + j + 1].tobytes() for i, j in zip(lows, highs)))
+                    yield pa.RecordBatch.from_arrays([a, b, odd, flat, pa.array(cuts, pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [*[pa.int64()] * 6, pa.float64(), pa.string()]
+        kinds, held = [*[pa.int64()] * 6, pa.float64(), pa.string()], None
         for batch in batches:
-            for some in by_bytes(batch, 4):
+            for some in by_bytes(batch, 4, SLICE):
                 out = []
-                once, own = _once(some.column(0), some.column(4))
-                x, y = split_at(*shingle_sequences(once, words)), iter(split_at(*shingle_sequences(some.column(3).flatten(), words)))
-                for a, b, flat, k in zip(*(some.column(i).to_pylist() for i in range(3)), own.tolist()):
+                for a, b, odd, flat, raw in zip(*(some.column(i).to_pylist() for i in range(5))):
+                    if not odd:
+                        held = raw
+                        continue
+                    x, y, at, at2 = np.frombuffer(held, np.uint64), np.frombuffer(raw, np.uint64), 0, 0
                     for l, r, l2, r2 in zip(*(flat[i::4] for i in range(4))):
-                        for s, e, s2, e2, j in passages(x[k], next(y), (l, r, 0, r2 - l2), width, similarity):
-                            out.append((a, b, s, e - s + words, l2 + s2, e2 - s2 + words, j, "passage"))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 8, kinds)], names)
-
-    names = ["doc_id", "twin_id", "start", "n_words", "twin_start", "twin_words", "similarity", "kind"]
-    schema = "doc_id long, twin_id long, start long, n_words long, twin_start long, twin_words long, similarity double, kind string"
-    second = supported.join(near.select(F.col("__id").alias("__b"), "__text"), "__b").select("__a", "__b", "__regions", "__text")
-    cuts = second.mapInArrow(cut, "__a long, __b long, __regions array<long>, __cuts array<string>")
-    both = cuts.join(near.select(F.col("__id").alias("__a"), "__text"), "__a").select("__a", "__b", "__regions", "__cuts", "__text")
-    return both.mapInArrow(run, schema)
+                        n, n2 = r - l + 1, r2 - l2 + 1
+                        for s, e, s2, e2, j in passages(x[at : at + n], y[at2 : at2 + n2], (0, n - 1, 0, n2 - 1), width, similarity):
+                            out.append((a, b, l + s, e - s + words, l2 + s2, e2 - s2 + words, j, "passage"))
+                        at, at2 = at + n, at2 + n2
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 8, kinds)], result)
+
+    result = ["doc_id", "twin_id", "start", "n_words", "twin_start", "twin_words", "similarity", "kind"]
+    cuts = near.mapInArrow(cut, "__a long, __b long, __odd boolean, __regions array<long>, __cut binary")
+    both = cuts.repartition("__a", "__b").sortWithinPartitions("__a", "__b", "__odd")
+    return both.mapInArrow(run, "doc_id long, twin_id long, start long, n_words long, twin_start long, twin_words long, similarity double, kind string")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
