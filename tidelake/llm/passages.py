@@ -22,12 +22,12 @@ windows; a text has about 2n / t of them for a hash function.
 5. Regions are verified on the full texts: stretches of shared shingles with a
    set similarity of `similarity` percent or more, of at least `least` words; where
    a stretch is not similar as a whole, its longest parts that are, then equal runs.
-6. The members of a run that passages across it join get one root. A run that still
-   holds several is compared in blocks: the members outside its largest root's,
-   `block` at a time, with all its members, `block` at a time, but for those that
-   share fewer shingles with all others than a passage needs. A task compares what
-   lies around the run and returns a stretch for two roots at most; these
-   are verified as in 5. So no member of a large group is left without a passage
+6. The members of a run that have a passage across it with the first text get its root.
+   The others, but for those that share fewer shingles with all other members than a
+   passage needs, are compared with `PIVOTS` members, and what a run's largest root
+   then leaves out, `block` at a time, with all its members, `block` at a time. A
+   task compares what lies around the run and returns a stretch for two roots at
+   most; these are verified as in 5. So no member of a large group is left without a passage
    that it has with another, and no group's pairs are ever listed.
 
 Defined cases: null or empty texts, and texts below `least` words, have no
@@ -46,7 +46,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm import bitmap, near_dedup
@@ -54,7 +54,7 @@ from tidelake.llm.base import GOLD, by_bytes, materialise, mix, rolling, text_of
 
 HASHES, ENOUGH, WORDS, LEAST, SIMILARITY, SMALL, FEW, GAP, BLOCK = 5, 2, 5, 50, 80, 16, 64, 15, 512
 #: Shingles of the runs by which large groups are told apart; two texts that share LONG shingles in a row share a chosen run.
-RUN, LONG, AROUND = 11, 21, 45
+RUN, LONG, AROUND, PIVOTS = 11, 21, 45, 64
 #: Number, as of a hash function, of rectangles that need no support.
 NEAR = 101
 #: Rectangles of a pair up to which they are compared with those of other pairs in one go; keys in a group of the first pass; bytes of text in a slice.
@@ -146,7 +146,7 @@ def shared_keys(texts: DataFrame, words: int, least: int, hashes: int, parts: in
         for b in batches:
             for some in by_bytes(b, 1, SLICE):
                 got = [w[:2] for w in text_windows(*shingle_sequences(some.column(1), words), least - words + 1, hashes)]
-                if not got:
+                if not sum(len(w[0]) for w in got):
                     continue
                 row, key = (np.concatenate(x) for x in zip(*got))
                 order = np.lexsort((row, key))
@@ -249,24 +249,25 @@ def _paired(rows: DataFrame) -> DataFrame:
 
 
 def _starred(rows: DataFrame) -> DataFrame:
-    """Rectangles of each text of a group with the group's first text."""
-    first = rows.groupBy("__key").agg(F.min(F.struct("__id", "__lr")).alias("__f")).select("__key", F.col("__f.__id").alias("__a"), F.col("__f.__lr").alias("__lr"))
-    return rows.select("__key", F.col("__id").alias("__b"), F.col("__lr").alias("__lr2")).join(first, "__key").filter("__a <> __b").select("__a", "__b", "__lr", "__lr2")
-
-
-def _crowded(runs: DataFrame, found: DataFrame, words: int) -> DataFrame:
-    """__band (the run), __id, __node, __at, __root, __all, __few, __rest of the members of runs that still hold several roots."""
-    nodes = runs.withColumn("__node", F.xxhash64("__key", "__id", "__at"))
-    inside = lambda at, start, n: (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(start) + F.col(n) - F.lit(words))
-    one = nodes.select(F.col("__id").alias("doc_id"), "__key", F.col("__at").alias("__x"), F.col("__node").alias("__a"))
-    two = nodes.select(F.col("__id").alias("twin_id"), "__key", F.col("__at").alias("__y"), F.col("__node").alias("__b"))
-    links = found.join(one, "doc_id").filter(inside("__x", "start", "n_words")).join(two, ["twin_id", "__key"]).filter(inside("__y", "twin_start", "twin_words"))
-    # Two steps towards the first text: what has one root is linked, and what is linked may still have two.
-    hooks = links.groupBy(F.col("__b").alias("__id")).agg(F.min(F.struct("doc_id", "__x", "__a")).alias("__m")).select("__id", F.col("__m.__a").alias("__root"))
-    hooks = materialise(hooks, "hooks")
-    roots = near_dedup.relabel(hooks, "__root", hooks)
-    placed = near_dedup.relabel(nodes.select(F.col("__key").alias("__band"), "__id", "__node", "__at", F.col("__node").alias("__root")), "__root", roots)
-    return near_dedup._crowded(placed).drop("__roots")
+    """Rectangles of each text of a run with the run's first text; with the run, and its places __x and __y in the two texts."""
+    first = rows.groupBy("__key").agg(F.min(F.struct("__id", "__lr", "__at")).alias("__f")).select("__key", F.col("__f.__id").alias("__a"), F.col("__f.__lr").alias("__lr"), F.col("__f.__at").alias("__x"))
+    return rows.select("__key", F.col("__id").alias("__b"), F.col("__lr").alias("__lr2"), F.col("__at").alias("__y")).join(first, "__key").filter("__a <> __b")
+
+
+def _crowded(runs: DataFrame, left: DataFrame) -> DataFrame:
+    """__band (the run), __id, __node, __at, __root, __rest of the members of runs in which some, left (__key, __id, __at), have no passage with the first text."""
+    nodes = runs.select(F.col("__key").alias("__band"), "__id", "__at").distinct()
+    rest = left.select(F.col("__key").alias("__band"), "__id", "__at", F.lit(True).alias("__rest")).distinct()
+    members = nodes.join(rest.select("__band").distinct(), "__band", "left_semi").join(rest, ["__band", "__id", "__at"], "left")
+    rest = F.coalesce("__rest", F.lit(False))
+    node = F.xxhash64("__band", "__id", "__at")
+    return members.select("__band", "__id", node.alias("__node"), "__at", F.when(rest, node).otherwise(F.col("__band")).alias("__root"), rest.alias("__rest"))
+
+
+def _sized(members: DataFrame) -> DataFrame:
+    """members of runs that hold several roots, with __all and __few: how many there are, and how many of them are __rest."""
+    sizes = members.groupBy("__band").agg(F.count("*").alias("__all"), F.count_if("__rest").alias("__few")).filter("__all > 1 and __few > 0")
+    return members.join(sizes, "__band")
 
 
 def _promising(spans: DataFrame) -> DataFrame:
@@ -292,7 +293,7 @@ def _spans(crowded: DataFrame, texts: DataFrame, words: int, width: int, similar
     A passage of more than 2 * width shingles has a half that is as similar; so what lies within
     2 * width of the run decides.
     """
-    kinds = {"__band": "long", "__node": "long", "__root": "long", "__at": "long"}
+    kinds = {"__band": "long", "__node": "long", "__root": "long", "__at": "long", "__rest": "boolean"}
     lists = _listed(crowded.select("__id", F.struct(*kinds).alias("__x")), "__x")
     near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists, "__id").select("__id", "__w", "__text")
     names = [*kinds, "__id", "__lr", "__need", "__span"]
@@ -310,7 +311,7 @@ def _spans(crowded: DataFrame, texts: DataFrame, words: int, width: int, similar
                 need = [int(np.ceil(similarity / 100 * _fewest(s, i, width) - 1e-9)) for s, i in zip(spans, (at - low).tolist())]
                 yield pa.RecordBatch.from_arrays([*cols.values(), pa.array(some.column(0).to_numpy()[own]), pa.array(low << 28 | high), pa.array(need, pa.int64()), pa.array([s.tobytes() for s in spans], pa.binary())], names)
 
-    return near.mapInArrow(run, ", ".join(f"{n} long" for n in names[:-1]) + ", __span binary")
+    return near.mapInArrow(run, ", ".join(f"{n} {kinds.get(n, 'long')}" for n in names[:-1]) + ", __span binary")
 
 
 def _fewest(span: np.ndarray, at: int, width: int) -> int:
@@ -353,54 +354,110 @@ def _common(one: list[np.ndarray], two: list[np.ndarray], columns: int = 4096) -
     return same
 
 
-def similar_spans(one: pd.DataFrame, two: pd.DataFrame, width: int, similarity: int) -> list[tuple[int, int, int, int]]:
-    """a, b and packed stretches of passages around the run, for two components at most; rows of __id, __node, __root, __rest, __at, __lr, __span."""
-    mask, out, up = (1 << 28) - 1, [], {}
-
-    def top(x: int) -> int:
-        while up.get(x, x) != x:
-            x = up[x]
-        return x
+def similar_spans(one: pd.DataFrame, two: pd.DataFrame, width: int, similarity: int) -> tuple[list[tuple[int, int, int, int]], dict[int, int]]:
+    """a, b and packed stretches of passages around the run, for two roots at most, and what the roots so linked turn into.
 
+    one, two: rows of __id, __root, __at, __lr, __need, __span.
+    """
+    mask, out, up = (1 << 28) - 1, [], {}
     spans = [[np.frombuffer(s, np.uint64) for s in side["__span"]] for side in (one, two)]
-    need = [side["__need"].to_numpy() for side in (one, two)]
-    ids, nodes, roots = ([side[c].to_numpy() for side in (one, two)] for c in ("__id", "__node", "__root"))
+    need, ids, roots, lr, at = ([side[c].to_numpy() for side in (one, two)] for c in ("__need", "__id", "__root", "__lr", "__at"))
+    roots, left = [r.copy() for r in roots], [x >> 28 & mask for x in lr]
     same = _common(*spans)
-    ok = (same >= np.maximum(need[0][:, None], need[1][None, :])) & (ids[0][:, None] != ids[1][None, :]) & (roots[0][:, None] != roots[1][None, :])
-    ok &= ~two["__rest"].to_numpy(bool)[None, :] | (nodes[0][:, None] < nodes[1][None, :])  # else met twice
-    i, j = np.nonzero(ok)
-    order = np.argsort(-same[i, j], kind="stable")
-    lefts = [(side["__lr"].to_numpy() >> 28 & mask).tolist() for side in (one, two)]
-    places = [side["__at"].to_numpy().tolist() for side in (one, two)]
-    for p, q in zip(i[order].tolist(), j[order].tolist()):
-        x, y = top(int(roots[0][p])), top(int(roots[1][q]))
-        if x == y:
+    ok = (same >= np.maximum(need[0][:, None], need[1][None, :])) & (ids[0][:, None] != ids[1][None, :])
+    known = np.unique(np.concatenate(spans[0] + spans[1]))
+    codes = [_coded(some, known) for some in spans]
+    sets = np.zeros((len(spans[1]), len(known) + 1), bool)  # the last column is for what fills up shorter spans
+    np.put_along_axis(sets, codes[1], True, 1)
+    sets[:, -1] = False
+    again = [np.array([len(np.unique(x)) < len(x) for x in some]) for some in spans]
+    for p in np.argsort(-ok.sum(1), kind="stable").tolist():
+        some = np.flatnonzero(ok[p] & (roots[1] != roots[0][p]))
+        if not len(some):
             continue
-        l, l2 = lefts[0][p], lefts[1][q]
-        c, c2 = places[0][p] - l, places[1][q] - l2
-        for s, e, s2, e2, _ in passages(spans[0][p], spans[1][q], (0, len(spans[0][p]) - 1, 0, len(spans[1][q]) - 1), width, similarity):
-            if s <= c <= e and s2 <= c2 <= e2:
-                up[x] = y
-                ends = sorted([(int(ids[0][p]), l + s << 28 | l + e), (int(ids[1][q]), l2 + s2 << 28 | l2 + e2)])
-                out.append((ends[0][0], ends[1][0], NEAR << 56 | ends[0][1], ends[1][1]))
-                break
+        s, c = spans[0][p], int(at[0][p] - left[0][p])
+        own = np.zeros(len(known) + 1, bool)
+        own[codes[0][p, : len(s)]] = True
+        gain = _gain(sets[some][:, codes[0][p, : len(s)]], np.full(len(some), len(s)), np.full(len(some), c), width, similarity)
+        gain += _gain(own[codes[1][some]], np.array([len(spans[1][q]) for q in some]), (at[1] - left[1])[some], width, similarity)
+        # Where shingles repeat, numbers of places say nothing of sets.
+        some = some[(gain >= 0) | again[0][p] | again[1][some]]
+        for q in some[np.argsort(-same[p, some], kind="stable")].tolist():
+            x, y = sorted((int(roots[0][p]), int(roots[1][q])))
+            if x == y:
+                continue
+            l, l2, c2 = int(left[0][p]), int(left[1][q]), int(at[1][q] - left[1][q])
+            for b, e, b2, e2, _ in passages(s, spans[1][q], (0, len(s) - 1, 0, len(spans[1][q]) - 1), width, similarity):
+                if b <= c <= e and b2 <= c2 <= e2:
+                    for r in roots:
+                        r[r == y] = x
+                    up = {k: x if v == y else v for k, v in up.items()} | {y: x}
+                    ends = sorted([(int(ids[0][p]), l + b << 28 | l + e), (int(ids[1][q]), l2 + b2 << 28 | l2 + e2)])
+                    out.append((ends[0][0], ends[1][0], NEAR << 56 | ends[0][1], ends[1][1]))
+                    break
+    return out, up
+
+
+def _coded(spans: list[np.ndarray], known: np.ndarray) -> np.ndarray:
+    """A row for each span: places in known, then len(known) to fill up."""
+    out = np.full((len(spans), max(map(len, spans))), len(known))
+    for row, s in zip(out, spans):
+        row[: len(s)] = np.searchsorted(known, s)
     return out
 
 
-def _blocks(spans: DataFrame, width: int, similarity: int, block: int) -> DataFrame:
-    """Rectangles that link different components of a run: its members, dealt to blocks, each block against each in a group of its own."""
-    k = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
-    dealt = spans.withColumns({"__i": F.pmod(F.xxhash64("__node"), k("__few")).cast("int"), "__j": F.pmod(F.xxhash64("__node"), k("__all")).cast("int")})
-    names = ["__band", "__id", "__node", "__root", "__rest", "__at", "__lr", "__need", "__span"]
-    left = dealt.filter("__rest").select(*names, F.lit(True).alias("__left"), "__i", F.explode(F.sequence(F.lit(0), k("__all") - 1)).alias("__j"))
-    right = dealt.select(*names, F.lit(False).alias("__left"), F.explode(F.sequence(F.lit(0), k("__few") - 1)).alias("__i"), "__j")
+def _gain(shared: np.ndarray, sizes: np.ndarray, at: np.ndarray, width: int, similarity: int) -> np.ndarray:
+    """For each row of places, shared or not, the most that a stretch of width at least around the run at `at` can give to a passage.
+
+    Two stretches with s shingles in common and d others on both sides are similar if
+    (100 - similarity) * s >= similarity * d: half of the former for each side, less the latter on it, may sum up to 0.
+    """
+    score = np.where(shared, 100 - similarity, -2 * similarity).astype(np.int32)
+    score[np.arange(score.shape[1]) >= sizes[:, None]] = -(1 << 20)
+    sums = np.zeros((len(score), score.shape[1] + 1), np.int32)
+    np.cumsum(score, axis=1, out=sums[:, 1:])
+    best = np.maximum.accumulate(sums[:, ::-1], axis=1)[:, ::-1]  # the highest sum from here on
+    starts = np.arange(max(0, score.shape[1] - width + 1))
+    if not len(starts):
+        return np.full(len(score), -(1 << 20))
+    ends = np.minimum(np.maximum(at[:, None] + RUN, starts + width), score.shape[1])
+    out = np.take_along_axis(best, ends, 1) - sums[:, starts]
+    return np.where(starts <= at[:, None], out, -(1 << 20)).max(1)
+
+
+_MEMBER = ["__band", "__id", "__root", "__at", "__lr", "__need", "__span"]
+
+
+def _compared(left: DataFrame, right: DataFrame, keys: list[str], width: int, similarity: int) -> DataFrame:
+    """__a, __b, __lr, __lr2 of passages between left and right in the groups by keys, and rows of __old, __new for the roots that they link."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         one, two = pdf[pdf["__left"]], pdf[~pdf["__left"]]
-        out = similar_spans(one, two, width, similarity) if len(one) and len(two) else []
-        return pd.DataFrame(out, columns=["__a", "__b", "__lr", "__lr2"], dtype="int64")
+        out, up = similar_spans(one, two, width, similarity) if len(one) and len(two) else ([], {})
+        rows = [(*x, None, None) for x in out] + [(None, None, None, None, *x) for x in up.items()]
+        return pd.DataFrame(rows, columns=["__a", "__b", "__lr", "__lr2", "__old", "__new"], dtype="Int64")
+
+    both = left.select(*_MEMBER, *keys[1:], F.lit(True).alias("__left")).unionByName(right.select(*_MEMBER, *keys[1:], F.lit(False).alias("__left")))
+    # Without the exchange, all groups of a run would share the task of an earlier one by run.
+    return both.repartition(*keys).groupBy(*keys).applyInPandas(run, "__a long, __b long, __lr long, __lr2 long, __old long, __new long")
 
-    return left.unionByName(right).groupBy("__band", "__i", "__j").applyInPandas(run, "__a long, __b long, __lr long, __lr2 long")
+
+def _pivoted(members: DataFrame, width: int, similarity: int, block: int, pivots: int = PIVOTS) -> DataFrame:
+    """The members (with __few) of a run that have no root in common, `block` at a time, with some of its members: most find their root there."""
+    k = F.ceil(F.col("__few") / F.lit(block)).cast("int")
+    rank = F.row_number().over(Window.partitionBy("__band").orderBy(F.xxhash64("__node"), "__node"))
+    some = members.withColumn("__rank", rank).filter(F.col("__rank") <= pivots)
+    left = members.filter("__rest").withColumn("__i", F.pmod(F.xxhash64("__node"), k).cast("int"))
+    return _compared(left, some.withColumn("__i", F.explode(F.sequence(F.lit(0), k - 1))), ["__band", "__i"], width, similarity)
+
+
+def _blocks(members: DataFrame, width: int, similarity: int, block: int) -> DataFrame:
+    """The members outside a run's largest root, dealt to blocks, with all members, dealt to blocks: each block against each in a group of its own."""
+    k = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
+    dealt = members.withColumns({"__i": F.pmod(F.xxhash64("__node"), k("__few")).cast("int"), "__j": F.pmod(F.xxhash64("__node"), k("__all")).cast("int")})
+    left = dealt.filter("__rest").withColumn("__j", F.explode(F.sequence(F.lit(0), k("__all") - 1)))
+    right = dealt.withColumn("__i", F.explode(F.sequence(F.lit(0), k("__few") - 1)))
+    return _compared(left, right, ["__band", "__i", "__j"], width, similarity)
 
 
 def regions(rects: np.ndarray, width: int, enough: int) -> list[tuple[int, int, int, int]]:
@@ -635,14 +692,18 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
     runs = shared.filter("__at is not null")
     sizes = materialise(runs.groupBy("__key").agg(F.count("*").alias("__m")).filter("__m > 1"), "runs")
     common = runs.join(sizes.filter(F.col("__m") > few).select("__key"), "__key")
-    rects = _paired(rare).unionByName(_paired(runs.join(sizes.filter(F.col("__m") <= few).select("__key"), "__key").drop("__at"))).unionByName(_starred(common))
-    found = materialise(_checked(_supported(rects, width, enough), texts, words, least, similarity), "passages")
-    crowded = materialise(_crowded(common.drop("__lr"), found, words), "crowded")
-    if not crowded.isEmpty():
-        spans = materialise(_promising(materialise(_spans(crowded, texts, words, width, similarity), "spans")), "spans")
-        again = near_dedup._crowded(spans).drop("__roots")
-        more = _checked(_supported(_blocks(again, width, similarity, block), width, enough), texts, words, least, similarity)
-        found = found.unionByName(more).distinct()
+    rects = _paired(rare).unionByName(_paired(runs.join(sizes.filter(F.col("__m") <= few).select("__key"), "__key").drop("__at"))).unionByName(_starred(common), allowMissingColumns=True)
+    checked = materialise(_checked(_supported(rects, width, enough), texts, words, least, similarity), "passages")
+    found = checked.filter("kind = 'passage'")
+    left = checked.filter("kind = 'open'").select(F.col("twin_id").alias("__key"), F.col("doc_id").alias("__id"), F.col("start").alias("__at"))
+    if not left.isEmpty():
+        spans = materialise(_spans(_crowded(common, left), texts, words, width, similarity), "spans")
+        members = materialise(_promising(spans), "members")
+        near = materialise(_pivoted(_sized(members), width, similarity, block), "pivoted")
+        roots = materialise(near.filter("__old is not null").groupBy(F.col("__old").alias("__id")).agg(F.min("__new").alias("__root")), "roots")
+        placed = near_dedup.relabel(near_dedup.relabel(members, "__root", roots), "__root", roots).drop("__rest")
+        rects = near.unionByName(_blocks(near_dedup._crowded(placed), width, similarity, block)).filter("__a is not null").drop("__old", "__new")
+        found = found.unionByName(_checked(_supported(rects, width, enough), texts, words, least, similarity)).distinct()
     zero, n = F.lit(0).cast("long"), F.col("__n")
     return found.unionByName(
         copies.select(F.col("__id").alias("doc_id"), F.col("__first").alias("twin_id"), zero.alias("start"), n.alias("n_words"), zero.alias("twin_start"), n.alias("twin_words"), F.lit(1.0).alias("similarity"), F.lit("copy").alias("kind"))
@@ -657,13 +718,13 @@ def _apart(base: DataFrame, copies: DataFrame) -> DataFrame:
 
 
 def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
-    """__a, __b, __regions (flat: l, r, l2, r2 of each) of the pairs of texts that have any; a pair's rectangles come one after another."""
+    """__a, __b, __regions (flat: l, r, l2, r2 of each), __runs (flat: run, its places) of the pairs of texts that have any; a pair's rectangles come one after another."""
     mask = (1 << 28) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []  # of the pair that may go on
         for b in batches:
-            some = [b.column(i).to_numpy() for i in range(4)]
+            some = [pc.fill_null(b.column(i), -1).to_numpy() for i in range(7)]
             new = np.flatnonzero((some[0][1:] != some[0][:-1]) | (some[1][1:] != some[1][:-1])) + 1
             if held and len(some[0]) and (held[-1][0][-1], held[-1][1][-1]) != (some[0][0], some[1][0]):
                 new = np.append(0, new)
@@ -676,9 +737,11 @@ def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
             yield joined([np.concatenate(x) for x in zip(*held)])
 
     def joined(columns: list[np.ndarray]) -> pa.RecordBatch:
-        a, b, x, y = columns
+        a, b, x, y, *runs = columns
         first = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
         starts, pair = np.flatnonzero(first), np.cumsum(first) - 1
+        of = np.flatnonzero(runs[1] >= 0)
+        held, bounds = np.stack([r[of] for r in runs], 1).ravel(), 3 * np.searchsorted(pair[of], np.arange(len(starts) + 1))
         order = np.lexsort((y, x, pair))
         x, y = x[order], y[order]
         once = np.append(True, (pair[1:] != pair[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))[: len(x)]
@@ -693,22 +756,26 @@ def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
         rows = rows[order]
         at = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
         out = [(p, regions(r, width, enough) if many[p] else _covering(r)) for p, r in zip(pair[at].tolist(), np.split(rows, at[1:]))]
-        out = [(starts[p], g) for p, g in out if g]
-        at = [s for s, _ in out]
-        return pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(b[at]), pa.array([[v for q in g for v in q] for _, g in out], pa.list_(pa.int64()))], ["__a", "__b", "__regions"])
+        out = [(p, g) for p, g in out if g]
+        at, kind = [starts[p] for p, _ in out], pa.list_(pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(b[at]), pa.array([[v for q in g for v in q] for _, g in out], kind), pa.array([held[bounds[p] : bounds[p + 1]] for p, _ in out], kind)], ["__a", "__b", "__regions", "__runs"])
 
-    rows = rects.select("__a", "__b", "__lr", "__lr2").repartition("__a", "__b").sortWithinPartitions("__a", "__b")
-    return rows.mapInArrow(run, "__a long, __b long, __regions array<long>")
+    more = [F.col(c) if c in rects.columns else F.lit(None).cast("long").alias(c) for c in ("__key", "__x", "__y")]
+    rows = rects.select("__a", "__b", "__lr", "__lr2", *more).repartition("__a", "__b").sortWithinPartitions("__a", "__b")
+    return rows.mapInArrow(run, "__a long, __b long, __regions array<long>, __runs array<long>")
 
 
 def _checked(supported: DataFrame, texts: DataFrame, words: int, least: int, similarity: int) -> DataFrame:
-    """The passages of the pairs' regions. Each text's stretches are cut out as shingle hashes and meet by pair, so no text is sent whole or once for a pair."""
+    """The passages of the pairs' regions, and rows of kind `open` (doc_id, run, start) for the runs of __b that none of them holds in both texts.
+
+    Each text's stretches are cut out as shingle hashes and meet by pair, so no text is sent whole or once for a pair.
+    """
     width = least - words + 1
     supported = materialise(supported, "regions")
-    of = lambda text, odd: supported.select(F.col(text).alias("__id"), F.struct("__a", "__b", F.lit(odd).alias("__odd"), "__regions").alias("__x"))
+    of = lambda text, odd: supported.select(F.col(text).alias("__id"), F.struct("__a", "__b", F.lit(odd).alias("__odd"), "__regions", *(["__runs"] if odd else [F.array().cast("array<long>").alias("__runs")])).alias("__x"))
     lists = materialise(_listed(of("__a", False).unionByName(of("__b", True)), "__x"), "stretches")
     near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists, "__id").select("__w", "__text")
-    names = ["__a", "__b", "__odd", "__regions", "__cut"]
+    names = ["__a", "__b", "__odd", "__regions", "__runs", "__cut"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -718,32 +785,35 @@ def _checked(supported: DataFrame, texts: DataFrame, words: int, least: int, sim
                 own = np.repeat(starts, pc.list_value_length(some.column(0)).to_numpy()).tolist()
                 cols = some.column(0).flatten().flatten()
                 for k in range(0, len(own), 256):
-                    a, b, odd, flat = (c.slice(k, 256) for c in cols)
+                    a, b, odd, flat, runs = (c.slice(k, 256) for c in cols)
                     cuts = []
                     for at, o, q in zip(own[k : k + 256], odd.to_pylist(), flat.to_pylist()):
                         lows, highs = (q[2::4], q[3::4]) if o else (q[::4], q[1::4])
                         cuts.append(b"".join(h[at + i : at + j + 1].tobytes() for i, j in zip(lows, highs)))
-                    yield pa.RecordBatch.from_arrays([a, b, odd, flat, pa.array(cuts, pa.binary())], names)
+                    yield pa.RecordBatch.from_arrays([a, b, odd, flat, runs, pa.array(cuts, pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, held = [*[pa.int64()] * 6, pa.float64(), pa.string()], None
         for batch in batches:
-            for some in by_bytes(batch, 4, SLICE):
+            for some in by_bytes(batch, 5, SLICE):
                 out = []
-                for a, b, odd, flat, raw in zip(*(some.column(i).to_pylist() for i in range(5))):
+                for a, b, odd, flat, runs, raw in zip(*(some.column(i).to_pylist() for i in range(6))):
                     if not odd:
                         held = raw
                         continue
-                    x, y, at, at2 = np.frombuffer(held, np.uint64), np.frombuffer(raw, np.uint64), 0, 0
+                    x, y, at, at2, known = np.frombuffer(held, np.uint64), np.frombuffer(raw, np.uint64), 0, 0, len(out)
                     for l, r, l2, r2 in zip(*(flat[i::4] for i in range(4))):
                         n, n2 = r - l + 1, r2 - l2 + 1
                         for s, e, s2, e2, j in passages(x[at : at + n], y[at2 : at2 + n2], (0, n - 1, 0, n2 - 1), width, similarity):
                             out.append((a, b, l + s, e - s + words, l2 + s2, e2 - s2 + words, j, "passage"))
                         at, at2 = at + n, at2 + n2
+                    for key, p, q in zip(runs[::3], runs[1::3], runs[2::3]):
+                        if not any(o[2] <= p <= o[2] + o[3] - words and o[4] <= q <= o[4] + o[5] - words for o in out[known:]):
+                            out.append((b, key, q, 0, 0, 0, 0.0, "open"))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 8, kinds)], result)
 
     result = ["doc_id", "twin_id", "start", "n_words", "twin_start", "twin_words", "similarity", "kind"]
-    cuts = near.mapInArrow(cut, "__a long, __b long, __odd boolean, __regions array<long>, __cut binary")
+    cuts = near.mapInArrow(cut, "__a long, __b long, __odd boolean, __regions array<long>, __runs array<long>, __cut binary")
     both = cuts.repartition("__a", "__b").sortWithinPartitions("__a", "__b", "__odd")
     return both.mapInArrow(run, "doc_id long, twin_id long, start long, n_words long, twin_start long, twin_words long, similarity double, kind string")
 
