@@ -6,8 +6,8 @@ length class, whether it repeats the word before; n = 1, 2, 3). A feature's valu
 is its share of the text's n-grams of that kind, so a score is a sparse dot
 product of bounded size for a text of any length. Nothing but the text is read.
 
-Training runs in one task over at most `limit` labelled rows, chosen by a hash of
-doc_id (all of them where there are fewer); the weights, 2^18 numbers, are
+Training runs in one task over the sparse rows, hashed where the texts lie, of at most
+`limit` labelled rows, chosen by a hash of doc_id (all of them where there are fewer); the weights, 2^18 numbers, are
 broadcast. Scoring is a map over all rows.
 
 Defined cases: null or empty text has no features and scores the bias alone; a
@@ -27,21 +27,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.base import text_of, words_of
+from tidelake.llm.base import by_bytes, text_of, words_of
 
-BITS, LIMIT, EPOCHS, THRESHOLD, HELD_OUT_MOD = 18, 4000, 4, 0.3, 5
+BITS, LIMIT, EPOCHS, THRESHOLD, HELD_OUT_MOD = 18, 8000, 4, 0.3, 5
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.0005, 0.001
 #: Weight of each kind of n-gram: word 1, word 2, form 1, form 2, form 3.
 KINDS = ((0, 1), (0, 2), (1, 1), (1, 2), (1, 3))
-REMEMBERED = 100_000
+REMEMBERED, SLICE = 100_000, 1 << 20
 
 _known: dict[str, tuple[int, int]] = {}
-_CORE = re.compile(r"^(\W*)(.*?)(\W*)$", re.S)
+_MARKS = re.compile(r"\W*")
 
 
 def _reading(word: str) -> tuple[int, int]:
     """32-bit hashes of the word and of its form."""
-    head, core, tail = _CORE.match(word).groups()
+    head = _MARKS.match(word)[0]
+    tail = _MARKS.match(word[::-1])[0][::-1] if len(head) < len(word) else ""  # one pass each, whatever the word
+    core = word[len(head) : len(word) - len(tail)]
     case = "U" if core.isupper() and len(core) > 1 else "T" if core[:1].isupper() else "l" if core.islower() else "d" if core.isdigit() else "x"
     form = f"{head[:3]} {case}{min(len(core), 30) // 10} {tail[:3]}"
     return zlib.crc32(core.lower().encode()), zlib.crc32(form.encode(), 1)
@@ -86,13 +88,15 @@ def features(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.bincount(back, np.concatenate(values), len(ids))
 
 
-def train(texts: list[str], labels: list[int], bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights (the last is the bias) by FTRL-proximal updates, one row at a time, in the rows' order."""
-    z, n, w = (np.zeros((1 << bits) + 1) for _ in range(3))
-    rows = []
-    for t in texts:
-        i, v = features(t, bits)
-        rows.append((np.append(i, 1 << bits).astype(np.int32), np.append(v, 1.0).astype(np.float32)))
+def with_bias(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """The text's features for training, the bias last."""
+    i, v = features(text, bits)
+    return np.append(i, 1 << bits).astype(np.int32), np.append(v, 1.0).astype(np.float32)
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
+    """Weights (the last is the bias) by FTRL-proximal updates, one row (see with_bias) at a time, in the rows' order."""
+    z, n = (np.zeros((1 << bits) + 1) for _ in range(2))
     for _ in range(epochs):
         for (i, v), y in zip(rows, labels):
             zi, ni = z[i], n[i]
@@ -129,14 +133,22 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> np.ndarray:
     usable = labels.select(F.col("doc_id").cast("long").alias("__id"), F.col("quality").cast("int").alias("__y")).filter("__id is not null and __y in (0, 1)")
     chosen = usable.filter(~held_out(F.col("__id"))).orderBy(F.xxhash64("__id"), "__id", "__y").limit(limit)  # bounds the broadcast
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), text_of().alias("__text")).join(F.broadcast(chosen), "__id")
-    ordered = rows.select(F.xxhash64("__id", F.lit(1)).alias("__order"), "__y", "__text").repartition(1)
+    ordered = rows.select(F.xxhash64("__id", F.lit(1)).alias("__order"), "__y", "__text")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for some in by_bytes(b, 2, SLICE):
+                found = [with_bias(t) for t in some.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *(pa.array([f[i].tobytes() for f in found], pa.binary()) for i in (0, 1))], ["__order", "__y", "__ids", "__values"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = sorted(r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3))))
-        w = train([r[2] for r in got], [r[1] for r in got])
+        got = sorted(r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(4))))
+        w = train([(np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32)) for r in got], [r[1] for r in got])
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary())], ["weights"])
 
-    return np.frombuffer(ordered.mapInArrow(run, "weights binary").collect()[0][0], np.float32)
+    sparse = ordered.mapInArrow(hashed, "__order long, __y int, __ids binary, __values binary").repartition(1)
+    found = sparse.mapInArrow(run, "weights binary").collect()
+    return np.frombuffer(found[0][0], np.float32) if found else train([], [])
 
 
 def classify(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
@@ -146,8 +158,7 @@ def classify(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 512):
-                some = b.slice(k, 512)
+            for some in by_bytes(b, at, SLICE):
                 s = score(some.column(at).to_pylist(), sent.value)
                 yield pa.RecordBatch.from_arrays([*some.columns[:at], pa.array(s), pa.array((s >= threshold).astype(np.int32))], names)
 
