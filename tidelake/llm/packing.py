@@ -8,12 +8,14 @@ its place in the stream; pass 2 cuts each document at the window boundaries it
 crosses, so no row ever meets another.
 
 Defined cases: null or empty text is the end id alone; repeated rows are packed
-as often as they occur; ids may be null; an empty table gives no pieces.
+as often as they occur; ids may be null; other columns are ignored, whatever their
+names; an empty table gives no pieces.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -30,6 +32,10 @@ WIDTH, END_ID = 2048, 1
 #: Words whose ids a worker remembers; later words are encoded batch by batch.
 REMEMBERED = 150_000
 
+#: Letters, for a regular expression, that stay one letter in lower case and in any normal form next to plain letters and ASCII marks.
+PLAIN = "A-Za-zÀ-ÖØ-öø-įı-ɏΑ-ΡΣ-Ωα-ωЀ-џ"
+_LETTERS = re.compile(f"[{PLAIN}]+")
+
 _tokenizers: dict[str, WordEncoder] = {}
 
 
@@ -53,8 +59,8 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and ids per text."""
-        # ASCII marks between a letter or digit and a word's end are a piece of their own.
-        words, codes, sizes = split_words(pc.replace_substring_regex(texts, r"([\pL\pN])([.,;:!?*#$%&]+)(\s|$)", r"\1 \2 \3"))
+        # ASCII marks between a plain letter or digit and a word's end are a piece of their own.
+        words, codes, sizes = split_words(pc.replace_substring_regex(texts, f"([0-9{PLAIN}])([.,;:!?*#$%&]+)(\\s|$)", r"\1 \2 \3"))
         # ASCII letters count in lower case, but for the names of special tokens.
         given = pa.array(words, pa.string())
         low = pc.if_else(pc.match_substring(given, "<|"), given, pc.ascii_lower(given)).dictionary_encode()
@@ -75,14 +81,14 @@ class WordEncoder:
 
     def _learn(self, words: list[str]) -> list[str]:
         """Adds the words to those known."""
-        runs = [w for w in words if w.isalpha()]
+        runs = [w for w in words if _LETTERS.fullmatch(w)]
         for k in range(0, len(runs), 4096):
             self._learn_letters(runs[k : k + 4096])
         self._learn_each([w for w in words if w not in self.known])
         return words
 
     def _learn_letters(self, runs: list[str]) -> None:
-        """Runs of letters, encoded as one text: each ends at an id that ends a word."""
+        """Runs of plain letters, encoded as one text: each ends at an id that ends a word."""
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids, self.kind)
         ends = (np.flatnonzero(self.last[ids]) + 1) * ids.itemsize
         if len(ends) != len(runs):
@@ -142,8 +148,8 @@ def pack(docs: DataFrame, path: str, width: int = WIDTH, end_id: int = END_ID) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                yield cut(batch.slice(k, 512))
+            for some in by_bytes(batch, 1):
+                yield cut(some)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = batch.column(2).to_numpy()
