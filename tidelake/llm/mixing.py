@@ -9,7 +9,9 @@ share of the rows. What reaches the driver is one line for each source.
 
 Defined cases: null or empty text has size 0 and takes no words; a null source
 is a source of its own, last in order; null doc_ids and repeated rows are rows
-like others; an empty table gives an empty result; other columns are ignored.
+like others (of rows with one id, source and size, the first by text are taken more
+often); an empty table gives an empty result; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -102,18 +104,19 @@ def _knapsack(items: list[tuple[int, int, int]], goal: int) -> dict[int, int]:
     return out
 
 
-def _sized(docs: DataFrame) -> DataFrame:
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long"),
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("__src"),
         F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"),
+        F.xxhash64(F.lit(seed), "doc_id", "text").alias("__hash"),
     )
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, salts: int = SALTS) -> DataFrame:
     """A row for each row of docs: doc_id, size, source_size, target, taken, times, __src."""
     spark = docs.sparkSession
-    sized = materialise(_sized(docs).withColumn("__salt", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(salts)).cast("int")), "sizes")
+    sized = materialise(_sized(docs, seed).withColumn("__salt", F.pmod("__hash", F.lit(salts)).cast("int")), "sizes")
     cells = materialise(sized.groupBy("__src", "size", "__salt").agg(F.count("*").alias("__n")), "cells")
     lengths = cells.groupBy("__src", "size").agg(F.sum("__n").alias("__n"))
     found = cells.groupBy("__src").agg(F.sum(F.col("size") * F.col("__n")).cast("long").alias("n")).collect()
@@ -130,7 +133,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
     before = F.sum("__n").over(Window.partitionBy("__src", "size").orderBy("__salt")) - F.col("__n")
     cut = cells.withColumn("__before", before).join(plan, ["__src", "size"]).withColumn("__extra", F.greatest(F.lit(0), F.least("__n", F.col("__extra") - F.col("__before"))))
     cut = cut.select("__src", "size", "__salt", "source_size", "target", "__repeats", "__extra")
-    rank = F.row_number().over(Window.partitionBy("__src", "size", "__salt").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("__src", "size", "__salt").orderBy(F.xxhash64(F.lit(seed + 1), "__hash"), "doc_id"))
     out = sized.join(cut, ["__src", "size", "__salt"]).withColumn("times", F.col("__repeats") + (rank <= F.col("__extra")).cast("int"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times", "__src")
 
@@ -138,15 +141,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
 def apply(docs: DataFrame, **kwargs) -> DataFrame:
     """docs with each row as often as the mix takes it, in its own columns."""
     keys = ["__id", "__src", "__size", "__nth"]
-    nth = F.row_number().over(Window.partitionBy(*keys[:3]).orderBy(F.lit(0)))
-    chosen = mix(docs, **kwargs).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__id"), "__src", F.col("size").alias("__size"), "times").withColumn("__nth", nth)
+    nth = lambda *order: F.row_number().over(Window.partitionBy(*keys[:3]).orderBy(*order))
+    chosen = mix(docs, **kwargs).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__id"), "__src", F.col("size").alias("__size"), F.col("times").alias("__times"))
+    chosen = chosen.withColumn("__nth", nth(F.desc("__times")))
     sized = docs.withColumns({
         "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))),
         "__src": F.coalesce(F.concat(F.lit("="), "source"), F.lit("")),
         "__size": F.regexp_count(text_of(), F.lit(WORD)).cast("long"),
-    }).withColumn("__nth", nth)
-    out = sized.join(chosen.filter("times > 0"), keys)
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "times"))).select(*docs.columns)
+    }).withColumn("__nth", nth(F.xxhash64("text"), "text"))
+    out = sized.join(chosen.filter("__times > 0"), keys)
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

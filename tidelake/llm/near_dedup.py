@@ -29,8 +29,8 @@ neighbour, then jumps pointers until all are roots.
 
 Defined cases: null or empty text has an empty set, is linked with nothing and
 kept; equal sets are similar whatever the order of their words; a null doc_id is
-never another row's component; rows that repeat a doc_id share that id's
-component; other columns are ignored; an empty table gives an empty result.
+never another row's component, and its row is linked with equal sets alone; rows that
+repeat a doc_id share that id's component, which links of each of their texts join; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -288,7 +288,7 @@ def _blocks(crowded: DataFrame, docs: DataFrame, words: int, similarity: int, bl
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out: dict[tuple[int, int], tuple[float, int, int]] = {}
-        one, two = pdf[pdf["__left"]].drop_duplicates("__id"), pdf[~pdf["__left"]].drop_duplicates("__id")
+        one, two = (x.drop_duplicates(["__id", "__text"]) for x in (pdf[pdf["__left"]], pdf[~pdf["__left"]]))
         if len(one) and len(two):
             share = _similarities(*(shingle_hashes(pa.array(x["__text"], pa.string()), words) for x in (one, two)))
             ids, others, roots, theirs = (x.to_numpy() for x in (one["__id"], two["__id"], one["__root"], two["__root"]))
@@ -332,7 +332,8 @@ def mark(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY, smal
     # Sets of up to 3 shingles reach 0.8 only with an equal set.
     least = similarity // max(1, 100 - similarity)
     able = sketched.filter(F.col("n_shingles") >= least).withColumnRenamed("doc_id", "__id").join(firsts, ["__set", "__id"], "left_semi")
-    classes = materialise(able.groupBy("__id").agg(F.max("n_shingles").alias("__n"), F.max("__regs").alias("__regs")), "classes")
+    # Rows that repeat an id bring each their own sketch to its class.
+    classes = materialise(able.groupBy("__id", "__set").agg(F.max("n_shingles").alias("__n"), F.max("__regs").alias("__regs")).drop("__set"), "classes")
     roots = _linked(classes, docs, words, similarity, small, block)
     named = relabel(firsts.withColumn("component_id", F.col("__id")), "component_id", roots).select("__set", "component_id")
     out = sketched.select("doc_id", "n_shingles", "__set").join(named, "__set", "left")

@@ -3,10 +3,10 @@
 WAV bytes with mu-law, A-law or IMA ADPCM samples are read back into 16-bit PCM:
 the two laws by lookup tables of 256 entries, ADPCM sample by sample with numpy
 across all blocks of a batch at once. The PCM is resampled and stored as 16-bit
-PCM WAV. Everything is a map over rows; a batch holds at most `BATCH` rows.
+PCM WAV. Everything is a map over rows, about `SLICE` bytes of media at a time.
 
 Defined cases: null or empty text is a payload of one unit of spaces; null media
-gives null PCM; equal texts give equal results; repeated rows and null ids are
+gives null PCM and feature; columns named as those made here are replaced; equal texts give equal results; repeated rows and null ids are
 rows like others; other columns are ignored; an empty table gives an empty result.
 """
 
@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.base import materialise, text_of
+from tidelake.llm.base import by_bytes, materialise, text_of
 
-UNIT, RATE, PCM_RATE, BATCH = 192, 8000, 16000, 256
+UNIT, RATE, PCM_RATE, SLICE = 192, 8000, 16000, 1 << 19
 PCM, ALAW, ULAW, ADPCM = 1, 6, 7, 17  # format numbers of WAV files
 
 # Fixed values of IMA ADPCM: step sizes, and moves of the step index by code.
@@ -154,14 +154,14 @@ def expand(media: DataFrame, to: int = PCM_RATE, keep_pcm: bool = True) -> DataF
 
     feature describes the resampled PCM, read back from the bytes stored in pcm.
     """
+    media = media.drop("pcm", "feature")
     names = [*media.columns, *(["pcm"] if keep_pcm else []), "feature"]
     schema = ", ".join(f"`{n}` {t}" for n, t in media.dtypes) + (", pcm binary" if keep_pcm else "") + ", feature string"
     at = media.columns.index("media")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, BATCH):
-                some = b.slice(k, BATCH)
+            for some in by_bytes(b, at, SLICE):
                 got = some.column(at).to_pylist()
                 read = [read_wav(m) for m in got if m is not None]
                 stored = [wav(resample(x, r[1], to).astype("<i2").tobytes(), PCM, to) for x, r in zip(decode([(r[0], r[2], r[3]) for r in read]), read)]
@@ -181,8 +181,7 @@ def store_texts(docs: DataFrame, kinds: tuple[int, ...] = (ULAW, ALAW, ADPCM)) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, BATCH):
-                some = b.slice(k, BATCH)
+            for some in by_bytes(b, 1, SLICE):
                 raw = [t.encode() for t in some.column(1).to_pylist()]
                 full = [x + b" " * (max(UNIT, -(-len(x) // UNIT) * UNIT) - len(x)) for x in raw]
                 media = [wav(x, kinds[zlib.crc32(x) % len(kinds)], RATE, UNIT) for x in full]
@@ -194,6 +193,7 @@ def store_texts(docs: DataFrame, kinds: tuple[int, ...] = (ULAW, ALAW, ADPCM)) -
 def describe(media: DataFrame) -> DataFrame:
     """media with payload_bytes, payload_sha256 and tail_crc32 of the sample bytes read back, media_bytes and media_sha256; without the bytes."""
 
+    media = media.drop("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256")
     names = [*(c for c in media.columns if c != "media"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256"]
     schema = ", ".join(f"`{n}` {t}" for n, t in media.dtypes if n != "media") + ", payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string"
     at, kept = media.columns.index("media"), [i for i, c in enumerate(media.columns) if c != "media"]
@@ -203,6 +203,9 @@ def describe(media: DataFrame) -> DataFrame:
             rows = []
             for m in b.column(at):
                 m = m.as_py()
+                if m is None:
+                    rows.append((None,) * 5)
+                    continue
                 data = read_wav(m)[3]
                 rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(m), hashlib.sha256(m).hexdigest()))
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
