@@ -429,17 +429,18 @@ _MEMBER = ["__band", "__id", "__root", "__at", "__lr", "__need", "__span"]
 
 
 def _compared(left: DataFrame, right: DataFrame, keys: list[str], width: int, similarity: int) -> DataFrame:
-    """__a, __b, __lr, __lr2 of passages between left and right in the groups by keys, and rows of __old, __new for the roots that they link."""
+    """__a, __b, __lr, __lr2 of passages between left and right in the groups by keys (__link), and __old, __new of the roots that they link (not __link)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         one, two = pdf[pdf["__left"]], pdf[~pdf["__left"]]
         out, up = similar_spans(one, two, width, similarity) if len(one) and len(two) else ([], {})
-        rows = [(*x, None, None) for x in out] + [(None, None, None, None, *x) for x in up.items()]
-        return pd.DataFrame(rows, columns=["__a", "__b", "__lr", "__lr2", "__old", "__new"], dtype="Int64")
+        rows = [(*x, 0, 0, True) for x in out] + [(0, 0, 0, 0, *x, False) for x in up.items()]
+        return pd.DataFrame({c: pd.array([r[i] for r in rows], "int64" if i < 6 else bool) for i, c in enumerate(names)})
 
+    names = ["__a", "__b", "__lr", "__lr2", "__old", "__new", "__link"]
     both = left.select(*_MEMBER, *keys[1:], F.lit(True).alias("__left")).unionByName(right.select(*_MEMBER, *keys[1:], F.lit(False).alias("__left")))
     # Without the exchange, all groups of a run would share the task of an earlier one by run.
-    return both.repartition(*keys).groupBy(*keys).applyInPandas(run, "__a long, __b long, __lr long, __lr2 long, __old long, __new long")
+    return both.repartition(*keys).groupBy(*keys).applyInPandas(run, "__a long, __b long, __lr long, __lr2 long, __old long, __new long, __link boolean")
 
 
 def _pivoted(members: DataFrame, width: int, similarity: int, block: int, pivots: int = PIVOTS) -> DataFrame:
@@ -700,9 +701,9 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
         spans = materialise(_spans(_crowded(common, left), texts, words, width, similarity), "spans")
         members = materialise(_promising(spans), "members")
         near = materialise(_pivoted(_sized(members), width, similarity, block), "pivoted")
-        roots = materialise(near.filter("__old is not null").groupBy(F.col("__old").alias("__id")).agg(F.min("__new").alias("__root")), "roots")
+        roots = materialise(near.filter("not __link").groupBy(F.col("__old").alias("__id")).agg(F.min("__new").alias("__root")), "roots")
         placed = near_dedup.relabel(near_dedup.relabel(members, "__root", roots), "__root", roots).drop("__rest")
-        rects = near.unionByName(_blocks(near_dedup._crowded(placed), width, similarity, block)).filter("__a is not null").drop("__old", "__new")
+        rects = near.unionByName(_blocks(near_dedup._crowded(placed), width, similarity, block)).filter("__link").drop("__old", "__new", "__link")
         found = found.unionByName(_checked(_supported(rects, width, enough), texts, words, least, similarity)).distinct()
     zero, n = F.lit(0).cast("long"), F.col("__n")
     return found.unionByName(

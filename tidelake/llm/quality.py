@@ -164,7 +164,7 @@ def classify(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD)
 
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", __score double, __predicted int"
     names = [*docs.columns, "__score", "__predicted"]
-    return docs.withColumn("__text", text_of()).mapInArrow(run, schema)
+    return docs.select("*", text_of().alias("__scored")).mapInArrow(run, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
