@@ -127,12 +127,14 @@ def test_detiding_recovers_a_surge(spark):
     t = np.arange(0, 8766.0)
     x = H79 + t
     surge = 0.4 * np.exp(-(((t - 4000) / 30) ** 2))
-    a = tides.design(x, x[0], x[0], t[-1], ["M2", "K1", "O1"])
+    begin = x[0] + np.floor(t / 240) * 240
+    middle = (begin + np.minimum(begin + 239, x[-1])) / 2
+    a = tides.design(x, middle, x[0], t[-1], ["M2", "K1", "O1"])
     level = a @ np.array([0.3, 0.8, -0.4, 0.2, 0.1, 0.05, -0.1, 0.0]) + surge
     s = series(spark, [(7, 1979, h, v) for h, v in zip(x, level)] + [(8, 1979, h, None if i % 50 == 0 else v) for i, (h, v) in enumerate(zip(x, level))])
     for options in ({}, {"per_node_mask": True}):
         got = tides.detide(s, **options).filter("node_id = 7").orderBy("time_h").toPandas()["value"].to_numpy()
-        full = tides.design(x, x[0], x[0], t[-1], tides.resolvable(t[-1]))
+        full = tides.design(x, middle, x[0], t[-1], tides.resolvable(t[-1]))
         want = level - full @ np.linalg.lstsq(full, level, rcond=None)[0]
         assert np.abs(got - want).max() < 1e-5 and np.abs(got - surge).max() < 0.05
     masked = tides.detide(s, per_node_mask=True).filter("node_id = 8")
@@ -144,6 +146,44 @@ def test_detiding_recovers_a_surge(spark):
     assert abs(tides.speed("M2") - 28.9841) < 1e-3 and abs(tides.speed("K1") - 15.0411) < 1e-3 and len(tides.CONSTITUENTS) == 65
 
 
+def test_windows_are_those_of_the_file(spark):
+    """Nodes that start late, with MM and MF, against least squares written out in numpy."""
+    g = np.random.default_rng(8)
+    rows, names = [], ["MM", "MF"]
+    for node, late in ((0, 0), (1, 130), (2, 517)):
+        for year, start in ((1979, H79), (1980, H79 + 8760)):
+            rows += [(node, year, start + h, g.normal()) for h in range(late, 8760, 3)]
+    s = series(spark, rows)
+    ts = np.array(sorted({(y, t) for _, y, t, _ in rows}))
+    middle = {}
+    for y, first in ((1979, H79), (1980, H79 + 8760)):
+        own = ts[ts[:, 0] == y, 1]
+        for k in np.unique(np.floor((own - first) / 240)):
+            some = own[np.floor((own - first) / 240) == k]
+            middle[y, int(k)] = (some.min() + some.max()) / 2
+    mid = lambda y, t: middle[y, int((t - (H79 if y == 1979 else H79 + 8760)) // 240)]
+    t0, total = ts[:, 1].min(), float(np.ptp(ts[:, 1]))
+
+    def columns(pairs):
+        h, m = np.array([t for _, t in pairs]) - t0, np.radians(tides.NODE_START + tides.NODE_RATE * np.array([mid(y, t) for y, t in pairs]))
+        out = [np.ones_like(h)]
+        for n in names:
+            a, b, c = tides.NODAL[n]
+            arg = np.radians(tides.speed(n) * h + c * np.sin(m))
+            out += [(a + b * np.cos(m)) * np.cos(arg), (a + b * np.cos(m)) * np.sin(arg)]
+        return np.stack([*out, h / total], 1)
+
+    full = columns([(int(y), t) for y, t in ts])
+    got = {(r["node_id"], r["file_year"], r["time_h"]): r["value"] for r in tides.detide(s, names=names).collect()}
+    assert len(got) == len(rows)
+    values = {(n, y, t): np.float64(np.float32(v)) for n, y, t, v in rows}
+    for node in range(3):
+        own = [(y, t) for n, y, t, _ in rows if n == node]
+        a, v = columns(own), np.array([values[node, y, t] for y, t in own])
+        want = v - a @ np.linalg.solve(full.T @ full, a.T @ v)
+        assert np.abs(want - [got[node, y, t] for y, t in own]).max() < 1e-5
+
+
 def test_extract(spark):
     mesh = spark.createDataFrame([(5, 1979, H79 + h, -99999.0 if h == 1 else h / 3) for h in range(4)] + [(6, 1979, H79, 1.0)], "node_index long, file_year int, time_h double, value double")
     nodes = spark.createDataFrame([(0, 5), (1, 5)], "node_id long, node_index long")

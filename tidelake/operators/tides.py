@@ -4,6 +4,8 @@ The model's columns are 1, f cos(arg) and f sin(arg) for each constituent, and t
 share of the record's length. A'A depends on the times alone; A'Y is summed per
 node over packed node-years, and each node's coefficients are solved where its row
 lies, against the one small matrix. Nothing per node reaches the driver.
+f and u change by windows of 240 h from a file's first hour, whenever a node's own
+series starts, and hold for the middle of a window's times.
 """
 
 from __future__ import annotations
@@ -75,10 +77,9 @@ def nodal(name: str, time_h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return f, u
 
 
-def design(time_h: np.ndarray, file_start: np.ndarray | float, t0: float, total_hours: float, names: list[str]) -> np.ndarray:
-    """Rows of the model for the times. f and u hold for windows of 240 h from the file's first hour."""
-    begin = file_start + np.floor((time_h - file_start) / NODAL_HOURS) * NODAL_HOURS
-    middle, h = begin + NODAL_HOURS / 2, time_h - t0
+def design(time_h: np.ndarray, middle: np.ndarray, t0: float, total_hours: float, names: list[str]) -> np.ndarray:
+    """Rows of the model for the times; f and u are those of their windows' middles."""
+    h = time_h - t0
     out = [np.ones_like(h)]
     for n in names:
         f, u = nodal(n, middle)
@@ -87,6 +88,36 @@ def design(time_h: np.ndarray, file_start: np.ndarray | float, t0: float, total_
     return np.stack([*out, h / total_hours], 1)
 
 
+def window_middles(series: DataFrame, hours: float = NODAL_HOURS) -> DataFrame:
+    """file_year, __start, __mids: each file's first hour, and the middles of its windows of `hours` from there.
+
+    The middle of a window lies between its first and its last time; one without times has its plain middle. There is a row for each file.
+    """
+    starts = series.groupBy("file_year").agg(F.min("time_h").alias("__start"))
+    k = F.floor((F.col("time_h") - F.col("__start")) / hours).cast("int")
+    each = series.join(F.broadcast(starts), "file_year").groupBy("file_year", "__start", k.alias("__k")).agg(((F.min("time_h") + F.max("time_h")) / 2).alias("__mid"))
+    known = each.groupBy("file_year", "__start").agg(F.map_from_entries(F.collect_list(F.struct("__k", "__mid"))).alias("__m"), F.max("__k").alias("__n"))
+    plain = lambda i: F.col("__start") + (i + 0.5) * hours
+    return known.select("file_year", "__start", F.transform(F.sequence(F.lit(0), "__n"), lambda i: F.coalesce(F.try_element_at("__m", i), plain(i))).alias("__mids"))
+
+
+def _middles(ts: np.ndarray, start: float, mids: np.ndarray) -> np.ndarray:
+    return mids[np.floor((ts - start) / NODAL_HOURS).astype(np.int64)]
+
+
+class _Designs:
+    """Design matrices of the time axes that rows of one file share: one at a time, built again only where file or axis changes."""
+
+    def __init__(self, t0: float, total: float, names: list[str]):
+        self.fit, self.key, self.ts, self.a = (t0, total, names), None, np.zeros(0), np.zeros((0, 0))
+
+    def of(self, year: int, ts: np.ndarray, start: float, mids: np.ndarray) -> np.ndarray:
+        ts = np.asarray(ts, float)
+        if self.key != year or len(ts) != len(self.ts) or not np.array_equal(ts, self.ts):
+            self.key, self.ts, self.a = year, ts, design(ts, _middles(ts, start, np.asarray(mids, float)), *self.fit)
+        return self.a
+
+
 def record(series: DataFrame) -> tuple[float, float]:
     """First hour of the record and hours from first to last."""
     row = series.agg(F.min("time_h").alias("a"), F.max("time_h").alias("b")).first()
@@ -94,24 +125,30 @@ def record(series: DataFrame) -> tuple[float, float]:
 
 
 def pack(series: DataFrame) -> DataFrame:
-    """A row for each node and file: __ts and __vs, its times in order and their values (null where missing), and __start."""
+    """A row for each node and file: __ts and __vs, its times in order and their values (null where missing), and its file's __start and __mids.
+
+    Rows are dealt by node and stand in the order of the files, so that those of one file, whose
+    times are mostly the same, follow one another.
+    """
     rows = F.array_sort(F.collect_list(F.struct("time_h", valid(F.col("value")).cast("double").alias("v"))))
-    packed = series.groupBy("node_id", "file_year").agg(rows.alias("__r"))
-    return packed.select("node_id", "file_year", F.col("__r.time_h").alias("__ts"), F.col("__r.v").alias("__vs"))
+    packed = series.groupBy("node_id", "file_year").agg(rows.alias("__r")).join(F.broadcast(window_middles(series)), "file_year")
+    out = packed.select("node_id", "file_year", F.col("__r.time_h").alias("__ts"), F.col("__r.v").alias("__vs"), "__start", "__mids")
+    return out.sortWithinPartitions("file_year", F.hash("__ts"))
 
 
 def normal_matrix(series: DataFrame, t0: float, total: float, names: list[str]) -> np.ndarray:
     """A'A over the distinct times of each file, summed in tasks; one small matrix comes back."""
     times = series.select("file_year", "time_h").distinct()
-    starts = series.groupBy("file_year").agg(F.min("time_h").alias("__start"))
-    rows = times.join(F.broadcast(starts), "file_year")  # a row for each file
+    mids = window_middles(series)
+    at = F.floor((F.col("time_h") - F.col("__start")) / NODAL_HOURS).cast("int")
+    rows = times.join(F.broadcast(mids), "file_year").select("time_h", F.get("__mids", at).alias("__mid"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total_a = None
         for pdf in parts:
             for k in range(0, len(pdf), 8192):
                 part = pdf.iloc[k : k + 8192]
-                a = design(part["time_h"].to_numpy(), part["__start"].to_numpy(), t0, total, names)
+                a = design(part["time_h"].to_numpy(), part["__mid"].to_numpy(), t0, total, names)
                 total_a = a.T @ a if total_a is None else total_a + a.T @ a
         if total_a is not None:
             yield pd.DataFrame({"a": [total_a.ravel()]})
@@ -125,14 +162,10 @@ def node_sums(packed: DataFrame, t0: float, total: float, names: list[str]) -> D
     """node_id, __aty: A'Y of each node. Missing values count as 0."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        axis, a = None, None
+        designs = _Designs(t0, total, names)
         for pdf in parts:
-            out = []
-            for ts, vs in zip(pdf["__ts"], pdf["__vs"]):
-                if axis is None or len(axis) != len(ts) or not np.array_equal(axis, ts):
-                    axis, a = np.asarray(ts, float), design(np.asarray(ts, float), float(ts[0]), t0, total, names)
-                out.append(a.T @ np.nan_to_num(np.asarray(vs, float)))
-            yield pdf[["node_id"]].assign(__aty=out)
+            axes = zip(pdf["file_year"], pdf["__ts"], pdf["__start"], pdf["__mids"])
+            yield pdf[["node_id"]].assign(__aty=[designs.of(*axis).T @ np.nan_to_num(np.asarray(vs, float)) for axis, vs in zip(axes, pdf["__vs"])])
 
     each = packed.mapInPandas(run, "node_id long, __aty array<double>")
     add = F.aggregate(F.collect_list("__aty"), F.array_repeat(F.lit(0.0), 2 * len(names) + 2), lambda s, x: F.zip_with(s, x, lambda p, q: p + q))
@@ -165,8 +198,9 @@ def coefficients(series: DataFrame, names: list[str] | None = None, allow_rank_d
 def _masked(packed: DataFrame, t0: float, total: float, names: list[str]) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ata, aty = 0.0, 0.0
-        for ts, vs in zip(pdf["__ts"], pdf["__vs"]):
-            a, y = design(np.asarray(ts, float), float(ts[0]), t0, total, names), np.asarray(vs, float)
+        for ts, vs, start, mids in zip(*(pdf[c] for c in ("__ts", "__vs", "__start", "__mids"))):
+            ts, y = np.asarray(ts, float), np.asarray(vs, float)
+            a = design(ts, _middles(ts, start, np.asarray(mids, float)), t0, total, names)
             ok = ~np.isnan(y)
             ata, aty = ata + a[ok].T @ a[ok], aty + a[ok].T @ y[ok]
         return pdf[["node_id"]].head(1).assign(__c=[np.linalg.lstsq(ata, aty, rcond=None)[0]])
@@ -182,20 +216,16 @@ def detide(series: DataFrame, calendar: str | None = None, names: list[str] | No
     t0, total, used = info["t0"], info["total_hours"], info["constituents"]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        axis, a = None, None
+        designs = _Designs(t0, total, used)
         for pdf in parts:
-            out = []
-            for ts, vs, c in zip(pdf["__ts"], pdf["__vs"], pdf["__c"]):
-                if axis is None or len(axis) != len(ts) or not np.array_equal(axis, ts):
-                    axis, a = np.asarray(ts, float), design(np.asarray(ts, float), float(ts[0]), t0, total, used)
-                y = np.asarray(vs, float) - a @ np.asarray(c)
-                out.append([None if np.isnan(x) else float(x) for x in y])
-            yield pdf[["node_id", "file_year", "__ts"]].assign(__ys=out)
-
-    joined = pack(series).join(fitted, "node_id")
+            axes = zip(pdf["file_year"], pdf["__ts"], pdf["__start"], pdf["__mids"])
+            left = [np.asarray(vs, float) - designs.of(*axis) @ np.asarray(c) for axis, vs, c in zip(axes, pdf["__vs"], pdf["__c"])]
+            yield pdf[["node_id", "file_year", "__ts"]].assign(__ys=left)
+
+    joined = pack(series).join(fitted, "node_id").sortWithinPartitions("file_year", F.hash("__ts"))
     done = joined.mapInPandas(run, "node_id long, file_year int, __ts array<double>, __ys array<double>")
     rows = done.select("node_id", "file_year", F.explode(F.arrays_zip("__ts", "__ys")).alias("r"))
-    return rows.select("node_id", "file_year", F.col("r.__ts").alias("time_h"), F.col("r.__ys").cast("float").alias("value"))
+    return rows.select("node_id", "file_year", F.col("r.__ts").alias("time_h"), F.nanvl("r.__ys", F.lit(None)).cast("float").alias("value"))
 
 
 def harmonic_sums(series: DataFrame, name: str = "M2") -> DataFrame:
