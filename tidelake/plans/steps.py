@@ -73,6 +73,7 @@ def _maxima(spark, hourly_path, variable, out_dir, timestep, force, yaml_path, f
         counts = periods.adjustment_counts(result).first()
         told |= {"monthly_max_min_separation_hours": periods.SEPARATION_H, "n_adjusted_node_months": counts["n_events"], "n_node_months_with_adjustment": counts["n_node_months"]}
     sinks.write_table(result, path, told, True)
+    result.unpersist()
     return path
 
 
