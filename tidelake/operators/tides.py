@@ -101,6 +101,12 @@ def window_middles(series: DataFrame, hours: float = NODAL_HOURS) -> DataFrame:
     return known.select("file_year", "__start", F.transform(F.sequence(F.lit(0), "__n"), lambda i: F.coalesce(F.try_element_at("__m", i), plain(i))).alias("__mids"))
 
 
+def _known_middles(series: DataFrame) -> DataFrame:
+    """window_middles, computed once: a row for each file comes to the driver."""
+    found = window_middles(series)
+    return series.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
 def _middles(ts: np.ndarray, start: float, mids: np.ndarray) -> np.ndarray:
     return mids[np.floor((ts - start) / NODAL_HOURS).astype(np.int64)]
 
@@ -124,22 +130,22 @@ def record(series: DataFrame) -> tuple[float, float]:
     return row["a"], row["b"] - row["a"]
 
 
-def pack(series: DataFrame) -> DataFrame:
+def pack(series: DataFrame, mids: DataFrame | None = None) -> DataFrame:
     """A row for each node and file: __ts and __vs, its times in order and their values (null where missing), and its file's __start and __mids.
 
     Rows are dealt by node and stand in the order of the files, so that those of one file, whose
     times are mostly the same, follow one another.
     """
     rows = F.array_sort(F.collect_list(F.struct("time_h", valid(F.col("value")).cast("double").alias("v"))))
-    packed = series.groupBy("node_id", "file_year").agg(rows.alias("__r")).join(F.broadcast(window_middles(series)), "file_year")
+    packed = series.groupBy("node_id", "file_year").agg(rows.alias("__r")).join(F.broadcast(window_middles(series) if mids is None else mids), "file_year")
     out = packed.select("node_id", "file_year", F.col("__r.time_h").alias("__ts"), F.col("__r.v").alias("__vs"), "__start", "__mids")
     return out.sortWithinPartitions("file_year", F.hash("__ts"))
 
 
-def normal_matrix(series: DataFrame, t0: float, total: float, names: list[str]) -> np.ndarray:
+def normal_matrix(series: DataFrame, t0: float, total: float, names: list[str], mids: DataFrame | None = None) -> np.ndarray:
     """A'A over the distinct times of each file, summed in tasks; one small matrix comes back."""
     times = series.select("file_year", "time_h").distinct()
-    mids = window_middles(series)
+    mids = window_middles(series) if mids is None else mids
     at = F.floor((F.col("time_h") - F.col("__start")) / NODAL_HOURS).cast("int")
     rows = times.join(F.broadcast(mids), "file_year").select("time_h", F.get("__mids", at).alias("__mid"))
 
@@ -172,7 +178,7 @@ def node_sums(packed: DataFrame, t0: float, total: float, names: list[str]) -> D
     return each.groupBy("node_id").agg(add.alias("__aty"))
 
 
-def coefficients(series: DataFrame, names: list[str] | None = None, allow_rank_deficient: bool = False, per_node_mask: bool = False) -> tuple[DataFrame, dict]:
+def coefficients(series: DataFrame, names: list[str] | None = None, allow_rank_deficient: bool = False, per_node_mask: bool = False, mids: DataFrame | None = None) -> tuple[DataFrame, dict]:
     """node_id, __c (coefficients), and what the fit rests on: t0, total_hours, constituents.
 
     By default a missing value counts as 0 against the full A'A that all nodes
@@ -180,19 +186,20 @@ def coefficients(series: DataFrame, names: list[str] | None = None, allow_rank_d
     """
     t0, total = record(series)
     names = resolvable(total, names)
-    ata = normal_matrix(series, t0, total, names)
+    mids = _known_middles(series) if mids is None else mids
+    ata = normal_matrix(series, t0, total, names, mids)
     if np.linalg.matrix_rank(ata, hermitian=True) < len(ata) and not allow_rank_deficient:
         raise ValueError(f"a record of {total:g} h can't tell {len(names)} constituents apart; pass fewer, or allow_rank_deficient=True")
     info = {"t0": t0, "total_hours": total, "constituents": names}
     if per_node_mask:
-        return _masked(pack(series), t0, total, names), info
+        return _masked(pack(series, mids), t0, total, names), info
     inverse = np.linalg.pinv(ata, hermitian=True) if allow_rank_deficient else np.linalg.inv(ata)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             yield pdf[["node_id"]].assign(__c=[inverse @ np.asarray(y) for y in pdf["__aty"]])
 
-    return node_sums(pack(series), t0, total, names).mapInPandas(run, "node_id long, __c array<double>"), info
+    return node_sums(pack(series, mids), t0, total, names).mapInPandas(run, "node_id long, __c array<double>"), info
 
 
 def _masked(packed: DataFrame, t0: float, total: float, names: list[str]) -> DataFrame:
@@ -212,7 +219,8 @@ def detide(series: DataFrame, calendar: str | None = None, names: list[str] | No
     """node_id, file_year, time_h, value (float): the series less its fitted tide; null where it was missing."""
     if C.calendar_name(calendar) != "standard":
         raise ValueError(f"detiding needs a standard calendar, not {calendar!r}")
-    fitted, info = coefficients(series, names, **options)
+    mids = _known_middles(series)
+    fitted, info = coefficients(series, names, mids=mids, **options)
     t0, total, used = info["t0"], info["total_hours"], info["constituents"]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -222,7 +230,7 @@ def detide(series: DataFrame, calendar: str | None = None, names: list[str] | No
             left = [np.asarray(vs, float) - designs.of(*axis) @ np.asarray(c) for axis, vs, c in zip(axes, pdf["__vs"], pdf["__c"])]
             yield pdf[["node_id", "file_year", "__ts"]].assign(__ys=left)
 
-    joined = pack(series).join(fitted, "node_id").sortWithinPartitions("file_year", F.hash("__ts"))
+    joined = pack(series, mids).join(fitted, "node_id").sortWithinPartitions("file_year", F.hash("__ts"))
     done = joined.mapInPandas(run, "node_id long, file_year int, __ts array<double>, __ys array<double>")
     rows = done.select("node_id", "file_year", F.explode(F.arrays_zip("__ts", "__ys")).alias("r"))
     return rows.select("node_id", "file_year", F.col("r.__ts").alias("time_h"), F.nanvl("r.__ys", F.lit(None)).cast("float").alias("value"))
