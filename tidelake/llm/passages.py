@@ -365,9 +365,9 @@ def similar_spans(one: pd.DataFrame, two: pd.DataFrame, width: int, similarity:
     roots, left = [r.copy() for r in roots], [x >> 28 & mask for x in lr]
     same = _common(*spans)
     ok = (same >= np.maximum(need[0][:, None], need[1][None, :])) & (ids[0][:, None] != ids[1][None, :])
-    known = np.unique(np.concatenate(spans[0] + spans[1]))
+    known = np.intersect1d(np.concatenate(spans[0]), np.concatenate(spans[1]))
     codes = [_coded(some, known) for some in spans]
-    sets = np.zeros((len(spans[1]), len(known) + 1), bool)  # the last column is for what fills up shorter spans
+    sets = np.zeros((len(spans[1]), len(known) + 1), bool)  # the last column is for what is not shared, and what fills up shorter spans
     np.put_along_axis(sets, codes[1], True, 1)
     sets[:, -1] = False
     again = [np.array([len(np.unique(x)) < len(x) for x in some]) for some in spans]
@@ -378,7 +378,8 @@ def similar_spans(one: pd.DataFrame, two: pd.DataFrame, width: int, similarity:
         s, c = spans[0][p], int(at[0][p] - left[0][p])
         own = np.zeros(len(known) + 1, bool)
         own[codes[0][p, : len(s)]] = True
-        gain = _gain(sets[some][:, codes[0][p, : len(s)]], np.full(len(some), len(s)), np.full(len(some), c), width, similarity)
+        own[-1] = False
+        gain = _gain(sets[np.ix_(some, codes[0][p, : len(s)])], np.full(len(some), len(s)), np.full(len(some), c), width, similarity)
         gain += _gain(own[codes[1][some]], np.array([len(spans[1][q]) for q in some]), (at[1] - left[1])[some], width, similarity)
         # Where shingles repeat, numbers of places say nothing of sets.
         some = some[(gain >= 0) | again[0][p] | again[1][some]]
@@ -399,10 +400,11 @@ def similar_spans(one: pd.DataFrame, two: pd.DataFrame, width: int, similarity:
 
 
 def _coded(spans: list[np.ndarray], known: np.ndarray) -> np.ndarray:
-    """A row for each span: places in known, then len(known) to fill up."""
+    """A row for each span: places in known, len(known) for what isn't there and to fill up."""
     out = np.full((len(spans), max(map(len, spans))), len(known))
     for row, s in zip(out, spans):
-        row[: len(s)] = np.searchsorted(known, s)
+        at = np.searchsorted(known, s)
+        row[: len(s)] = np.where(np.append(known, np.uint64(0))[at] == s, at, len(known)) if len(known) else len(known)
     return out
 
 
