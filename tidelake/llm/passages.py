@@ -40,7 +40,7 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -61,6 +61,10 @@ NEAR = 101
 MANY, KEYS, SLICE = 64, 1 << 21, 2 << 20
 
 
+#: A map over texts (__id, __text), given a function over batches and the schema of its result.
+Mapped = Callable[[Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], str], DataFrame]
+
+
 def shingle_sequences(texts: pa.Array, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the n-word shingles of all texts, one after another, and shingles per text."""
     h, sizes = word_hashes(texts)
@@ -135,7 +139,7 @@ def text_windows(h: np.ndarray, sizes: np.ndarray, width: int, hashes: int) -> I
         yield row[c], values[c].view(np.int64), l, c, r
 
 
-def shared_keys(texts: DataFrame, words: int, least: int, hashes: int, parts: int) -> DataFrame:
+def shared_keys(texts: Mapped, words: int, least: int, hashes: int, parts: int) -> DataFrame:
     """__key, __m: the windows' keys that several texts have, and how many windows have them.
 
     A task sends each key once for a slice of its texts, with the numbers of texts and windows, as
@@ -169,7 +173,7 @@ def shared_keys(texts: DataFrame, words: int, least: int, hashes: int, parts: in
         n, m = (np.add.reduceat(x, starts) if len(x) else x for x in (n, m))
         return pd.DataFrame({"__key": key[starts][n > 1], "__m": m[n > 1]})
 
-    sent = texts.select("__id", "__text").mapInArrow(run, "__part long, __keys binary, __ns binary, __ms binary")
+    sent = texts(run, "__part long, __keys binary, __ns binary, __ms binary")
     return sent.groupBy("__part").applyInPandas(several, "__key long, __m long")
 
 
@@ -216,7 +220,7 @@ def runs_around(h: np.ndarray, sizes: np.ndarray, c: np.ndarray, l: np.ndarray,
     return own, hashed[p].view(np.int64), p - starts[own], np.minimum(low, p) - starts[own], np.maximum(high, p + RUN - 1) - starts[own]
 
 
-def windows(texts: DataFrame, keys: DataFrame, words: int, least: int, hashes: int, small: int) -> DataFrame:
+def windows(texts: Mapped, keys: DataFrame, words: int, least: int, hashes: int, small: int) -> DataFrame:
     """__key, __id, __lr, __at: the windows with keys that up to `small` windows share (function, l and r packed; __at null),
     and the chosen runs around the windows of all larger groups (__key: the run's hash; hull of the spans; place)."""
     few, many = (bitmap.build(keys.filter(x).select("__key")) for x in (F.col("__m") <= small, F.col("__m") > small))
@@ -238,7 +242,7 @@ def windows(texts: DataFrame, keys: DataFrame, words: int, least: int, hashes: i
                     row, key, at, l, r = runs_around(h, sizes, *(np.concatenate(x) for x in zip(*hot)), width)
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, ids[row], NEAR << 56 | l << 28 | r, at)], names)
 
-    return texts.select("__id", "__text").mapInArrow(run, "__key long, __id long, __lr long, __at long")
+    return texts(run, "__key long, __id long, __lr long, __at long")
 
 
 def _paired(rows: DataFrame) -> DataFrame:
@@ -696,28 +700,39 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
     sizes = materialise(runs.groupBy("__key").agg(F.count("*").alias("__m")).filter("__m > 1"), "runs")
     common = runs.join(sizes.filter(F.col("__m") > few).select("__key"), "__key")
     rects = _paired(rare).unionByName(_paired(runs.join(sizes.filter(F.col("__m") <= few).select("__key"), "__key").drop("__at"))).unionByName(_starred(common), allowMissingColumns=True)
-    checked = materialise(_checked(_supported(rects, width, enough), texts, words, least, similarity), "passages")
+    checked = materialise(_checked(_supported(rects, width, enough), base, words, least, similarity), "passages")
     found = checked.filter("kind = 'passage'")
     left = checked.filter("kind = 'open'").select(F.col("twin_id").alias("__key"), F.col("doc_id").alias("__id"), F.col("start").alias("__at"))
     if not left.isEmpty():
-        spans = materialise(_spans(_crowded(common, left), texts, words, width, similarity), "spans")
+        spans = materialise(_spans(_crowded(common, left), base, words, width, similarity), "spans")
         members = materialise(_promising(spans), "members")
         near = materialise(_pivoted(_sized(members), width, similarity, block), "pivoted")
         roots = materialise(near.filter("not __link").groupBy(F.col("__old").alias("__id")).agg(F.min("__new").alias("__root")), "roots")
         placed = near_dedup.relabel(near_dedup.relabel(members, "__root", roots), "__root", roots).drop("__rest")
         rects = near.unionByName(_blocks(near_dedup._crowded(placed), width, similarity, block)).filter("__link").drop("__old", "__new", "__link")
-        found = found.unionByName(_checked(_supported(rects, width, enough), texts, words, least, similarity)).distinct()
+        found = found.unionByName(_checked(_supported(rects, width, enough), base, words, least, similarity)).distinct()
     zero, n = F.lit(0).cast("long"), F.col("__n")
     return found.unionByName(
         copies.select(F.col("__id").alias("doc_id"), F.col("__first").alias("twin_id"), zero.alias("start"), n.alias("n_words"), zero.alias("twin_start"), n.alias("twin_words"), F.lit(1.0).alias("similarity"), F.lit("copy").alias("kind"))
     )
 
 
-def _apart(base: DataFrame, copies: DataFrame) -> DataFrame:
-    """The rows of base that are no copies. Only what a bitmap can't rule out is joined."""
+def _apart(base: DataFrame, copies: DataFrame) -> Mapped:
+    """A map over the rows of base that are no copies.
+
+    A bitmap drops rows inside the map itself, so that a task needs one Python worker; what it can't
+    rule out is joined once, and the few rows that are no copies after all are stored.
+    """
     gone = bitmap.build(copies.select("__id"))
-    unsure = base.filter(bitmap.maybe(gone, "__id")).join(copies.select("__id").distinct(), "__id", "left_anti")
-    return base.filter(~bitmap.maybe(gone, "__id")).unionByName(unsure)
+    rest = materialise(base.filter(bitmap.maybe(gone, "__id")).join(copies.select("__id").distinct(), "__id", "left_anti").select("__id", "__text"), "unsure")
+
+    def mapped(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+        def sure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return run(b.filter(pa.array(~bitmap.test(gone.value, b.column(0).to_numpy()))) for b in batches)
+
+        return base.select("__id", "__text").mapInArrow(sure, schema).unionByName(rest.mapInArrow(run, schema))
+
+    return mapped
 
 
 def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
@@ -768,6 +783,17 @@ def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
     return rows.mapInArrow(run, "__a long, __b long, __regions array<long>, __runs array<long>")
 
 
+def _narrow(h: np.ndarray, width: int = 5) -> bytes:
+    """The low 40 bits of hashes: enough to tell the shingles of two texts apart, and what a shuffle of them holds."""
+    return h.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _wide(raw: bytes, width: int = 5) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return out.view(np.uint64).ravel()
+
+
 def _checked(supported: DataFrame, texts: DataFrame, words: int, least: int, similarity: int) -> DataFrame:
     """The passages of the pairs' regions, and rows of kind `open` (doc_id, run, start) for the runs of __b that none of them holds in both texts.
 
@@ -792,7 +818,7 @@ def _checked(supported: DataFrame, texts: DataFrame, words: int, least: int, sim
                     cuts = []
                     for at, o, q in zip(own[k : k + 256], odd.to_pylist(), flat.to_pylist()):
                         lows, highs = (q[2::4], q[3::4]) if o else (q[::4], q[1::4])
-                        cuts.append(b"".join(h[at + i : at + j + 1].tobytes() for i, j in zip(lows, highs)))
+                        cuts.append(b"".join(_narrow(h[at + i : at + j + 1]) for i, j in zip(lows, highs)))
                     yield pa.RecordBatch.from_arrays([a, b, odd, flat, runs, pa.array(cuts, pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -804,7 +830,7 @@ def _checked(supported: DataFrame, texts: DataFrame, words: int, least: int, sim
                     if not odd:
                         held = raw
                         continue
-                    x, y, at, at2, known = np.frombuffer(held, np.uint64), np.frombuffer(raw, np.uint64), 0, 0, len(out)
+                    x, y, at, at2, known = _wide(held), _wide(raw), 0, 0, len(out)
                     for l, r, l2, r2 in zip(*(flat[i::4] for i in range(4))):
                         n, n2 = r - l + 1, r2 - l2 + 1
                         for s, e, s2, e2, j in passages(x[at : at + n], y[at2 : at2 + n2], (0, n - 1, 0, n2 - 1), width, similarity):
