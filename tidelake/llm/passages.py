@@ -299,7 +299,7 @@ def _spans(crowded: DataFrame, texts: DataFrame, words: int, width: int, similar
     """
     kinds = {"__band": "long", "__node": "long", "__root": "long", "__at": "long", "__rest": "boolean"}
     lists = _listed(crowded.select("__id", F.struct(*kinds).alias("__x")), "__x")
-    near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists, "__id").select("__id", "__w", "__text")
+    near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists.hint("merge"), "__id").select("__id", "__w", "__text")
     names = [*kinds, "__id", "__lr", "__need", "__span"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -728,7 +728,8 @@ def _apart(base: DataFrame, copies: DataFrame) -> Mapped:
 
     def mapped(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
         def sure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return run(b.filter(pa.array(~bitmap.test(gone.value, b.column(0).to_numpy()))) for b in batches)
+            slices = (some for b in batches for some in by_bytes(b, 1, SLICE))
+            return run(b.filter(pa.array(~bitmap.test(gone.value, b.column(0).to_numpy()))) for b in slices)
 
         return base.select("__id", "__text").mapInArrow(sure, schema).unionByName(rest.mapInArrow(run, schema))
 
@@ -798,12 +799,13 @@ def _checked(supported: DataFrame, texts: DataFrame, words: int, least: int, sim
     """The passages of the pairs' regions, and rows of kind `open` (doc_id, run, start) for the runs of __b that none of them holds in both texts.
 
     Each text's stretches are cut out as shingle hashes and meet by pair, so no text is sent whole or once for a pair.
+    The merge join keeps the bitmap's Python worker and the map's in two stages: a task never needs both.
     """
     width = least - words + 1
     supported = materialise(supported, "regions")
     of = lambda text, odd: supported.select(F.col(text).alias("__id"), F.struct("__a", "__b", F.lit(odd).alias("__odd"), "__regions", *(["__runs"] if odd else [F.array().cast("array<long>").alias("__runs")])).alias("__x"))
     lists = materialise(_listed(of("__a", False).unionByName(of("__b", True)), "__x"), "stretches")
-    near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists, "__id").select("__w", "__text")
+    near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists.hint("merge"), "__id").select("__w", "__text")
     names = ["__a", "__b", "__odd", "__regions", "__runs", "__cut"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
