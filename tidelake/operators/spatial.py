@@ -53,6 +53,16 @@ def wet_only(mesh: DataFrame, mask: DataFrame) -> DataFrame:
     return mesh.join(mask.filter("always_wet").select("node_index"), "node_index", "left_semi")
 
 
+def wet_count(mask: DataFrame) -> DataFrame:
+    """How many nodes there are, and how many of them never fall dry."""
+    return mask.agg(F.count("*").alias("n_nodes"), F.count_if("always_wet").alias("n_wet"))
+
+
+def with_nodes(values: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Values by node_id with the position of their node; values of nodes that aren't in the block stay, with nulls."""
+    return values.join(nodes.select("node_id", "node_lon", "node_lat", "node_depth"), "node_id", "left")
+
+
 def match_points(points: DataFrame, mesh: DataFrame, mask: DataFrame | None = None) -> DataFrame:
     """The node block of the points, without a limit of distance: repeated nodes stay, node_id keeps the points' order."""
     search = mesh if mask is None else wet_only(mesh, mask)

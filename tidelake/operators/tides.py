@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions import calendars as C
@@ -66,6 +66,12 @@ def resolvable(total_hours: float, names: list[str] | None = None) -> list[str]:
     return [n for n in names or list(CONSTITUENTS) if 720.0 < total_hours * speed(n)]
 
 
+def resolvable_in(total_hours: Column, names: list[str] | None = None) -> Column:
+    """resolvable as an array column, for records of total_hours each."""
+    turns = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(speed(n)).alias("speed")) for n in names or CONSTITUENTS))
+    return F.transform(F.filter(turns, lambda x: total_hours * x["speed"] > 720.0), lambda x: x["name"])
+
+
 def nodal(name: str, time_h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Factor f and phase u (degrees) at the times."""
     node = np.radians(NODE_START + NODE_RATE * time_h)

@@ -425,3 +425,78 @@ def detided_years(spark, sf_dir):
 
 QUERIES["detided_years"] = detided_years
 
+
+
+@query("SELECT count(*) AS n_nodes, count(*) FILTER (s_suppkey % 4 <> 0) AS n_wet FROM supplier")
+def wet_node_count(spark, sf_dir):
+    return spatial.wet_count(mesh_of(spark, sf_dir).select("node_index", (F.col("node_index") % 4 != 0).alias("always_wet")))
+
+
+@query("SELECT l_orderkey % 97 AS file, CAST(year(min(l_shipdate)) AS INTEGER) AS file_year FROM lineitem GROUP BY 1")
+def year_of_first_instant(spark, sf_dir):
+    from tidelake.sources.files import first_years
+
+    series = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 97).alias("file"), C.hours_since_epoch(F.col("l_shipdate")).alias("time_h"))
+    return first_years(series)
+
+
+@query("SELECT CAST(1900 + p_partkey // 10 AS INTEGER) AS year, max(p_partkey % 10) AS suffix FROM part WHERE p_partkey % 10 <> 7 AND p_partkey // 10 < 200 GROUP BY 1")
+def best_file_by_year(spark, sf_dir):
+    from tidelake.sources.files import best_files_by_year
+
+    k = F.col("p_partkey")
+    dir_ = F.when(k < 2000, (1900 + F.floor(k / 10)).cast("string")).otherwise(F.concat(F.lit("y"), k.cast("string")))
+    version = F.when(k % 10 == 0, "fort.63.nc").when(k % 10 == 7, "fort.63.nc.bak").otherwise(F.concat(F.lit("fort.63.nc-"), (k % 10).cast("string")))
+    got = best_files_by_year(table(spark, sf_dir, "part").select(F.concat_ws("/", F.lit("runs"), dir_, version).alias("path")))
+    return got.select("year", naming.version_suffix(F.col("path")).cast("long").alias("suffix"))
+
+
+@query("SELECT CAST(year(o_orderdate) AS INTEGER) AS file_year, count(*) AS n FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1")
+def hourly_files_listed(spark, sf_dir):
+    from tidelake.sources.files import hourly_files
+
+    y = F.year("o_orderdate").cast("string")
+    kind = F.when(F.col("o_orderkey") % 3 == 0, "_day_").otherwise("_1hr_")
+    paths = table(spark, sf_dir, "orders").select(F.concat(F.lit("out/twl"), kind, F.lit("g_f_s_l_"), y, F.lit("01-"), y, F.lit("12.nc")).alias("path"))
+    return hourly_files(paths, "twl").groupBy("file_year").agg(F.count("*").alias("n"))
+
+
+@query("SELECT user_id AS file, date_trunc('second', ts) AS ts, CASE WHEN event_id % 11 = 0 THEN -99.5 ELSE CAST(event_id % 1000 AS DOUBLE) / 100 END AS sea_level FROM events WHERE event_id % 5 <> 0 AND event_id % 7 <> 0")
+def gauge_parse(spark, sf_dir):
+    """Gauge lines made of the events: every fifth is flagged as not for use, every seventh has no level; headers in between."""
+    from tidelake.schema import NO_LEVEL
+    from tidelake.sources.files import gauge_rows
+
+    k = F.col("event_id")
+    level = F.when(k % 7 == 0, F.lit(str(NO_LEVEL))).when(k % 11 == 0, F.lit("-99.5")).otherwise((k % 1000 / 100).cast("string"))
+    line = F.concat_ws("  ", F.date_format("ts", "yyyy/MM/dd HH:mm:ss"), level, F.lit("1"), F.when(k % 5 == 0, "0").otherwise("1"))
+    lines = table(spark, sf_dir, "events").select(F.col("user_id").alias("file"), F.explode(F.array(F.lit("# SITE NAME: x"), line)).alias("value"))
+    got = gauge_rows(lines)
+    return got.select("file", F.col("ts").cast("timestamp_ntz").alias("ts"), "sea_level")
+
+
+@query("SELECT 'station-' || s_suppkey || '.txt' AS filename, 'Site ' || s_suppkey AS site_name, (s_suppkey % 90) / 2.0 AS latitude, (s_suppkey % 170) / 2.0 AS longitude, '1979/01/01' AS start_date, CAST(s_suppkey % 12 AS DOUBLE) AS timezone, 'chart' AS datum FROM supplier WHERE s_suppkey % 6 <> 0")
+def gauge_catalogue(spark, sf_dir):
+    """Gauge headers made of the suppliers; every sixth has no readable latitude."""
+    from tidelake.sources.files import gauge_headers
+
+    k = F.col("s_suppkey")
+    lat = F.when(k % 6 == 0, "unknown").otherwise((k % 90 / 2).cast("string"))
+    lines = [F.concat(F.lit("# SITE NAME: Site "), k.cast("string")), F.concat(F.lit("# LATITUDE "), lat), F.concat(F.lit("# LONGITUDE "), (k % 170 / 2).cast("string")), F.lit("# START DATE 1979/01/01"), F.concat(F.lit("# TIME ZONE hours "), (k % 12).cast("string")), F.lit("# DATUM INFORMATION chart")]
+    texts = table(spark, sf_dir, "supplier").select(F.concat(F.lit("gauges/station-"), k.cast("string"), F.lit(".txt")).alias("path"), F.concat_ws("\n", *lines).alias("value"))
+    return gauge_headers(texts).select("filename", "site_name", "latitude", "longitude", "start_date", "timezone", "datum")
+
+
+@query(f"WITH s AS ({L}), m AS ({MESH}) SELECT a.*, m.lon AS node_lon, m.lat AS node_lat, m.depth AS node_depth FROM (SELECT node_id, CAST(year(ts) AS INTEGER) AS y, CAST(month(ts) AS INTEGER) AS m, max(value) AS value, min_by(time_h, (-value, time_h)) AS time_h FROM s GROUP BY ALL) a LEFT JOIN m ON m.node_index = a.node_id")
+def monthly_with_nodes(spark, sf_dir):
+    nodes = mesh_of(spark, sf_dir).select(F.col("node_index").alias("node_id"), F.col("lon").alias("node_lon"), F.col("lat").alias("node_lat"), F.col("depth").alias("node_depth"))
+    return spatial.with_nodes(periods.monthly_max_raw(years(spark, sf_dir)), nodes)
+
+
+SPEEDS = ", ".join(f"('{n}', {tides.speed(n):.17g}::DOUBLE)" for n in tides.CONSTITUENTS)
+
+
+@query(f"WITH s AS ({L}), t AS (SELECT node_id, file_year, max(time_h) - min(time_h) AS total FROM s GROUP BY ALL) SELECT node_id, file_year, name FROM t JOIN (VALUES {SPEEDS}) v(name, speed) ON total * speed > 720")
+def constituent_filter(spark, sf_dir):
+    t = years(spark, sf_dir).groupBy("node_id", "file_year").agg((F.max("time_h") - F.min("time_h")).alias("total"))
+    return t.select("node_id", "file_year", F.explode(tides.resolvable_in(F.col("total"))).alias("name"))

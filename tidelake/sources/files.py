@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidelake.functions import calendars as C
 from tidelake.functions import naming
 from tidelake.operators.stations import overlaps, quality_filter
 from tidelake.schema import NO_LEVEL
@@ -37,6 +38,11 @@ def hourly_files(files: DataFrame, variable: str) -> DataFrame:
     return files.select(naming.start_year(F.col("path"), variable).alias("file_year"), "path").filter("file_year is not null").orderBy("file_year")
 
 
+def first_years(series: DataFrame, file: str = "file") -> DataFrame:
+    """file, file_year of files given by name only: the year of the first instant in each."""
+    return series.groupBy(file).agg(F.year(C.timestamp_of(F.min("time_h"))).alias("file_year"))
+
+
 def read_series(spark: SparkSession, path: str, years: list[int] | None = None) -> DataFrame:
     """A stored series; years prune partitions."""
     got = spark.read.parquet(path)
@@ -101,7 +107,12 @@ def read_gauges(spark: SparkSession, path: str, start: str | None = None, end: s
 
     Data lines are told from the header by their form, so that files may be split.
     """
-    lines = spark.read.text(path).select(F.trim("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    return gauge_rows(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")), start, end)
+
+
+def gauge_rows(lines: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """file, ts, sea_level of usable observations among lines (file, value)."""
+    lines = lines.select(F.trim("value").alias("line"), "file")
     f = F.split("line", r"\s+")
     rows = lines.filter(F.col("line").rlike(r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}\s+\S+\s+\S+\s+\S+\s+\S+$"))
     obs = rows.select(
