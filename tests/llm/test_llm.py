@@ -285,6 +285,19 @@ def test_word_hashes_tell_words_apart():
     assert len(base.word_hashes(pa.array([], pa.string()))[0]) == 0 and base.word_hashes(pa.array(["", " "]))[1].tolist() == [0, 0]
 
 
+def test_cut_stretches_keep_40_bits():
+    h = np.random.default_rng(5).integers(0, 2**64, 1000, dtype=np.uint64)
+    assert (passages._wide(passages._narrow(h[3:997])) == h[3:997] & np.uint64(2**40 - 1)).all()
+    assert len(passages._wide(passages._narrow(h[:0]))) == 0
+
+
+def test_coded_places_only_what_is_known():
+    known = np.array([2, 5, 9], np.uint64)
+    got = passages._coded([np.array([9, 1, 5], np.uint64), np.array([11], np.uint64)], known)
+    assert got.tolist() == [[2, 3, 1], [3, 3, 3]]
+    assert passages._coded([np.array([4], np.uint64)], known[:0]).tolist() == [[0]]
+
+
 def test_voted_equals_pair_by_pair():
     rng = np.random.default_rng(4)
     sizes = rng.integers(1, 12, 40)
