@@ -438,6 +438,7 @@ def _compared(left: DataFrame, right: DataFrame, keys: list[str], width: int, si
     """__a, __b, __lr, __lr2 of passages between left and right in the groups by keys (__link), and __old, __new of the roots that they link (not __link)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["__id", "__at"], kind="stable")  # which links stand for a group mustn't depend on the order of arrival
         one, two = pdf[pdf["__left"]], pdf[~pdf["__left"]]
         out, up = similar_spans(one, two, width, similarity) if len(one) and len(two) else ([], {})
         rows = [(*x, 0, 0, True) for x in out] + [(0, 0, 0, 0, *x, False) for x in up.items()]
