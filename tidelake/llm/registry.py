@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelake.llm import chat, exact_dedup, likelihood, mixing, near_dedup, packing, passages, quality, telephony, warc
+from tidelake.llm import alignment, chat, exact_dedup, language_id, likelihood, merkle, mixing, near_dedup, packing, passages, quality, telephony, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_quality": quality.query,
     "op9_warc": warc.query,
     "op10_mixing": mixing.query,
+    "op11_language_id": language_id.query,
+    "op12_merkle": merkle.query,
+    "op13_alignment": alignment.query,
 }
-SQL = {"op1_exact_dedup": exact_dedup.SQL, "op7_chat": chat.SQL, "op9_warc": warc.SQL}
+SQL = {"op1_exact_dedup": exact_dedup.SQL, "op7_chat": chat.SQL, "op9_warc": warc.SQL, "op12_merkle": merkle.SQL}
