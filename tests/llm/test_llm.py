@@ -285,10 +285,9 @@ def test_word_hashes_tell_words_apart():
     assert len(base.word_hashes(pa.array([], pa.string()))[0]) == 0 and base.word_hashes(pa.array(["", " "]))[1].tolist() == [0, 0]
 
 
-def test_cut_stretches_keep_40_bits():
-    h = np.random.default_rng(5).integers(0, 2**64, 1000, dtype=np.uint64)
-    assert (passages._wide(passages._narrow(h[3:997])) == h[3:997] & np.uint64(2**40 - 1)).all()
-    assert len(passages._wide(passages._narrow(h[:0]))) == 0
+def test_stretches_that_touch_are_one():
+    packed = [l << 28 | r for l, r in ((5, 9), (0, 3), (4, 4), (20, 30), (22, 25), (31, 31), (40, 41))]
+    assert passages._merged(packed) == [(0, 9), (20, 31), (40, 41)] and passages._merged([]) == []
 
 
 def test_coded_places_only_what_is_known():

@@ -40,13 +40,15 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm import bitmap, near_dedup
@@ -245,17 +247,23 @@ def windows(texts: Mapped, keys: DataFrame, words: int, least: int, hashes: int,
     return texts(run, "__key long, __id long, __lr long, __at long")
 
 
+def _home(*keys: str) -> Column:
+    """The place where a pair's texts meet: the group that pairs them, a large one before a small one, so that most pairs of a passage choose the same."""
+    return F.shiftleft(F.least("__m", F.lit(255)).cast("long"), 48).bitwiseOR(F.xxhash64(*keys).bitwiseAND(F.lit((1 << 48) - 1)))
+
+
 def _paired(rows: DataFrame) -> DataFrame:
-    """Rectangles __a, __b, __lr, __lr2 of all pairs of texts in the groups by __key of rows."""
-    x = rows.select("__key", F.col("__id").alias("__a"), "__lr")
+    """Rectangles __a, __b, __lr, __lr2 of all pairs of texts in the groups by __key of rows, with their __home."""
+    x = rows.select("__key", F.col("__id").alias("__a"), "__lr", _home("__key").alias("__home"))
     y = rows.select("__key", F.col("__id").alias("__b"), F.col("__lr").alias("__lr2"))
     return x.join(y, "__key").filter("__a < __b").drop("__key")
 
 
-def _starred(rows: DataFrame) -> DataFrame:
-    """Rectangles of each text of a run with the run's first text; with the run, and its places __x and __y in the two texts."""
+def _starred(rows: DataFrame, members: int = 256) -> DataFrame:
+    """Rectangles of each text of a run with the run's first text; with the run, and its places __x and __y in the two texts. About `members` texts have a home in common."""
     first = rows.groupBy("__key").agg(F.min(F.struct("__id", "__lr", "__at")).alias("__f")).select("__key", F.col("__f.__id").alias("__a"), F.col("__f.__lr").alias("__lr"), F.col("__f.__at").alias("__x"))
-    return rows.select("__key", F.col("__id").alias("__b"), F.col("__lr").alias("__lr2"), F.col("__at").alias("__y")).join(first, "__key").filter("__a <> __b")
+    dealt = rows.withColumn("__block", F.pmod(F.xxhash64("__id"), F.ceil(F.col("__m") / F.lit(members)))).withColumn("__home", _home("__key", "__block"))
+    return dealt.select("__key", F.col("__id").alias("__b"), F.col("__lr").alias("__lr2"), F.col("__at").alias("__y"), "__home").join(first, "__key").filter("__a <> __b")
 
 
 def _crowded(runs: DataFrame, left: DataFrame) -> DataFrame:
@@ -696,11 +704,11 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
     parts = max(parts, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keys = materialise(shared_keys(texts, words, least, hashes, parts), "keys")
     shared = materialise(windows(texts, keys, words, least, hashes, small), "windows")
-    rare = shared.filter("__at is null").join(keys.filter(F.col("__m") <= small).select("__key"), "__key").drop("__at")
+    rare = shared.filter("__at is null").join(keys.filter(F.col("__m") <= small), "__key").drop("__at")
     runs = shared.filter("__at is not null")
     sizes = materialise(runs.groupBy("__key").agg(F.count("*").alias("__m")).filter("__m > 1"), "runs")
-    common = runs.join(sizes.filter(F.col("__m") > few).select("__key"), "__key")
-    rects = _paired(rare).unionByName(_paired(runs.join(sizes.filter(F.col("__m") <= few).select("__key"), "__key").drop("__at"))).unionByName(_starred(common), allowMissingColumns=True)
+    common = runs.join(sizes.filter(F.col("__m") > few), "__key")
+    rects = _paired(rare).unionByName(_paired(runs.join(sizes.filter(F.col("__m") <= few), "__key").drop("__at"))).unionByName(_starred(common), allowMissingColumns=True)
     checked = materialise(_checked(_supported(rects, width, enough), base, words, least, similarity), "passages")
     found = checked.filter("kind = 'passage'")
     left = checked.filter("kind = 'open'").select(F.col("twin_id").alias("__key"), F.col("doc_id").alias("__id"), F.col("start").alias("__at"))
@@ -738,13 +746,13 @@ def _apart(base: DataFrame, copies: DataFrame) -> Mapped:
 
 
 def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
-    """__a, __b, __regions (flat: l, r, l2, r2 of each), __runs (flat: run, its places) of the pairs of texts that have any; a pair's rectangles come one after another."""
+    """__a, __b, __home, __regions (flat: l, r, l2, r2 of each), __runs (flat: run, its places) of the pairs of texts that have any; a pair's rectangles come one after another."""
     mask = (1 << 28) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []  # of the pair that may go on
         for b in batches:
-            some = [pc.fill_null(b.column(i), -1).to_numpy() for i in range(7)]
+            some = [pc.fill_null(b.column(i), -1).to_numpy() for i in range(8)]
             new = np.flatnonzero((some[0][1:] != some[0][:-1]) | (some[1][1:] != some[1][:-1])) + 1
             if held and len(some[0]) and (held[-1][0][-1], held[-1][1][-1]) != (some[0][0], some[1][0]):
                 new = np.append(0, new)
@@ -757,9 +765,10 @@ def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
             yield joined([np.concatenate(x) for x in zip(*held)])
 
     def joined(columns: list[np.ndarray]) -> pa.RecordBatch:
-        a, b, x, y, *runs = columns
+        a, b, x, y, home, *runs = columns
         first = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
         starts, pair = np.flatnonzero(first), np.cumsum(first) - 1
+        home = np.maximum.reduceat(home, starts) if len(starts) else home
         of = np.flatnonzero(runs[1] >= 0)
         held, bounds = np.stack([r[of] for r in runs], 1).ravel(), 3 * np.searchsorted(pair[of], np.arange(len(starts) + 1))
         order = np.lexsort((y, x, pair))
@@ -777,76 +786,92 @@ def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
         at = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
         out = [(p, regions(r, width, enough) if many[p] else _covering(r)) for p, r in zip(pair[at].tolist(), np.split(rows, at[1:]))]
         out = [(p, g) for p, g in out if g]
-        at, kind = [starts[p] for p, _ in out], pa.list_(pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(b[at]), pa.array([[v for q in g for v in q] for _, g in out], kind), pa.array([held[bounds[p] : bounds[p + 1]] for p, _ in out], kind)], ["__a", "__b", "__regions", "__runs"])
+        at, kind = np.array([starts[p] for p, _ in out], np.int64), pa.list_(pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(b[at]), pa.array(home[[p for p, _ in out]] if out else home[:0]), pa.array([[v for q in g for v in q] for _, g in out], kind), pa.array([held[bounds[p] : bounds[p + 1]] for p, _ in out], kind)], ["__a", "__b", "__home", "__regions", "__runs"])
 
+    home = F.col("__home") if "__home" in rects.columns else F.xxhash64("__a", "__b").bitwiseAND(F.lit((1 << 48) - 1)).alias("__home")
     more = [F.col(c) if c in rects.columns else F.lit(None).cast("long").alias(c) for c in ("__key", "__x", "__y")]
-    rows = rects.select("__a", "__b", "__lr", "__lr2", *more).repartition("__a", "__b").sortWithinPartitions("__a", "__b")
-    return rows.mapInArrow(run, "__a long, __b long, __regions array<long>, __runs array<long>")
-
+    rows = rects.select("__a", "__b", "__lr", "__lr2", home, *more).repartition("__a", "__b").sortWithinPartitions("__a", "__b")
+    return rows.mapInArrow(run, "__a long, __b long, __home long, __regions array<long>, __runs array<long>")
 
-def _narrow(h: np.ndarray, width: int = 5) -> bytes:
-    """The low 40 bits of hashes: enough to tell the shingles of two texts apart, and what a shuffle of them holds."""
-    return h.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
-
-def _wide(raw: bytes, width: int = 5) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
-    return out.view(np.uint64).ravel()
+def _merged(stretches: list[int]) -> list[tuple[int, int]]:
+    """First and last shingle of the stretches (packed), those that touch made one."""
+    out: list[tuple[int, int]] = []
+    for x in sorted(stretches):
+        l, r = x >> 28, x & ((1 << 28) - 1)
+        if out and l <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], r))
+        else:
+            out.append((l, r))
+    return out
 
 
 def _checked(supported: DataFrame, texts: DataFrame, words: int, least: int, similarity: int) -> DataFrame:
     """The passages of the pairs' regions, and rows of kind `open` (doc_id, run, start) for the runs of __b that none of them holds in both texts.
 
-    Each text's stretches are cut out as shingle hashes and meet by pair, so no text is sent whole or once for a pair.
+    A text's stretches are cut out once for each home, as shingle hashes, and meet the home's pairs there: no text
+    is sent whole, and no stretch once for a pair. A home has the texts of one group, so its memory is bounded.
     The merge join keeps the bitmap's Python worker and the map's in two stages: a task never needs both.
     """
     width = least - words + 1
     supported = materialise(supported, "regions")
-    of = lambda text, odd: supported.select(F.col(text).alias("__id"), F.struct("__a", "__b", F.lit(odd).alias("__odd"), "__regions", *(["__runs"] if odd else [F.array().cast("array<long>").alias("__runs")])).alias("__x"))
-    lists = materialise(_listed(of("__a", False).unionByName(of("__b", True)), "__x"), "stretches")
-    near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists.hint("merge"), "__id").select("__w", "__text")
-    names = ["__a", "__b", "__odd", "__regions", "__runs", "__cut"]
+    side = lambda text, i: supported.select(F.col(text).alias("__id"), "__home", F.explode(F.expr(f"transform(sequence(0, size(__regions) div 4 - 1), k -> shiftleft(__regions[4 * k + {i}], 28) | __regions[4 * k + {i + 1}])")).alias("__s"))
+    wanted = side("__a", 0).unionByName(side("__b", 2)).groupBy("__id", "__home").agg(F.collect_set("__s").alias("__s"))
+    lists = materialise(_listed(wanted.select("__id", F.struct("__home", "__s").alias("__x")), "__x"), "stretches")
+    near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists.hint("merge"), "__id").select("__id", "__w", "__text")
+    names = ["__home", "__pair", "__a", "__b", "__list", "__runs", "__cut"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in by_bytes(batch, 1, SLICE >> 2):
-                h, sizes = shingle_sequences(some.column(1), words)
-                starts = np.cumsum(sizes) - sizes
-                own = np.repeat(starts, pc.list_value_length(some.column(0)).to_numpy()).tolist()
-                cols = some.column(0).flatten().flatten()
-                for k in range(0, len(own), 256):
-                    a, b, odd, flat, runs = (c.slice(k, 256) for c in cols)
-                    cuts = []
-                    for at, o, q in zip(own[k : k + 256], odd.to_pylist(), flat.to_pylist()):
-                        lows, highs = (q[2::4], q[3::4]) if o else (q[::4], q[1::4])
-                        cuts.append(b"".join(_narrow(h[at + i : at + j + 1]) for i, j in zip(lows, highs)))
-                    yield pa.RecordBatch.from_arrays([a, b, odd, flat, runs, pa.array(cuts, pa.binary())], names)
+            for some in by_bytes(batch, 2, SLICE >> 2):
+                h, sizes = shingle_sequences(some.column(2), words)
+                starts = (np.cumsum(sizes) - sizes).tolist()
+                for id_, at, wanted in zip(some.column(0).to_pylist(), starts, some.column(1)):
+                    homes, lists = wanted.values.flatten()
+                    for k in range(0, len(homes), 256):
+                        own = [_merged(x) for x in lists.slice(k, 256).to_pylist()]
+                        n, none = len(own), pa.array([[]] * len(own), pa.list_(pa.int64()))
+                        cuts = [b"".join(h[at + l : at + r + 1].tobytes() for l, r in x) for x in own]
+                        packed = pa.array([[l << 28 | r for l, r in x] for x in own], pa.list_(pa.int64()))
+                        yield pa.RecordBatch.from_arrays([homes.slice(k, 256), pa.array(np.zeros(n, bool)), pa.array(np.full(n, id_)), pa.array(np.zeros(n, np.int64)), packed, none, pa.array(cuts, pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds, held = [*[pa.int64()] * 6, pa.float64(), pa.string()], None
+        kinds, home, held = [*[pa.int64()] * 6, pa.float64(), pa.string()], None, {}
+
+        def stretch(text: int, l: int, r: int) -> np.ndarray:
+            bounds, h = held[text]
+            k = bisect_right(bounds[0], l) - 1
+            at = bounds[1][k] + l - bounds[0][k]
+            return h[at : at + r - l + 1]
+
         for batch in batches:
-            for some in by_bytes(batch, 5, SLICE):
-                out = []
-                for a, b, odd, flat, runs, raw in zip(*(some.column(i).to_pylist() for i in range(6))):
-                    if not odd:
-                        held = raw
-                        continue
-                    x, y, at, at2, known = _wide(held), _wide(raw), 0, 0, len(out)
-                    for l, r, l2, r2 in zip(*(flat[i::4] for i in range(4))):
-                        n, n2 = r - l + 1, r2 - l2 + 1
-                        for s, e, s2, e2, j in passages(x[at : at + n], y[at2 : at2 + n2], (0, n - 1, 0, n2 - 1), width, similarity):
-                            out.append((a, b, l + s, e - s + words, l2 + s2, e2 - s2 + words, j, "passage"))
-                        at, at2 = at + n, at2 + n2
-                    for key, p, q in zip(runs[::3], runs[1::3], runs[2::3]):
-                        if not any(o[2] <= p <= o[2] + o[3] - words and o[4] <= q <= o[4] + o[5] - words for o in out[known:]):
-                            out.append((b, key, q, 0, 0, 0, 0.0, "open"))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 8, kinds)], result)
+            for some in by_bytes(batch, 6, SLICE):
+                for low in range(0, some.num_rows, 1024):
+                    out = []
+                    for at, pair, a, b, flat, runs, raw in zip(*(c.to_pylist() for c in some.slice(low, 1024).columns)):
+                        if at != home:
+                            home, held = at, {}
+                        if not pair:
+                            firsts = [x >> 28 for x in flat]
+                            sizes = [(x & ((1 << 28) - 1)) - (x >> 28) + 1 for x in flat]
+                            if 8 * sum(sizes) == len(raw):  # else another text under this id
+                                held[a] = (firsts, [0, *accumulate(sizes)]), np.frombuffer(raw, np.uint64)
+                            continue
+                        known = len(out)
+                        if a in held and b in held:
+                            for l, r, l2, r2 in zip(*(flat[i::4] for i in range(4))):
+                                for s, e, s2, e2, j in passages(stretch(a, l, r), stretch(b, l2, r2), (0, r - l, 0, r2 - l2), width, similarity):
+                                    out.append((a, b, l + s, e - s + words, l2 + s2, e2 - s2 + words, j, "passage"))
+                        for key, p, q in zip(runs[::3], runs[1::3], runs[2::3]):
+                            if not any(o[2] <= p <= o[2] + o[3] - words and o[4] <= q <= o[4] + o[5] - words for o in out[known:]):
+                                out.append((b, key, q, 0, 0, 0, 0.0, "open"))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 8, kinds)], result)
 
     result = ["doc_id", "twin_id", "start", "n_words", "twin_start", "twin_words", "similarity", "kind"]
-    cuts = near.mapInArrow(cut, "__a long, __b long, __odd boolean, __regions array<long>, __runs array<long>, __cut binary")
-    both = cuts.repartition("__a", "__b").sortWithinPartitions("__a", "__b", "__odd")
+    cuts = near.mapInArrow(cut, "__home long, __pair boolean, __a long, __b long, __list array<long>, __runs array<long>, __cut binary")
+    pairs = supported.select("__home", F.lit(True).alias("__pair"), "__a", "__b", F.col("__regions").alias("__list"), "__runs", F.lit(None).cast("binary").alias("__cut"))
+    both = cuts.unionByName(pairs).repartition("__home").sortWithinPartitions("__home", "__pair", "__a", "__b")
     return both.mapInArrow(run, "doc_id long, twin_id long, start long, n_words long, twin_start long, twin_words long, similarity double, kind string")
 
 
