@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm import chat, exact_dedup, likelihood, mixing, near_dedup, packing, passages, quality, telephony, warc
 
-CLASH = "keep_id kept group_size n_shingles component_id start length ids doc_tokens sequence_id offset times size target taken source_size score predicted held_out feature pcm media n_bytes start twin_id n_words __id __text".split()
+CLASH = "keep_id kept group_size n_shingles component_id start length ids doc_tokens sequence_id offset times size target taken source_size score predicted held_out feature pcm media n_bytes start twin_id n_words __id __text id sha row first chars nth hash copy src __sha __first __gone __times __src __size __nth __copy __score __predicted __scored __home __pair".split()
 TEXTS = [None, "", " \n", "a", "a b", "a b", "x!" * 250_000, "word " * 3000, "İ. ABİ, x ok! Σ. é", "one two three four five six", "one two three four five six"]
 
 
@@ -173,3 +173,37 @@ def test_mixing_query_per_source(spark):
         assert {r["source_size"] for r in by[s]} == {sizes[s]} and all(abs(r["target"] - aims[s]) < 1e-3 for r in by[s])
         assert abs(sum(r["taken"] for r in by[s]) - aims[s]) <= 2
     assert sorted(map(repr, rows)) == sorted(map(repr, mixing.query(spark, sf_dir).collect()))
+
+
+STAGES = {"exact": exact_dedup.keep, "near": near_dedup.keep, "mix": mixing.apply}
+
+
+@pytest.mark.parametrize("name", sorted(STAGES))
+def test_stages_keep_every_value_of_clashing_columns(spark, name):
+    d = table(spark)
+    got, given = STAGES[name](d), {tuple(r) for r in d.collect()}
+    assert got.columns == d.columns and {tuple(r) for r in got.collect()} <= given and got.count() > 0
+
+
+def test_classify_leaves_clashing_columns_alone(spark):
+    d = table(spark)
+    got = quality.classify(d, quality.train([], []))
+    assert got.columns == [*d.columns, "__score_", "__predicted_"]
+    assert sorted(map(repr, got.select(*d.columns).collect())) == sorted(map(repr, d.collect())) and {r["__score_"] for r in got.collect()} == {0.5}
+
+
+def test_pipeline_on_strange_tables(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing columns through all stages, and the same tables without a row."""
+    import corpus_pipeline
+
+    for name, rows in (("some", True), ("none", False)):
+        at = str(tmp_path / name)
+        table(spark, rows).write.parquet(f"{at}/documents.parquet")
+        spark.createDataFrame([(5, 1, 0), (None, 0, 0), (7, 1, 0)] if rows else [], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+        docs = spark.read.parquet(f"{at}/documents.parquet")
+        columns, given = docs.columns, {repr(r) for r in docs.collect()}
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = exact_dedup.materialise(stage(spark, docs, at), "edge")
+            assert docs.columns == columns and {repr(r) for r in docs.collect()} <= given
+        pieces = corpus_pipeline.run(spark, at).collect()
+        assert bool(pieces) == rows and sum(p["length"] for p in pieces) == sum(p["doc_tokens"] for p in pieces if p["start"] == 0)

@@ -83,14 +83,13 @@ def mark(docs: DataFrame, salts: int = SALTS, digest: Callable[[Column], Column]
 
 
 def keep(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    null_id = -(1 << 63)
-    kept = mark(docs, salts).filter("kept").select(F.coalesce("doc_id", F.lit(null_id)).alias("__id"), F.col("text_sha256").alias("__sha"))
-    norm = F.translate(text_of(), SPACES, "")
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)), "__sha": F.sha2(norm, 256)})
-    first = F.row_number().over(Window.partitionBy("__id", "__sha").orderBy(F.desc(F.char_length(text_of()))))
-    out = keyed.join(kept, ["__id", "__sha"], "left_semi").withColumn("__first", first)
-    return out.filter("__first = 1").select(*docs.columns)
+    """The rows of docs that stay, with all their columns, whatever their names."""
+    no_id = F.lit(-(1 << 63))
+    kept = mark(docs, salts).filter("kept").select(F.coalesce("doc_id", no_id).alias("id"), F.col("text_sha256").alias("sha"))
+    sha = F.sha2(F.translate(text_of(), SPACES, ""), 256)
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), no_id).alias("id"), sha.alias("sha"), F.char_length(text_of()).alias("chars"))
+    first = F.row_number().over(Window.partitionBy("id", "sha").orderBy(F.desc("chars")))
+    return rows.join(kept, ["id", "sha"], "left_semi").withColumn("first", first).filter("first = 1").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -139,18 +139,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
 
 
 def apply(docs: DataFrame, **kwargs) -> DataFrame:
-    """docs with each row as often as the mix takes it, in its own columns."""
-    keys = ["__id", "__src", "__size", "__nth"]
+    """docs with each row as often as the mix takes it, in its own columns, whatever their names."""
+    keys, no_id = ["id", "src", "size", "nth"], F.lit(-(1 << 63))
     nth = lambda *order: F.row_number().over(Window.partitionBy(*keys[:3]).orderBy(*order))
-    chosen = mix(docs, **kwargs).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__id"), "__src", F.col("size").alias("__size"), F.col("times").alias("__times"))
-    chosen = chosen.withColumn("__nth", nth(F.desc("__times")))
-    sized = docs.withColumns({
-        "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))),
-        "__src": F.coalesce(F.concat(F.lit("="), "source"), F.lit("")),
-        "__size": F.regexp_count(text_of(), F.lit(WORD)).cast("long"),
-    }).withColumn("__nth", nth(F.xxhash64("text"), "text"))
-    out = sized.join(chosen.filter("__times > 0"), keys)
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)
+    chosen = mix(docs, **kwargs).select(F.coalesce("doc_id", no_id).alias("id"), F.col("__src").alias("src"), "size", "times")
+    chosen = chosen.withColumn("nth", nth(F.desc("times")))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), no_id).alias("id"), F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("src"),
+        F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"), F.xxhash64("text").alias("hash"), F.col("text").alias("text"),
+    )
+    rows = rows.withColumn("nth", nth("hash", "text")).drop("hash", "text")
+    out = rows.join(chosen.filter("times > 0"), keys)
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

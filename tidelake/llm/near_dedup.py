@@ -379,9 +379,10 @@ def _grown(roots: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
-    """The rows of docs that stay: of each component, those with its smallest doc_id; all columns."""
-    gone = mark(docs, words, similarity).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    """The rows of docs that stay: of each component, those with its smallest doc_id; all columns, whatever their names."""
+    gone = mark(docs, words, similarity).filter("not kept").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return rows.join(gone, "id", "left_anti").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

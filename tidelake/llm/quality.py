@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelake.llm.base import by_bytes, text_of, words_of
 
@@ -151,24 +152,33 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> np.ndarray:
     return np.frombuffer(found[0][0], np.float32) if found else train([], [])
 
 
-def classify(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with __score (double) and __predicted (int)."""
+def scored(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+    """row (a struct of the columns of docs, whatever their names), score (double) and predicted (int)."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
-    at = len(docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), text_of().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for some in by_bytes(b, at, SLICE):
-                s = score(some.column(at).to_pylist(), sent.value)
-                yield pa.RecordBatch.from_arrays([*some.columns[:at], pa.array(s), pa.array((s >= threshold).astype(np.int32))], names)
+            for some in by_bytes(b, 1, SLICE):
+                s = score(some.column(1).to_pylist(), sent.value)
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["row", "score", "predicted"])
+
+    kind = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return rows.mapInArrow(run, kind)
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", __score double, __predicted int"
-    names = [*docs.columns, "__score", "__predicted"]
-    return docs.select("*", text_of().alias("__scored")).mapInArrow(run, schema)
+
+def classify(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+    """docs with __score and __predicted; where docs has such a name (in any case), the new column's name gets more underscores."""
+    taken, names = {c.lower() for c in docs.columns}, []
+    for name in ("__score", "__predicted"):
+        while name in taken:
+            name += "_"
+        names.append(name)
+    return scored(docs, weights, threshold).select("row.*", F.col("score").alias(names[0]), F.col("predicted").alias(names[1]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     weights = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    slim = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
-    return classify(slim, weights).select("doc_id", "held_out", F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    return scored(slim, weights).select("row.doc_id", "row.held_out", "score", "predicted")
