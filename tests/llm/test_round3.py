@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidelake.llm import alignment, language_id, merkle, registry
+from tidelake.llm import alignment, language_id, merkle, registry, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASH = "leaf altered g n idx seg level __mid __part __row __all first before to more digest held_out lang_pred score n_a n_b n_groups n_links groups_sha256 pairs times pair best n_best count_sum".split()
@@ -268,3 +268,15 @@ def test_alignment_edges(spark, encoders, sent):
     assert all((h(r["groups"]) if r["groups"] else "") == r["groups_sha256"] for r in got.collect())
     none = alignment.materialise(alignment.align(d.limit(0), *paths()).withColumn("__row", F.monotonically_increasing_id()), "test")
     assert alignment.score(none, alignment.pair_counts(none), sent).count() == 0
+
+
+def test_index_merge_in_ranges_of_bounded_size(spark):
+    """One URL has most captures, one capture is in many runs; no range holds more than a few times what it should."""
+    rows = [(7 if i % 5 == 0 else i, "http://hot.example/" if i % 3 else f"http://h{i % 17}.example/{i}", f"<p>{i}</p>") for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(12)
+    merged = warc.merge_index(warc.read_archives(warc.materialise(warc.write_archives(pages), "archives")), per_range=100)
+    parts = merged.select("url_key", "captured_at", "page_id", F.spark_partition_id().alias("part")).collect()
+    keys = [(r["url_key"], r["captured_at"], r["page_id"]) for r in sorted(parts, key=lambda r: r["part"])]
+    sizes = Counter(r["part"] for r in parts)
+    assert len(parts) == 3000 and len(sizes) > 20 and max(sizes.values()) < 1000
+    assert keys == sorted(keys)

@@ -7,9 +7,11 @@
 3. The segments are read back and parsed; every task sorts its captures by URL
    key and timestamp: a locally sorted run of the index, written to the shared
    folder.
-4. The runs are dealt by ranges of (URL key, timestamp, page_id), so that a hot
-   URL is split too; inside a range a loser tree merges the runs' pieces, which
-   still are in order. Ranges in order give the global capture histories.
+4. The runs are counted and dealt by ranges of (URL key, timestamp, page_id, run), so
+   that a hot URL, or a capture that many runs have, is split too; there are so many ranges that each
+   has about `RANGE` captures, however many there are in all. Inside a range, whose
+   pieces of runs are its bounded buffer, a loser tree merges the pieces, which still
+   are in order. Ranges in order give the global capture histories.
 
 Only the groups' digests and ids are shuffled by payload; the join that brings
 them to the pages is an ordinary one, whose hot digests adaptive execution splits.
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.base import materialise
 
-LEAST, SEGMENT_BYTES = 1000, 1 << 20
+LEAST, SEGMENT_BYTES, RANGE = 1000, 1 << 20, 50_000
 _START = datetime(2024, 1, 1, tzinfo=UTC)
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _FIELDS = "page_id long, url string, captured_at string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -173,8 +175,8 @@ class LoserTree:
                 node //= 2
 
 
-def merge_index(captures: DataFrame) -> DataFrame:
-    """captures in order of url_key, captured_at and page_id, over ordered ranges."""
+def merge_index(captures: DataFrame, per_range: int = RANGE) -> DataFrame:
+    """captures in order of url_key, captured_at and page_id, over ordered ranges of about per_range captures each."""
     order = ["url_key", "captured_at", "page_id"]
     runs = materialise(captures.withColumn("url_key", url_key(F.col("url"))).sortWithinPartitions(*order), "runs")
     names = [c for c in runs.columns if c != "__run"]
@@ -203,7 +205,8 @@ def merge_index(captures: DataFrame) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
-    return runs.repartitionByRange(*order).mapInArrow(run, f"{_FIELDS}, url_key string")
+    ranges = max(1, -(-runs.count() // per_range))
+    return runs.repartitionByRange(ranges, *order, "__run").mapInArrow(run, f"{_FIELDS}, url_key string")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
