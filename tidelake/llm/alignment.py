@@ -42,7 +42,7 @@ from tidelake.llm.base import by_bytes, materialise, text_of
 from tidelake.llm.packing import PLAIN
 
 #: Units and distinct pairs that a worker remembers; new units encoded at once; distinct pairs that may be broadcast; counts held by a task.
-REMEMBERED, NUMBERED, CHUNK, SENT, HELD = 400_000, 1_000_000, 2000, 2_000_000, 4_000_000
+REMEMBERED, NUMBERED, CHUNK, SENT, HELD = 200_000, 1_000_000, 2000, 2_000_000, 4_000_000
 SLICE, MARKS = 2 << 20, ".,!?;:#$%&*|"
 #: Bits of B's id in a pair.
 SHIFT = 20
