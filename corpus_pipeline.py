@@ -11,7 +11,7 @@ from tidelake.llm.base import materialise
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     weights = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.classify(docs, weights).filter("__predicted = 1").select(*docs.columns)
+    return quality.scored(docs, weights).filter("predicted = 1").select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
