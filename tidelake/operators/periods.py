@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,18 +54,37 @@ def check_periods(dated: DataFrame, period: str, convention: str | None) -> None
         raise ValueError(f"periods owned by several files, first {[tuple(r[0]) for r in found]}; the series may follow the convention {other!r}")
 
 
+def _owners() -> list[Column]:
+    """Aggregates: the least and the greatest owner of a period's rows."""
+    owner = F.struct("owner_file", "orphan")
+    return [F.min(owner).alias("__low"), F.max(owner).alias("__high")]
+
+
+def _one_owner(result: Column, period: Column, convention: str | None) -> Column:
+    """result, or an error where the period's rows of a node come from several files."""
+    other = next(c for c in C.CONVENTIONS if c != (convention or C.DEFAULT_CONVENTION))
+    said = F.concat(F.lit("periods owned by several files, one of them "), period.cast("string"), F.lit(f"; the series may follow the convention '{other}'"))
+    return F.when(F.col("__low").eqNullSafe(F.col("__high")), result).otherwise(F.raise_error(said))
+
+
 def _top(value: Column, time_h: Column) -> Column:
     """Aggregate: the largest valid value with its earliest time; null if none is valid."""
     v = valid(value)
     return F.max(F.when(v.isNotNull(), F.struct(v.alias("v"), (-time_h).alias("h"))))
 
 
-def daily_max(series: DataFrame, calendar: str | None = None, convention: str | None = None, check: bool = True) -> DataFrame:
-    """node_id, y, m, d, value, time_h: each day's maximum and its first time; null for a day without a valid value."""
+def daily_max(series: DataFrame, calendar: str | None = None, convention: str | None = None, check: bool | str = True) -> DataFrame:
+    """node_id, y, m, d, value, time_h: each day's maximum and its first time; null for a day without a valid value.
+
+    check: a day that several files own is an error: True asks before (a job of its own, over
+    all nodes together), "inside" while the maxima are taken (no further scan, node by node).
+    """
     dated = _dated(series, calendar, convention)
-    if check:
+    if check is True:
         check_periods(dated, "day", convention)
-    best = dated.groupBy("node_id", "day").agg(_top(F.col("value"), F.col("time_h")).alias("b"))
+    best = dated.groupBy("node_id", "day").agg(_top(F.col("value"), F.col("time_h")).alias("b"), *(_owners() if check == "inside" else []))
+    if check == "inside":
+        best = best.withColumn("b", _one_owner(F.col("b"), F.col("day"), convention))
     return best.select("node_id", "day.y", "day.m", "day.d", F.col("b.v").alias("value"), (-F.col("b.h")).alias("time_h"))
 
 
@@ -72,20 +95,24 @@ def monthly_max_raw(series: DataFrame, calendar: str | None = None, convention:
     return best.select("node_id", "y", "m", F.col("b.v").alias("value"), (-F.col("b.h")).alias("time_h"))
 
 
-def month_candidates(series: DataFrame, rounds: int = MAX_ROUNDS, calendar: str | None = None, convention: str | None = None, check: bool = True) -> DataFrame:
+def month_candidates(series: DataFrame, rounds: int = MAX_ROUNDS, calendar: str | None = None, convention: str | None = None, check: bool | str = True) -> DataFrame:
     """node_id, ym, cands: each month's 2 * rounds + 1 largest valid values, the earliest first among equals.
 
     A month loses at most `rounds` values to the month before and as many to the
     next, so no more can ever be asked for. The rank filter runs before the shuffle.
+    check: as in daily_max; "inside" ranks the rows of each owner, so that a second one is seen.
     """
     dated = _dated(series, calendar, convention).withColumn("month", F.struct("day.y", "day.m"))
-    if check:
+    if check is True:
         check_periods(dated, "month", convention)
-    rows = dated.select("node_id", (F.col("month.y") * 12 + F.col("month.m") - 1).alias("ym"), valid(F.col("value")).alias("v"), F.col("time_h").alias("h"))
-    rank = F.row_number().over(Window.partitionBy("node_id", "ym").orderBy(F.desc_nulls_last("v"), "h"))
-    top = rows.withColumn("__rank", rank).filter(F.col("__rank") <= 2 * rounds + 1)
+    inside, most = check == "inside", 2 * rounds + 1
+    owner = ["owner_file", "orphan"] if inside else []
+    rows = dated.select("node_id", (F.col("month.y") * 12 + F.col("month.m") - 1).alias("ym"), valid(F.col("value")).alias("v"), F.col("time_h").alias("h"), *owner)
+    rank = F.row_number().over(Window.partitionBy("node_id", "ym", *owner).orderBy(F.desc_nulls_last("v"), "h"))
+    top = rows.withColumn("__rank", rank).filter(F.col("__rank") <= most)
     kept = F.filter(F.array_sort(F.collect_list(F.struct("__rank", "v", "h"))), lambda c: c["v"].isNotNull())
-    return top.groupBy("node_id", "ym").agg(kept.alias("cands"))
+    got = top.groupBy("node_id", "ym").agg(kept.alias("cands"), *(_owners() if inside else []))
+    return got.select("node_id", "ym", _one_owner(F.col("cands"), F.col("ym"), convention).alias("cands")) if inside else got
 
 
 def separate(candidates: DataFrame, hours: float = SEPARATION_H, rounds: int = MAX_ROUNDS) -> DataFrame:
@@ -96,39 +123,59 @@ def separate(candidates: DataFrame, hours: float = SEPARATION_H, rounds: int = M
     earlier month's) gives way to its month's next value, `rounds` times at most;
     then the earlier month is final. A month that was final is not looked at
     again, and what is still too close after the last round stays, marked.
+    Nodes are independent: a task takes the same step for all of a batch at once.
     """
     months = candidates.groupBy("node_id").agg(F.array_sort(F.collect_list(F.struct("ym", "cands"))).alias("ms"))
-    at = lambda m, p: F.get(m["cands"], p)
-
-    def close(prev: Column, cur: Column, pp: Column, cp: Column) -> Column:
-        return F.coalesce(F.abs(at(cur, cp)["h"] - at(prev, pp)["h"]) < hours, F.lit(False))
-
-    def settle(prev: Column, cur: Column, pp: Column) -> Column:
-        def step(s: Column, _: Column) -> Column:
-            hit = close(prev, cur, s["pp"], s["cp"])
-            lose = at(prev, s["pp"])["v"] <= at(cur, s["cp"])["v"]
-            return F.struct(F.when(hit & lose, s["pp"] + 1).otherwise(s["pp"]).alias("pp"), F.when(hit & ~lose, s["cp"] + 1).otherwise(s["cp"]).alias("cp"))
-
-        return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(pp.alias("pp"), F.lit(0).alias("cp")), step)
-
-    def fold(s: Column, i: Column) -> Column:
-        prev, cur = F.element_at(F.col("ms"), i - 1), F.element_at(F.col("ms"), i)
-        got = settle(prev, cur, s["pp"])
-        done = F.struct(got["pp"].alias("p"), close(prev, cur, got["pp"], got["cp"]).alias("bad"))
-        return F.struct(F.concat(s["done"], F.array(done)).alias("done"), got["cp"].alias("pp"))
-
-    start = F.struct(F.array().cast("array<struct<p:int,bad:boolean>>").alias("done"), F.lit(0).alias("pp"))
-    order = F.filter(F.sequence(F.lit(1), F.size("ms")), lambda i: i > 1)
-    whole = F.aggregate(order, start, fold, lambda s: F.concat(s["done"], F.array(F.struct(s["pp"].alias("p"), F.lit(False).alias("bad")))))
-    rows = months.select("node_id", "ms", whole.alias("ps")).select("node_id", F.explode(F.arrays_zip("ms", "ps")).alias("x"))
-    best = F.get(F.col("x.ms.cands"), F.col("x.ps.p"))
-    return rows.select(
-        "node_id", F.floor(F.col("x.ms.ym") / 12).cast("int").alias("y"), (F.pmod("x.ms.ym", F.lit(12)) + 1).cast("int").alias("m"),
-        best["v"].alias("value"), best["h"].alias("time_h"), (F.col("x.ps.p") > 0).alias("adjusted"), F.col("x.ps.p").alias("n_excluded"), F.col("x.ps.bad").alias("residual_violation"),
-    )
-
-
-def monthly_max(series: DataFrame, hours: float = SEPARATION_H, rounds: int = MAX_ROUNDS, calendar: str | None = None, convention: str | None = None, check: bool = True) -> DataFrame:
+    field = lambda name: F.flatten(F.transform("ms", lambda m: F.transform(m["cands"], lambda c: c[name])))
+    rows = months.select("node_id", F.col("ms.ym").alias("ym"), F.transform("ms", lambda m: F.size(m["cands"])).alias("n"), field("v").alias("v"), field("h").alias("h"))
+    kind = dict(rows.dtypes)["v"].removeprefix("array<").removesuffix(">")
+    names = ["node_id", "ym", "value", "time_h", "n_excluded", "residual_violation"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                node, ym, n, v, h = batch.slice(low, 512).columns
+                values, times = v.flatten(), h.flatten()
+                count = n.value_lengths().to_numpy()
+                pointer, bad = fold(count, n.flatten().to_numpy(), values.to_numpy(zero_copy_only=False), times.to_numpy(zero_copy_only=False), hours, rounds)
+                sizes = n.flatten().to_numpy()
+                at = pa.array(np.cumsum(sizes) - sizes + pointer, mask=pointer >= sizes)
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(np.repeat(np.arange(len(count)), count))), ym.flatten(), values.take(at), times.take(at), pa.array(pointer.astype(np.int32)), pa.array(bad)], names)
+
+    got = rows.mapInArrow(run, f"node_id {dict(rows.dtypes)['node_id']}, ym {dict(rows.dtypes)['ym'].removeprefix('array<').removesuffix('>')}, value {kind}, time_h double, n_excluded int, residual_violation boolean")
+    return got.select("node_id", F.floor(F.col("ym") / 12).cast("int").alias("y"), (F.pmod("ym", F.lit(12)) + 1).cast("int").alias("m"), "value", "time_h", (F.col("n_excluded") > 0).alias("adjusted"), "n_excluded", "residual_violation")
+
+
+def fold(count: np.ndarray, sizes: np.ndarray, values: np.ndarray, times: np.ndarray, hours: float, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many values each month gave up, and whether it stays too close to the next.
+
+    count: months of each node; sizes: candidates of each month; values, times: those of all months, one after another.
+    """
+    total, wide = len(sizes), max(2 * rounds + 2, int(sizes.max(initial=0)) + 1)
+    v, h = np.full((total, wide), np.nan), np.full((total, wide), np.nan)  # comparisons with what isn't there are false
+    row = np.repeat(np.arange(total), sizes)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    v[row, place], h[row, place] = values, times
+    pointer, bad, first = np.zeros(total, np.int64), np.zeros(total, bool), np.cumsum(count) - count
+
+    def close(p: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return np.abs(h[c, pointer[c]] - h[p, pointer[p]]) < hours
+
+    for i in range(1, int(count.max(initial=0))):
+        cur = first[count > i] + i
+        prev = cur - 1
+        for _ in range(rounds):
+            hit = close(prev, cur)
+            if not hit.any():
+                break
+            loses = v[prev, pointer[prev]] <= v[cur, pointer[cur]]
+            pointer[prev] += hit & loses
+            pointer[cur] += hit & ~loses
+        bad[prev] = close(prev, cur)
+    return pointer, bad
+
+
+def monthly_max(series: DataFrame, hours: float = SEPARATION_H, rounds: int = MAX_ROUNDS, calendar: str | None = None, convention: str | None = None, check: bool | str = True) -> DataFrame:
     return separate(month_candidates(series, rounds, calendar, convention, check), hours, rounds)
 
 
