@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import calendars as C
 from tidelake.operators.periods import valid
+from tidelake.sources import scratch
 
 NODAL_HOURS = 240.0
 
@@ -39,6 +40,8 @@ CONSTITUENTS = {
     "2MN6": (6, -1, 0, 1, 0), "M6": (6, 0, 0, 0, 0), "2MS6": (6, 2, -2, 0, 0), "2MK6": (6, 2, 0, 0, 0), "2SM6": (6, 4, -4, 0, 0), "MSK6": (6, 4, -2, 0, 0),
     "3MK7": (7, 1, 0, 0, 0), "M8": (8, 0, 0, 0, 0),
 }
+# The annual and semi-annual constituents, which are no tide.
+EXCLUDED = ("Sa", "Ssa")
 # Longitude of the moon's node in degrees at 1900-01-01 00:00, and its rate in degrees an hour.
 NODE_START, NODE_RATE = 259.157, -0.00220641
 # f = a + b cos N and u = c sin N (degrees) of the lunar constituents.
@@ -123,12 +126,27 @@ class _Designs:
     def __init__(self, t0: float, total: float, names: list[str]):
         self.fit, self.key, self.ts, self.a = (t0, total, names), None, np.zeros(0), np.zeros((0, 0))
 
+    def same(self, year: int, ts: np.ndarray) -> bool:
+        return self.key == year and len(ts) == len(self.ts) and np.array_equal(ts, self.ts)
+
     def of(self, year: int, ts: np.ndarray, start: float, mids: np.ndarray) -> np.ndarray:
         ts = np.asarray(ts, float)
-        if self.key != year or len(ts) != len(self.ts) or not np.array_equal(ts, self.ts):
+        if not self.same(year, ts):
             self.key, self.ts, self.a = year, ts, design(ts, _middles(ts, start, np.asarray(mids, float)), *self.fit)
         return self.a
 
+    def blocks(self, pdf: pd.DataFrame, most: int = 256) -> Iterator[tuple[slice, np.ndarray]]:
+        """Stretches of at most `most` rows that share file and axis, and their design: one product serves them all."""
+        years, axes = pdf["file_year"].to_numpy(), [np.asarray(x, float) for x in pdf["__ts"]]
+        at = 0
+        while at < len(pdf):
+            a = self.of(years[at], axes[at], pdf["__start"].iloc[at], pdf["__mids"].iloc[at])
+            stop = at + 1
+            while stop < len(pdf) and stop - at < most and self.same(years[stop], axes[stop]):
+                stop += 1
+            yield slice(at, stop), a
+            at = stop
+
 
 def record(series: DataFrame) -> tuple[float, float]:
     """First hour of the record and hours from first to last."""
@@ -148,100 +166,184 @@ def pack(series: DataFrame, mids: DataFrame | None = None) -> DataFrame:
     return out.sortWithinPartitions("file_year", F.hash("__ts"))
 
 
-def normal_matrix(series: DataFrame, t0: float, total: float, names: list[str], mids: DataFrame | None = None) -> np.ndarray:
-    """A'A over the distinct times of each file, summed in tasks; one small matrix comes back."""
-    times = series.select("file_year", "time_h").distinct()
-    mids = window_middles(series) if mids is None else mids
+def axis_of(series: DataFrame) -> DataFrame:
+    """file_year, time_h: the distinct times of each file."""
+    return series.select("file_year", "time_h").distinct()
+
+
+def file_matrices(axis: DataFrame, t0: float, total: float, names: list[str], mids: DataFrame | None = None) -> DataFrame:
+    """file_year, a: A'A over the distinct times of each file (row by row), summed in tasks first."""
+    mids = window_middles(axis) if mids is None else mids
     at = F.floor((F.col("time_h") - F.col("__start")) / NODAL_HOURS).cast("int")
-    rows = times.join(F.broadcast(mids), "file_year").select("time_h", F.get("__mids", at).alias("__mid"))
+    rows = axis_of(axis).join(F.broadcast(mids), "file_year").select("file_year", "time_h", F.get("__mids", at).alias("__mid"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total_a = None
+        sums: dict[int, np.ndarray] = {}
         for pdf in parts:
-            for k in range(0, len(pdf), 8192):
-                part = pdf.iloc[k : k + 8192]
-                a = design(part["time_h"].to_numpy(), part["__mid"].to_numpy(), t0, total, names)
-                total_a = a.T @ a if total_a is None else total_a + a.T @ a
-        if total_a is not None:
-            yield pd.DataFrame({"a": [total_a.ravel()]})
+            for year, of_year in pdf.groupby("file_year"):
+                for k in range(0, len(of_year), 8192):
+                    part = of_year.iloc[k : k + 8192]
+                    a = design(part["time_h"].to_numpy(), part["__mid"].to_numpy(), t0, total, names)
+                    sums[year] = sums.get(year, 0) + a.T @ a
+        if sums:
+            yield pd.DataFrame({"file_year": list(sums), "a": [x.ravel() for x in sums.values()]})
+
+    each = rows.mapInPandas(run, "file_year int, a array<double>").select("file_year", F.posexplode("a")).groupBy("file_year", "pos").agg(F.sum("col").alias("x"))
+    return each.groupBy("file_year").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda c: c["x"]).alias("a"))
+
 
+def normal_matrix(series: DataFrame, t0: float, total: float, names: list[str], mids: DataFrame | None = None) -> np.ndarray:
+    """A'A over the distinct times of each file: a small matrix a file comes back."""
     k = 2 * len(names) + 2
-    sums = rows.mapInPandas(run, "a array<double>").select(F.posexplode("a")).groupBy("pos").agg(F.sum("col").alias("x")).orderBy("pos").collect()
-    return np.array([r["x"] for r in sums]).reshape(k, k)
+    return sum((np.array(r["a"]).reshape(k, k) for r in file_matrices(series, t0, total, names, mids).orderBy("file_year").collect()), np.zeros((k, k)))
+
+
+def file_sums(packed: DataFrame, t0: float, total: float, names: list[str]) -> DataFrame:
+    """node_id, file_year, __aty: A'Y of each node's part of each file. Missing values count as 0."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        designs = _Designs(t0, total, names)
+        for pdf in parts:
+            sums: list[np.ndarray] = []
+            for rows, a in designs.blocks(pdf):
+                sums += list(np.nan_to_num(np.array([np.asarray(v, float) for v in pdf["__vs"].iloc[rows]])) @ a)
+            yield pdf[["node_id", "file_year"]].assign(__aty=sums)
+
+    return packed.mapInPandas(run, "node_id long, file_year int, __aty array<double>")
+
+
+def added(sums: DataFrame, width: int) -> DataFrame:
+    """node_id, __aty: the arrays of each node, added up in the order of the files."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("file_year", "__aty"))), lambda x: x["__aty"])
+    add = F.aggregate(ordered, F.array_repeat(F.lit(0.0), width), lambda s, x: F.zip_with(s, x, lambda p, q: p + q))
+    return sums.groupBy("node_id").agg(add.alias("__aty"))
 
 
 def node_sums(packed: DataFrame, t0: float, total: float, names: list[str]) -> DataFrame:
     """node_id, __aty: A'Y of each node. Missing values count as 0."""
+    return added(file_sums(packed, t0, total, names), 2 * len(names) + 2)
+
+
+def solved(sums: DataFrame, ata: np.ndarray, allow_rank_deficient: bool = False) -> DataFrame:
+    """node_id, __c: the coefficients of sums (node_id, __aty) against the shared A'A, each where its row lies."""
+    if np.linalg.matrix_rank(ata, hermitian=True) < len(ata) and not allow_rank_deficient:
+        raise ValueError(f"the record can't tell {len(ata) // 2 - 1} constituents apart; pass fewer, or allow_rank_deficient=True")
+    inverse = np.linalg.pinv(ata, hermitian=True) if allow_rank_deficient else np.linalg.inv(ata)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        designs = _Designs(t0, total, names)
         for pdf in parts:
-            axes = zip(pdf["file_year"], pdf["__ts"], pdf["__start"], pdf["__mids"])
-            yield pdf[["node_id"]].assign(__aty=[designs.of(*axis).T @ np.nan_to_num(np.asarray(vs, float)) for axis, vs in zip(axes, pdf["__vs"])])
+            yield pdf[["node_id"]].assign(__c=[inverse @ np.asarray(y) for y in pdf["__aty"]])
 
-    each = packed.mapInPandas(run, "node_id long, __aty array<double>")
-    add = F.aggregate(F.collect_list("__aty"), F.array_repeat(F.lit(0.0), 2 * len(names) + 2), lambda s, x: F.zip_with(s, x, lambda p, q: p + q))
-    return each.groupBy("node_id").agg(add.alias("__aty"))
+    return sums.mapInPandas(run, "node_id long, __c array<double>")
 
 
-def coefficients(series: DataFrame, names: list[str] | None = None, allow_rank_deficient: bool = False, per_node_mask: bool = False, mids: DataFrame | None = None) -> tuple[DataFrame, dict]:
+def coefficients(series: DataFrame, names: list[str] | None = None, allow_rank_deficient: bool = False, per_node_mask: bool = False, mids: DataFrame | None = None, packed: DataFrame | None = None) -> tuple[DataFrame, dict]:
     """node_id, __c (coefficients), and what the fit rests on: t0, total_hours, constituents.
 
     By default a missing value counts as 0 against the full A'A that all nodes
     share; per_node_mask fits each node to its own valid hours instead.
     """
-    t0, total = record(series)
+    axis = scratch.stored(axis_of(series), "axis")
+    t0, total = record(axis)
     names = resolvable(total, names)
-    mids = _known_middles(series) if mids is None else mids
-    ata = normal_matrix(series, t0, total, names, mids)
+    mids = _known_middles(axis) if mids is None else mids
+    packed = pack(series, mids) if packed is None else packed
+    sums, info = node_sums(packed, t0, total, names), {"t0": t0, "total_hours": total, "constituents": names}
+    matrices = file_matrices(axis, t0, total, names, mids)
+    ata = normal_matrix(axis, t0, total, names, mids)
     if np.linalg.matrix_rank(ata, hermitian=True) < len(ata) and not allow_rank_deficient:
         raise ValueError(f"a record of {total:g} h can't tell {len(names)} constituents apart; pass fewer, or allow_rank_deficient=True")
-    info = {"t0": t0, "total_hours": total, "constituents": names}
     if per_node_mask:
-        return _masked(pack(series, mids), t0, total, names), info
-    inverse = np.linalg.pinv(ata, hermitian=True) if allow_rank_deficient else np.linalg.inv(ata)
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            yield pdf[["node_id"]].assign(__c=[inverse @ np.asarray(y) for y in pdf["__aty"]])
-
-    return node_sums(pack(series, mids), t0, total, names).mapInPandas(run, "node_id long, __c array<double>"), info
+        return _masked(packed, sums, axis, matrices, t0, total, names), info
+    return solved(sums, ata, allow_rank_deficient), info
 
 
-def _masked(packed: DataFrame, t0: float, total: float, names: list[str]) -> DataFrame:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ata, aty = 0.0, 0.0
-        for ts, vs, start, mids in zip(*(pdf[c] for c in ("__ts", "__vs", "__start", "__mids"))):
-            ts, y = np.asarray(ts, float), np.asarray(vs, float)
-            a = design(ts, _middles(ts, start, np.asarray(mids, float)), t0, total, names)
-            ok = ~np.isnan(y)
-            ata, aty = ata + a[ok].T @ a[ok], aty + a[ok].T @ y[ok]
-        return pdf[["node_id"]].head(1).assign(__c=[np.linalg.lstsq(ata, aty, rcond=None)[0]])
+def _masked(packed: DataFrame, sums: DataFrame, axis: DataFrame, matrices: DataFrame, t0: float, total: float, names: list[str]) -> DataFrame:
+    """node_id, __c: each node's fit to its own valid hours, by changing the files' shared A'A.
 
-    return packed.groupBy("node_id").applyInPandas(run, "node_id long, __c array<double>")
+    A node's A'A is that of its files less the products of the rows that it lacks (and plus those of times that it has twice):
+    a change of as low a rank as there are such hours. Where it lacks more than half of a file, the rows that it has
+    are multiplied instead, as a small difference of large sums would lose their digits. A'Y is that of
+    the shared fit, in which missing values are 0. What the tasks need of all files is a row a file.
+    """
+    k = 2 * len(names) + 2
+    times = axis.groupBy("file_year").agg(F.array_sort(F.collect_list("time_h")).alias("ts"))
+    mids = packed.select("file_year", "__start", "__mids").dropDuplicates(["file_year"])
+    found = times.join(matrices, "file_year").join(mids, "file_year").collect()
+    files = packed.sparkSession.sparkContext.broadcast({r["file_year"]: (np.array(r["ts"]), np.array(r["a"]).reshape(k, k), r["__start"], np.array(r["__mids"])) for r in found})
 
+    def differing(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            ats, ns = [], []
+            for year, ts, vs in zip(pdf["file_year"], pdf["__ts"], pdf["__vs"]):
+                full = files.value[year][0]
+                here = np.bincount(np.searchsorted(full, np.asarray(ts, float)[~np.isnan(np.asarray(vs, float))]), minlength=len(full))
+                most = np.count_nonzero(here != 1) > len(full) // 2
+                ats.append(np.flatnonzero(here if most else here != 1).astype(np.int32))
+                ns.append((here if most else here - 1)[ats[-1]].astype(np.int32))
+                if most:  # told by a first place below 0
+                    ats[-1], ns[-1] = np.append(np.int32(-1), ats[-1]), np.append(np.int32(0), ns[-1])
+            yield pdf[["node_id", "file_year"]].assign(ats=ats, ns=ns)
 
-def detide(series: DataFrame, calendar: str | None = None, names: list[str] | None = None, **options) -> DataFrame:
-    """node_id, file_year, time_h, value (float): the series less its fitted tide; null where it was missing."""
-    if C.calendar_name(calendar) != "standard":
-        raise ValueError(f"detiding needs a standard calendar, not {calendar!r}")
-    mids = _known_middles(series)
-    fitted, info = coefficients(series, names, mids=mids, **options)
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            out = []
+            for aty, own in zip(pdf["__aty"], pdf["files"]):
+                ata = np.zeros((k, k))
+                for part in own:
+                    full, shared, start, middles = files.value[part["file_year"]]
+                    at, n = np.asarray(part["ats"]), np.asarray(part["ns"], float)
+                    if len(at) and at[0] < 0:
+                        at, n = at[1:], n[1:]
+                    else:
+                        ata += shared
+                    rows = design(full[at], _middles(full[at], start, middles), t0, total, names)
+                    ata += (rows * n[:, None]).T @ rows
+                out.append(np.linalg.lstsq(ata, np.asarray(aty), rcond=None)[0])
+            yield pdf[["node_id"]].assign(__c=out)
+
+    each = packed.mapInPandas(differing, "node_id long, file_year int, ats array<int>, ns array<int>")
+    own = each.groupBy("node_id").agg(F.array_sort(F.collect_list(F.struct("file_year", "ats", "ns"))).alias("files"))
+    return sums.join(own, "node_id").mapInPandas(run, "node_id long, __c array<double>")
+
+
+def subtract(packed: DataFrame, fitted: DataFrame, info: dict) -> DataFrame:
+    """node_id, file_year, time_h, value (float): the packed series less the tide of the fitted coefficients; null where it was missing."""
     t0, total, used = info["t0"], info["total_hours"], info["constituents"]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         designs = _Designs(t0, total, used)
         for pdf in parts:
-            axes = zip(pdf["file_year"], pdf["__ts"], pdf["__start"], pdf["__mids"])
-            left = [np.asarray(vs, float) - designs.of(*axis) @ np.asarray(c) for axis, vs, c in zip(axes, pdf["__vs"], pdf["__c"])]
+            left: list[np.ndarray] = []
+            for rows, a in designs.blocks(pdf):
+                values = np.array([np.asarray(v, float) for v in pdf["__vs"].iloc[rows]])
+                left += list(values - np.stack(pdf["__c"].iloc[rows].to_list()) @ a.T)
             yield pdf[["node_id", "file_year", "__ts"]].assign(__ys=left)
 
-    joined = pack(series, mids).join(fitted, "node_id").sortWithinPartitions("file_year", F.hash("__ts"))
+    joined = packed.join(fitted, "node_id").sortWithinPartitions("file_year", F.hash("__ts"))
     done = joined.mapInPandas(run, "node_id long, file_year int, __ts array<double>, __ys array<double>")
     rows = done.select("node_id", "file_year", F.explode(F.arrays_zip("__ts", "__ys")).alias("r"))
     return rows.select("node_id", "file_year", F.col("r.__ts").alias("time_h"), F.nanvl("r.__ys", F.lit(None)).cast("float").alias("value"))
 
 
+def check_calendar(calendar: str | None) -> None:
+    if C.calendar_name(calendar) != "standard":
+        raise ValueError(f"detiding needs a standard calendar, not {calendar!r}")
+
+
+def fit(series: DataFrame, calendar: str | None = None, names: list[str] | None = None, **options) -> tuple[DataFrame, DataFrame, dict]:
+    """The packed series, stored once for both passes, the coefficients and what they rest on."""
+    check_calendar(calendar)
+    mids = _known_middles(series)
+    packed = scratch.stored(pack(series, mids), "packed")
+    return packed, *coefficients(series, names, mids=mids, packed=packed, **options)
+
+
+def detide(series: DataFrame, calendar: str | None = None, names: list[str] | None = None, **options) -> DataFrame:
+    """node_id, file_year, time_h, value (float): the series less its fitted tide; null where it was missing."""
+    return subtract(*fit(series, calendar, names, **options))
+
+
 def harmonic_sums(series: DataFrame, name: str = "M2") -> DataFrame:
     """n and the sums of cos, sin, their products and their products with the value, for one constituent per node: its normal equations, JVM-side."""
     w = np.radians(speed(name))
