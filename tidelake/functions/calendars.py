@@ -6,6 +6,8 @@ that calendar, so that 30 February of a 360-day year is as good as any other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -114,14 +116,59 @@ def is_year_start(time_h: Column, calendar: str | None = None) -> Column:
     return (F.pmod(whole, F.lit(86400)) == 0) & (date["m"] == 1) & (date["d"] == 1)
 
 
-def axis_hours(value: Column, units: str, calendar: str | None = None) -> Column:
-    """time_h of values on an axis `<unit> since <y-m-d[ h:m[:s]]>` in the same calendar."""
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def time_text(time_h: Column, calendar: str | None = None, separator: str = " ") -> Column:
+    """`yyyy-MM-dd HH:mm:ss` of an instant in its calendar, to the second; null for null."""
+
+    def told(seconds: Column) -> Column:
+        rest = F.pmod(seconds, F.lit(86400))
+        clock = [_div(rest, 3600), F.pmod(_div(rest, 60), F.lit(60)), F.pmod(rest, F.lit(60))]
+        return _let(date_of_day(_div(seconds, 86400), calendar), lambda d: F.format_string(f"%04d-%02d-%02d{separator}%02d:%02d:%02d", d["y"], d["m"], d["d"], *clock))
+
+    return F.when(time_h.isNotNull(), _let(F.round(time_h * 3600).cast("long"), told))
+
+
+def _axis(units: str, calendar: str | None) -> tuple[Column, float, float]:
+    """Day number and hours of an axis's start, and the hours of its unit."""
     import re
 
     found = re.fullmatch(r"\s*(hour|day|minute|second)s?\s+since\s+(-?\d+)-(\d+)-(\d+)(?:[ T](\d+):(\d+)(?::(\d+(?:\.\d*)?))?)?.*", units)
     if not found:
         raise ValueError(f"unknown time units {units!r}")
     unit, y, m, d, h, mi, s = found.groups()
-    start = day_of_date(F.lit(int(y)), F.lit(int(m)), F.lit(int(d)), calendar) * 24.0 + (int(h or 0) + int(mi or 0) / 60 + float(s or 0) / 3600)
     # Hours of a unit.
-    return value * F.lit({"hour": 1.0, "day": 24.0, "minute": 1 / 60, "second": 1 / 3600}[unit]) + start
+    return day_of_date(F.lit(int(y)), F.lit(int(m)), F.lit(int(d)), calendar), int(h or 0) + int(mi or 0) / 60 + float(s or 0) / 3600, {"hour": 1.0, "day": 24.0, "minute": 1 / 60, "second": 1 / 3600}[unit]
+
+
+def axis_hours(value: Column, units: str, calendar: str | None = None) -> Column:
+    """time_h of values on an axis `<unit> since <y-m-d[ h:m[:s]]>` in the same calendar."""
+    day, hours, unit = _axis(units, calendar)
+    return value * F.lit(unit) + (day * 24.0 + hours)
+
+
+def axis_values(time_h: Column, units: str, calendar: str | None = None) -> Column:
+    """Values of instants on an axis in the same calendar: the inverse of axis_hours."""
+    day, hours, unit = _axis(units, calendar)
+    return (time_h - (day * 24.0 + hours)) / F.lit(unit)
+
+
+def iso_hours(text: Column, calendar: str | None = None) -> Column:
+    """time_h of texts `y-m-d[(T| )h:m[:s[.f]]][Z]`, for axes that hold dates instead of numbers; null for other texts and for dates that the calendar lacks."""
+    form = r"^\s*(-?[0-9]{1,6})-([0-9]{1,2})-([0-9]{1,2})(?:[T ]([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2}(?:\.[0-9]*)?))?)?\s*Z?\s*$"
+
+    def read(t: Column) -> Column:
+        whole = [F.regexp_extract(t, form, i).try_cast("int").alias(n) for i, n in enumerate("ymd", 1)]
+        clock = [F.coalesce(F.regexp_extract(t, form, i).try_cast("double"), F.lit(0.0)).alias(n) for i, n in ((4, "hour"), (5, "minute"), (6, "second"))]
+        return F.struct(*whole, *clock)
+
+    def counted(x: Column) -> Column:
+        ok = x["m"].between(1, 12) & x["d"].between(1, 31) & (x["hour"] <= 24) & (x["minute"] < 60) & (x["second"] < 60)
+        # Days are counted from the first of the month; the way back shows whether the date is one.
+        day = day_of_date(F.when(ok, x["y"]), F.when(ok, x["m"]), F.lit(1), calendar) + x["d"] - 1
+        return _let(day, lambda n: _let(date_of_day(n, calendar), lambda back: F.when((back["m"] == x["m"]) & (back["d"] == x["d"]), n * 24.0 + x["hour"] + x["minute"] / 60 + x["second"] / 3600)))
+
+    return F.when(text.rlike(form), _let(read(text), counted))

@@ -5,11 +5,10 @@ from __future__ import annotations
 import uuid
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions import calendars as C
-from tidelake.functions.geo import bounds_wkt
 from tidelake.functions.naming import datum_of
 from tidelake.schema import FREQUENCIES, VARIABLES
 
@@ -72,25 +71,36 @@ def attributes(metadata: dict[str, str], title: str, summary: str, timestep: str
     return head | {k: computed.get(k, metadata.get(k, "")) for k in ATTRIBUTES} | ({"datum": datum} if datum else {}) | extra
 
 
-def extent_attributes(nodes: DataFrame, metadata: dict[str, str]) -> dict[str, object]:
-    """Attributes of the nodes' extent: one row of minima and maxima."""
-    row = nodes.agg(*(f(c).alias(n) for n, f, c in (("a", F.min, "node_lon"), ("b", F.min, "node_lat"), ("c", F.max, "node_lon"), ("d", F.max, "node_lat"), ("lo", F.min, "node_depth"), ("hi", F.max, "node_depth"))))
-    x = row.withColumn("wkt", bounds_wkt(*(F.col(k) for k in "abcd"))).first()
+def extent_attributes(seen: dict, metadata: dict[str, str]) -> dict[str, object]:
+    """Attributes of the nodes' extent: lon_min, lon_max and so on, of which depths may be missing; none of no nodes."""
+    if seen.get("lon_min") is None:
+        return {}
+    a, b, c, d = (float(seen[k]) for k in ("lon_min", "lat_min", "lon_max", "lat_max"))
+    corners = [(a, b), (c, b), (c, d), (a, d), (a, b)]
     out = {
-        "geospatial_lat_min": x["b"], "geospatial_lat_max": x["d"], "geospatial_lat_units": "degrees_north", "geospatial_lat_resolution": "point",
-        "geospatial_lon_min": x["a"], "geospatial_lon_max": x["c"], "geospatial_lon_units": "degrees_east", "geospatial_lon_resolution": "point",
-        "geospatial_bounds": x["wkt"], "geospatial_bounds_crs": metadata["geospatial_bounds_crs"],
+        "geospatial_lat_min": b, "geospatial_lat_max": d, "geospatial_lat_units": "degrees_north", "geospatial_lat_resolution": "point",
+        "geospatial_lon_min": a, "geospatial_lon_max": c, "geospatial_lon_units": "degrees_east", "geospatial_lon_resolution": "point",
+        "geospatial_bounds": f"POLYGON(({', '.join(f'{x} {y}' for x, y in corners)}))", "geospatial_bounds_crs": metadata["geospatial_bounds_crs"],
     }
-    if x["lo"] is not None:
-        out |= {"geospatial_vertical_min": x["lo"], "geospatial_vertical_max": x["hi"], "geospatial_vertical_units": "m", "geospatial_vertical_positive": "down"}
+    if seen.get("depth_min") is not None:
+        out |= {"geospatial_vertical_min": seen["depth_min"], "geospatial_vertical_max": seen["depth_max"], "geospatial_vertical_units": "m", "geospatial_vertical_positive": "down"}
         vertical = metadata["geospatial_bounds_vertical_crs"]
         out |= {"geospatial_bounds_vertical_crs": vertical} if vertical else {}
     return out
 
 
-def coverage(series: DataFrame, attrs: dict[str, str] | None = None) -> dict[str, str]:
-    """Time coverage of a standard-calendar series, widened by what attrs already state."""
-    row = series.agg(*(F.date_format(C.timestamp_of(f("time_h")), "yyyy-MM-dd HH:mm:ss").alias(n) for n, f in (("a", F.min), ("b", F.max)))).first()
-    old = attrs or {}
-    start, end = [x for x in (row["a"], old.get("time_coverage_start")) if x], [x for x in (row["b"], old.get("time_coverage_end")) if x]
-    return {"time_coverage_start": min(start, default=""), "time_coverage_end": max(end, default="")}
+def covered() -> dict[str, Column]:
+    """What is measured of a series for its coverage, while it is written."""
+    return {"first_h": F.min("time_h"), "last_h": F.max("time_h")}
+
+
+def coverage(spark: SparkSession, first_h: float | None, last_h: float | None, calendar: str | None = None, attrs: dict[str, str] | None = None) -> dict[str, str]:
+    """Time coverage from first to last hour in the series' calendar, widened by what attrs already state (as strings, which sort like the times they are)."""
+    found = {"time_coverage_start": "", "time_coverage_end": ""}
+    if first_h is not None:
+        row = spark.range(1).select(*(C.time_text(F.lit(float(h)), calendar).alias(n) for n, h in zip(found, (first_h, last_h)))).first()
+        found = row.asDict()
+    for name, pick in (("time_coverage_start", min), ("time_coverage_end", max)):
+        known = [x for x in (found[name], (attrs or {}).get(name)) if x]
+        found[name] = pick(known, default="")
+    return found

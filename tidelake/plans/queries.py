@@ -370,9 +370,8 @@ def extent_wkt(spark, sf_dir):
 
 @query(f"WITH s AS ({L}) SELECT file_year, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS time_coverage_start, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS time_coverage_end, max(time_h) - min(time_h) AS total_hours FROM s GROUP BY file_year")
 def time_coverage(spark, sf_dir):
-    form = lambda c: F.date_format(C.timestamp_of(c), "yyyy-MM-dd HH:mm:ss")
     g = years(spark, sf_dir).groupBy("file_year").agg(F.min("time_h").alias("a"), F.max("time_h").alias("b"))
-    return g.select("file_year", form(F.col("a")).alias("time_coverage_start"), form(F.col("b")).alias("time_coverage_end"), (F.col("b") - F.col("a")).alias("total_hours"))
+    return g.select("file_year", C.time_text(F.col("a")).alias("time_coverage_start"), C.time_text(F.col("b")).alias("time_coverage_end"), (F.col("b") - F.col("a")).alias("total_hours"))
 
 
 W = f"{tides.np.radians(tides.speed('M2')):.17g}"
@@ -388,17 +387,17 @@ def harmonic_normal_equations(spark, sf_dir):
 FIT = SUMS + ", k AS (SELECT *, p * q - r * r AS m00, b * r - a * q AS m01, a * r - b * p AS m02, n * q - b * b AS m11, a * b - n * r AS m12, n * p - a * a AS m22 FROM g), d AS (SELECT *, n * m00 + a * m01 + b * m02 AS det FROM k), f AS (SELECT node_id, n, CASE WHEN abs(det) > 1e-6 THEN (m00 * y + m01 * cy + m02 * sy) / det END AS mean, CASE WHEN abs(det) > 1e-6 THEN (m01 * y + m11 * cy + m12 * sy) / det END AS cos_amp, CASE WHEN abs(det) > 1e-6 THEN (m02 * y + m12 * cy + m22 * sy) / det END AS sin_amp FROM d)"
 
 
-@query(FIT + " SELECT node_id, n, round(mean, 4) AS mean, round(cos_amp, 4) AS cos_amp, round(sin_amp, 4) AS sin_amp FROM f WHERE n >= 24")
+@query(FIT + " SELECT node_id, n, round(mean, 4) AS mean, round(cos_amp, 4) AS cos_amp, round(sin_amp, 4) AS sin_amp FROM f")
 def harmonic_fit_m2(spark, sf_dir):
-    return rounded(tides.harmonic_fit(hours(spark, sf_dir)).filter("n >= 24"), "mean", "cos_amp", "sin_amp", places=4)
+    return rounded(tides.harmonic_fit(hours(spark, sf_dir)), "mean", "cos_amp", "sin_amp", places=4)
 
 
-@query(FIT + f" SELECT s.node_id, count(*) AS n, round(sum((s.value - f.mean - f.cos_amp * cos(s.time_h * {W}) - f.sin_amp * sin(s.time_h * {W})) ** 2), 2) AS squares FROM s JOIN f USING (node_id) WHERE f.n >= 24 GROUP BY s.node_id")
+@query(FIT + f" SELECT s.node_id, count(*) AS n, round(sum((s.value - f.mean - f.cos_amp * cos(s.time_h * {W}) - f.sin_amp * sin(s.time_h * {W})) ** 2), 2) AS squares FROM s JOIN f USING (node_id) GROUP BY s.node_id")
 def harmonic_residual_m2(spark, sf_dir):
     s = hours(spark, sf_dir)
     w = float(W)
     r = F.col("value") - F.col("mean") - F.col("cos_amp") * F.cos(F.col("time_h") * w) - F.col("sin_amp") * F.sin(F.col("time_h") * w)
-    return s.join(tides.harmonic_fit(s).filter("n >= 24").drop("n"), "node_id").groupBy("node_id").agg(F.count("*").alias("n"), F.round(F.sum(r * r), 2).alias("squares"))
+    return s.join(tides.harmonic_fit(s).drop("n"), "node_id").groupBy("node_id").agg(F.count("*").alias("n"), F.round(F.sum(r * r), 2).alias("squares"))
 
 
 @query(f"WITH s AS ({L}) SELECT node_id, round(regr_slope(value, time_h), 6) AS slope, round(regr_intercept(value, time_h), 2) AS intercept FROM s GROUP BY node_id")
@@ -417,14 +416,80 @@ def todo_years(spark, sf_dir):
     return X.todo_years(years(spark, sf_dir).select("file_year").distinct(), done)
 
 
+# The fit of MM and MF over all files, written out: windows of 240 h from each file's first hour, the model's columns at
+# every instant, A'A inverted by elimination, and each node's A'Y.
+_NODE = f"radians({tides.NODE_START} + {tides.NODE_RATE:.17g} * mid)"
+
+
+def _pair(name: str) -> str:
+    a, b, c = tides.NODAL[name]
+    arg = f"radians({tides.speed(name):.17g} * h + ({c}) * sin(node))"
+    return f"({a} + ({b}) * cos(node)) * cos({arg}), ({a} + ({b}) * cos(node)) * sin({arg})"
+
+
+def _model(names: list[str]) -> str:
+    """CTEs of series s: columns x of the model at each instant (model), each node's A'Y (sums)."""
+    return f"""r AS (SELECT min(time_h) AS t0, max(time_h) - min(time_h) AS total FROM s), fs AS (SELECT file_year, min(time_h) AS a FROM s GROUP BY 1),
+    w AS (SELECT file_year, floor((time_h - a) / 240) AS k, (min(time_h) + max(time_h)) / 2 AS mid FROM s JOIN fs USING (file_year) GROUP BY ALL),
+    axis AS (SELECT DISTINCT file_year, time_h, time_h - t0 AS h, total, {_NODE} AS node FROM s JOIN fs USING (file_year) JOIN w USING (file_year) CROSS JOIN r WHERE k = floor((time_h - a) / 240)),
+    model AS (SELECT file_year, time_h, [1.0::DOUBLE, {", ".join(map(_pair, names))}, h / total] AS x FROM axis),
+    sums AS (SELECT node_id, i, sum(value * x[i]) AS y FROM s JOIN model USING (file_year, time_h), range(1, {2 * len(names) + 3}) t(i) GROUP BY ALL)"""
+
+
+DETIDED = f"""WITH RECURSIVE s0 AS ({L}), s AS (SELECT node_id, file_year, time_h, max(value) AS value FROM s0 GROUP BY ALL), {_model(["MM", "MF"])},
+    cells AS (SELECT i, j, sum(x[i] * x[j]) AS v FROM model, range(1, 7) a(i), range(1, 7) b(j) GROUP BY ALL),
+    lines AS (SELECT i, list_concat(list(v ORDER BY j), list_transform(range(1, 7), lambda j: CASE WHEN i = j THEN 1.0 ELSE 0.0 END)) AS line FROM cells GROUP BY i),
+    step AS (SELECT 1 AS k, (SELECT list(line ORDER BY i) FROM lines) AS m
+      UNION ALL SELECT k + 1, list_transform(m, lambda row, i: CASE WHEN i = k THEN list_transform(row, lambda v: v / m[k][k]) ELSE list_transform(row, lambda v, j: v - row[k] * m[k][j] / m[k][k]) END) FROM step WHERE k <= 6),
+    inverse AS (SELECT i, j, m[i][j + 6] AS v FROM step, range(1, 7) a(i), range(1, 7) b(j) WHERE k = 7),
+    c AS (SELECT node_id, list(c ORDER BY i) AS c FROM (SELECT node_id, inverse.i, sum(v * y) AS c FROM sums JOIN inverse ON inverse.j = sums.i GROUP BY ALL) GROUP BY node_id)
+SELECT node_id, count(*) AS n, round(sqrt(avg(CAST(value - list_dot_product(c, x) AS FLOAT)::DOUBLE ** 2)), 1) AS rms FROM s JOIN model USING (file_year, time_h) JOIN c USING (node_id) GROUP BY node_id"""
+
+
+def _yearly(spark, sf_dir) -> DataFrame:
+    return years(spark, sf_dir).groupBy("node_id", "file_year", "time_h").agg(F.max("value").alias("value"))
+
+
+@query(DETIDED)
 def detided_years(spark, sf_dir):
-    """The multi-constituent detiding of the multi-year series, as squares of the residual by node; checked against numpy in the tests."""
-    got = tides.detide(years(spark, sf_dir).groupBy("node_id", "file_year", "time_h").agg(F.max("value").alias("value")), names=["MM", "MF"])
-    return got.groupBy("node_id").agg(F.count("*").alias("n"), F.round(F.sum(F.col("value") * F.col("value")), 0).alias("squares"))
+    """The multi-constituent detiding of the multi-year series: the residual's root mean square by node."""
+    got = tides.detide(_yearly(spark, sf_dir), names=["MM", "MF"])
+    return got.groupBy("node_id").agg(F.count("*").alias("n"), F.round(F.sqrt(F.avg(F.col("value").cast("double") * F.col("value").cast("double"))), 1).alias("rms"))
+
+
+@query(f"""WITH s0 AS ({L}), s AS (SELECT node_id, file_year, time_h, max(value) AS value FROM s0 GROUP BY ALL), {_model(["MM"])} SELECT node_id, i AS term, round(y, 1) AS total FROM sums""")
+def restart_sums(spark, sf_dir):
+    """The sums A'Y of a fit that stopped after its second file and went on."""
+    from tidelake.sources import scratch
+    from tidelake.streaming import incremental
+
+    s, out = scratch.stored(_yearly(spark, sf_dir), "yearly"), scratch.fresh(spark, "fit")
+    incremental.Fit(spark, out, s, ["MM"]).add(s, most=2)
+    kept = incremental.Fit(spark, out, s, ["MM"])
+    kept.add(s)
+    sums = tides.added(spark.read.parquet(*(f"{kept.path}/aty/file={f}" for f in kept.files)), 4)
+    return sums.select("node_id", F.posexplode("__aty").alias("k", "y")).select("node_id", (F.col("k") + 1).cast("long").alias("term"), F.round("y", 1).alias("total"))
+
+
+# Days from 1900-01-01 to 1970-01-01 in each calendar.
+TO_1970 = {"standard": 25567, "360_day": 25200, "noleap": 25550, "all_leap": 25620, "julian": 25568}
+
 
+@query(f"WITH s AS ({L}), x AS (SELECT DISTINCT time_h FROM s) SELECT time_h, calendar, round((time_h - days * 24 - 6) / 24, 6) AS encoded, time_h AS again FROM x, (VALUES {', '.join(f"('{k}', {v})" for k, v in TO_1970.items())}) c(calendar, days)")
+def time_encode(spark, sf_dir):
+    """Instants as values on an axis of another epoch and unit, and back, in five calendars."""
+    x = years(spark, sf_dir).select("time_h").distinct()
+    units = "days since 1970-01-01 06:00:00"
+    each = [F.struct(F.lit(c).alias("calendar"), C.axis_values(F.col("time_h"), units, c).alias("v"), C.axis_hours(C.axis_values(F.col("time_h"), units, c), units, c).alias("again")) for c in TO_1970]
+    return x.select("time_h", F.explode(F.array(*each)).alias("x")).select("time_h", "x.calendar", F.round("x.v", 6).alias("encoded"), F.round("x.again", 6).alias("again"))
 
-QUERIES["detided_years"] = detided_years
 
+@query(f"WITH s AS ({L}), x AS (SELECT DISTINCT date_trunc('second', ts) AS ts FROM s) SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS text, round(CAST(date_diff('second', TIMESTAMP '1900-01-01', ts) AS DOUBLE) / 3600, 6) AS time_h FROM x")
+def time_from_text(spark, sf_dir):
+    """Axes that hold dates as ISO texts: hours since the epoch, and the text again."""
+    ts = F.date_format(F.date_trunc("second", "l_shipdate"), "yyyy-MM-dd'T'HH:mm:ss")
+    x = table(spark, sf_dir, "lineitem").select(ts.alias("given")).distinct().select(C.iso_hours(F.col("given")).alias("h"))
+    return x.select(C.time_text(F.col("h"), None, "T").alias("text"), F.round("h", 6).alias("time_h"))
 
 
 @query("SELECT count(*) AS n_nodes, count(*) FILTER (s_suppkey % 4 <> 0) AS n_wet FROM supplier")

@@ -30,7 +30,7 @@ VARIABLES = {
 }
 FREQUENCIES = {"Hourly": "1hr", "DailyMax": "day", "MonthlyMax": "mon"}
 POINT_SETS = {"coastal35K": ("shoreline points", "GSHHS"), "GESLA": ("GESLA stations", "GESLA")}
-INDEX_SCHEMES = {"ADCIRC": {"dims": 1, "base": 1}, "ROMS": {"dims": 2, "base": 0}}
+INDEX_SCHEMES = {"ADCIRC": {"dims": 1, "base": 1}, "ROMS": {"dims": 2, "base": 0}, "SCHISM": {"dims": 1, "base": 0}, "TRIM-NP": {"dims": 2, "base": 0}}
 
 
 def index_scheme(model: str | None) -> dict[str, int]:

@@ -11,6 +11,7 @@ from tidelake.functions import calendars as C
 from tidelake.functions import naming
 from tidelake.operators.stations import overlaps, quality_filter
 from tidelake.schema import NO_LEVEL
+from tidelake.sources import sinks
 
 HEADER_LINES = 41
 
@@ -54,6 +55,11 @@ def read_attrs(spark: SparkSession, path: str) -> dict[str, str]:
     return json.loads("\n".join(r[0] for r in spark.read.text(f"{path}.meta/").collect()))
 
 
+def read_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """A stored node block, its indices 0-based again by the scheme of the model that its metadata name."""
+    return sinks.shifted(spark.read.parquet(path), read_attrs(spark, path).get("model_name"), True)
+
+
 def read_points(spark: SparkSession, path: str) -> DataFrame:
     """point_id (order in the file), lon, lat of a CSV whose headers, trimmed and in lower case, include longitude and latitude."""
     raw = spark.read.csv(path, header=True)
