@@ -246,3 +246,120 @@ def test_times_on_any_axis_and_as_text(spark):
     assert got == [24.0, 6.5, 1.5 / 3600, None, None, None, None, None, 24.0]
     assert spark.range(1).select(C.iso_hours(F.lit("1900-02-30"), "360_day").alias("h")).first()["h"] == 24.0 * 59
     assert spark.range(1).select(C.axis_values(F.lit(0.0), "days since 1901-01-01").alias("v")).first()["v"] == -365.0
+
+
+def plain_file(path, shape_names, values, times, units="hours since 1900-01-01", records=True):
+    """A file of version 1, written by hand: time, another variable with records of odd size, and twl."""
+    import struct
+
+    def text(x):
+        raw = x.encode()
+        return struct.pack(">i", len(raw)) + raw + b"\0" * (-len(raw) % 4)
+
+    nt, nn = len(times), values.shape[1 if shape_names[0] == "time" else 0]
+    time_first = shape_names[0] == "time"
+    records = records and time_first
+    dims = struct.pack(">ii", 10, 3) + text("time") + struct.pack(">i", 0 if records else nt) + text(shape_names[1 if time_first else 0]) + struct.pack(">i", nn) + text("three") + struct.pack(">i", 3)
+    attr = struct.pack(">ii", 12, 2) + text("units") + struct.pack(">ii", 2, len(units)) + units.encode() + b"\0" * (-len(units) % 4) + text("calendar") + struct.pack(">ii", 2, 6) + b"noleap\0\0"
+    none = struct.pack(">ii", 0, 0)
+    order = (0, 1) if time_first else (1, 0)
+    flags = (np.arange(nt * 3) % 100).astype(">i1").reshape(nt, 3)
+    size = {"time": 8, "flag": 4 if records else nt * 3 + (-nt * 3 % 4), "twl": 4 * nn if records else 4 * nn * nt}
+
+    def header(begins):
+        out = b"CDF\x01" + struct.pack(">i", nt if records else 0) + dims + none + struct.pack(">ii", 11, 3)
+        out += text("time") + struct.pack(">ii", 1, 0) + attr + struct.pack(">iii", 6, size["time"], begins[0])
+        out += text("flag") + struct.pack(">iii", 2, 0, 2) + none + struct.pack(">iii", 1, size["flag"], begins[1])
+        return out + text("twl") + struct.pack(">iii", 2, *order) + none + struct.pack(">iii", 5, size["twl"], begins[2])
+
+    at = len(header((0, 0, 0)))
+    data = values.astype(">f4")
+    if records:
+        body = b"".join(struct.pack(">d", t) + flags[i].tobytes() + b"\0" + data[i].tobytes() for i, t in enumerate(times))
+        begins = (at, at + 8, at + 12)
+    else:
+        begins = (at, at + 8 * nt, at + 8 * nt + size["flag"])
+        body = np.asarray(times, ">f8").tobytes() + flags.tobytes() + b"\0" * (size["flag"] - nt * 3) + data.tobytes()
+    path.write_bytes(header(begins) + body)
+
+
+def test_classic_files_in_both_orders(spark, tmp_path):
+    from tidelake.sources import classic
+
+    g, times = np.random.default_rng(1), np.arange(50) / 4 + 100.0
+    values = g.normal(size=(50, 7))
+    values[3, 2], values[4, 1] = 9.96921e36, np.nan
+    plain_file(tmp_path / "a.nc", ("time", "node"), values, times, "days since 1950-03-01 12:00")
+    plain_file(tmp_path / "b.nc", ("time", "node"), values, times, "days since 1950-03-01 12:00", records=False)
+    plain_file(tmp_path / "c.nc", ("node", "time"), values.T, times, "days since 1950-03-01 12:00")
+    start = (50 * 365 + 31 + 28) * 24 + 12.0
+    want = {(n, start + 24 * t): None if not values[k, n] < 1e36 else np.float64(np.float32(values[k, n])) for k, t in enumerate(times) for n in range(7)}
+    for name in "abc":
+        got = classic.read_classic(spark, str(tmp_path / f"{name}.nc"), slab=200).collect()
+        assert len(got) == 350 and {(r["node_id"], r["time_h"]): r["value"] for r in got} == want and {r["file_year"] for r in got} == {1950}
+    some = classic.read_classic(spark, f"file://{tmp_path}", "twl", slab=200, start_h=start + 24 * 103, end_h=start + 24 * 104)
+    assert some.count() == 3 * 7 * 5 and some.select("file").distinct().count() == 3
+    assert classic.read_classic(spark, str(tmp_path / "a.nc"), slab=44).filter(f"time_h > {start + 24 * 103} and time_h <= {start + 24 * 104}").count() == 7 * 4
+    plans = {o: len(classic.ClassicReader({"path": str(tmp_path / "a.nc"), "slab": "44", **o2}).partitions()) for o, o2 in (("all", {}), ("one", {"start_h": str(start + 24 * 103), "end_h": str(start + 24 * 103)}))}
+    assert plans["all"] == 50 and plans["one"] == 1  # a row of a record is a slab here: only one is read
+    plain_file(tmp_path / "bad.nc", ("time", "station"), values, times)
+    (tmp_path / "no.nc").write_bytes(b"HDF5")
+    for name, variable in (("bad", "twl"), ("no", "twl"), ("a", "other")):
+        with pytest.raises(Exception, match="dimensions|layout|expected"):
+            classic.read_classic(spark, str(tmp_path / f"{name}.nc"), variable).count()
+
+
+def test_classic_export_round_trip(spark, tmp_path):
+    from tidelake.sources import classic
+
+    g = np.random.default_rng(5)
+    rows = [(n, y, H79 + 8760 * (y - 1979) + h, None if (n + h) % 11 == 0 else g.normal()) for y in (1979, 1980) for h in range(40) for n in range(6) if (n, h) != (3, 7)]
+    s = series(spark, rows)
+    told = classic.export(s, str(tmp_path / "out"), "twl", {"title": "made here"}).collect()
+    assert {(r["file_year"], r["n_times"]) for r in told} == {(1979, 40), (1980, 40)}
+    back = classic.read_classic(spark, str(tmp_path / "out" / "twl_*.nc"), "twl").collect()
+    got = {(r["node_id"], r["file_year"], r["time_h"]): r["value"] for r in back}
+    want = {(n, y, t): None if v is None else np.float64(np.float32(v)) for n, y, t, v in rows} | {(3, y, H79 + 8760 * (y - 1979) + 7): None for y in (1979, 1980)}
+    assert got == want
+
+
+def test_bucketed_gather_moves_no_series(spark, tmp_path):
+    from tidelake.operators import extract
+
+    spark.sql("drop table if exists gathered")
+    mesh = spark.range(2000).select((F.col("id") % 40).alias("node_index"), F.lit(1979).alias("file_year"), F.col("id").cast("double").alias("time_h"), F.col("id").cast("double").alias("value"))
+    stored = extract.bucketed(mesh, "gathered", 4, str(tmp_path / "t"))
+    nodes = spark.createDataFrame([(0, 3), (1, 3), (2, 39)], "node_id long, node_index long")
+    got = extract.gather(stored, nodes)
+    plan = got._jdf.queryExecution().sparkPlan().toString() + got._jdf.queryExecution().executedPlan().toString()
+    text = got._jdf.queryExecution().executedPlan().toString()
+    above = text[: text.index("FileScan")]
+    assert "Bucketed: true" in plan and "Exchange" not in above[above.rindex("SortMergeJoin") :]
+    assert got.count() == 150 and got.filter("node_id = 2").agg(F.sum("value")).first()[0] == sum(range(39, 2000, 40))
+    spark.sql("drop table gathered")
+
+
+def test_skill_from_files_and_on_the_command_line(spark, tmp_path):
+    from tidelake import cli
+
+    d = str(tmp_path)
+    spark.createDataFrame([(i, 10.0 * i, 5.0) for i in range(3)], "node_index long, lon double, lat double").write.parquet(f"{d}/mesh")
+    start = 80 * 365 * 24 + 19 * 24.0  # 1980-01-01
+    spark.createDataFrame([(i, 1980, start + h, float(i + h % 12)) for i in range(3) for h in range(100)], "node_index long, file_year int, time_h double, value double").write.parquet(f"{d}/series")
+    (tmp_path / "g").mkdir()
+    for name, lon, shift in (("near", 10.01, 0.5), ("far", 14.0, 0.0)):
+        head = [f"# SITE NAME: {name}", "# LATITUDE 5.0", f"# LONGITUDE: {lon}", "# START DATE 1980/01/01", "# END DATE 1981/01/01"] + ["#"] * 36
+        body = [f"1980/01/{1 + h // 24:02d} {h % 24:02d}:00:00 {1 + h % 12 + shift} 1 1" for h in range(80)]
+        (tmp_path / "g" / name).write_text("\n".join(head + body))
+    args = cli.parser().parse_args(["skill", "--gauges", f"{d}/g", "--mesh", f"{d}/mesh", "--mesh-series", f"{d}/series", "--output", f"{d}/out", "--start-date", "1980-01-01 00:00:00", "--end-date", "1980-02-01 00:00:00"])
+    (r,) = spark.read.parquet(cli.run(spark, args)).collect()
+    assert (r["site_name"], r["node_index"], r["n"], r["bias"], r["rmse"]) == ("near", 1, 80, -0.5, 0.5) and r["dist_km"] < 2
+    (tmp_path / "p.csv").write_text("longitude,latitude\n0.1,5\n20,5.1\n")
+    spark.read.parquet(f"{d}/mesh").withColumn("depth", F.lit(1.0)).write.parquet(f"{d}/deep")
+    named = ["--group-name", "G", "--climate-forcing", "F", "--scenario", "S", "--location", "L"]
+    hourly = cli.run(spark, cli.parser().parse_args(["extract", "--points-csv", f"{d}/p.csv", "--mesh", f"{d}/deep", "--mesh-series", f"{d}/series", "--output-dir", d, "--model-name", "SCHISM", "--time-stamp-convention", "end", *named]))
+    days = cli.run(spark, cli.parser().parse_args(["daily-max", "--hourly", hourly, "--variable", "WaterLevel", "--output-dir", d, "--time-stamp-convention", "instant"]))
+    assert spark.read.parquet(hourly).count() == 200 and spark.read.parquet(days).count() == 2 * 5 and sorted(r["node_index"] for r in spark.read.parquet(f"{hourly}.nodes").collect()) == [0, 2]
+    for bad in (["extract"], ["daily-max", "--hourly", "x", "--variable", "other", "--output-dir", "y"], []):
+        with pytest.raises(SystemExit):
+            cli.parser().parse_args(bad)

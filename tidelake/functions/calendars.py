@@ -6,7 +6,9 @@ that calendar, so that 30 February of a 360-day year is as good as any other.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -132,16 +134,50 @@ def time_text(time_h: Column, calendar: str | None = None, separator: str = " ")
     return F.when(time_h.isNotNull(), _let(F.round(time_h * 3600).cast("long"), told))
 
 
-def _axis(units: str, calendar: str | None) -> tuple[Column, float, float]:
-    """Day number and hours of an axis's start, and the hours of its unit."""
-    import re
-
+def _axis_parts(units: str) -> tuple[int, int, int, float, float]:
+    """Year, month and day of an axis's start, its hours, and the hours of its unit."""
     found = re.fullmatch(r"\s*(hour|day|minute|second)s?\s+since\s+(-?\d+)-(\d+)-(\d+)(?:[ T](\d+):(\d+)(?::(\d+(?:\.\d*)?))?)?.*", units)
     if not found:
         raise ValueError(f"unknown time units {units!r}")
     unit, y, m, d, h, mi, s = found.groups()
     # Hours of a unit.
-    return day_of_date(F.lit(int(y)), F.lit(int(m)), F.lit(int(d)), calendar), int(h or 0) + int(mi or 0) / 60 + float(s or 0) / 3600, {"hour": 1.0, "day": 24.0, "minute": 1 / 60, "second": 1 / 3600}[unit]
+    return int(y), int(m), int(d), int(h or 0) + int(mi or 0) / 60 + float(s or 0) / 3600, {"hour": 1.0, "day": 24.0, "minute": 1 / 60, "second": 1 / 3600}[unit]
+
+
+def _axis(units: str, calendar: str | None) -> tuple[Column, float, float]:
+    """Day number and hours of an axis's start, and the hours of its unit."""
+    y, m, d, hours, unit = _axis_parts(units)
+    return day_of_date(F.lit(y), F.lit(m), F.lit(d), calendar), hours, unit
+
+
+def axis_start(units: str, calendar: str | None = None) -> tuple[float, float]:
+    """time_h of an axis's start and hours of its unit, as numbers: for readers that decode an axis outside a plan."""
+    y, m, d, hours, unit = _axis_parts(units)
+    return day_of(y, m, d, calendar) * 24.0 + hours, unit
+
+
+def day_of(y: int, m: int, d: int, calendar: str | None = None) -> int:
+    """day_of_date of plain numbers."""
+    name = calendar_name(calendar)
+    if name == "standard":
+        return (date(y, m, d) - date(1900, 1, 1)).days
+    if name == "360_day":
+        return (y - 1900) * 360 + (m - 1) * 30 + d - 1
+    if name == "julian":
+        a = int(m <= 2)
+        return d + (153 * (m + 12 * a - 3) + 2) // 5 + 365 * (y + 4800 - a) + (y + 4800 - a) // 4 - 32083 - _JULIAN_1900
+    return (y - 1900) * sum(_DAYS[name]) + sum(_DAYS[name][: m - 1]) + d - 1
+
+
+def year_of(time_h: float, calendar: str | None = None) -> int:
+    """The year of an instant, as a plain number."""
+    day = int(time_h // 24)
+    guess = 1900 + int(day // 366)
+    while day_of(guess + 1, 1, 1, calendar) <= day:
+        guess += 1
+    while day_of(guess, 1, 1, calendar) > day:
+        guess -= 1
+    return guess
 
 
 def axis_hours(value: Column, units: str, calendar: str | None = None) -> Column:

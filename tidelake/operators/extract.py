@@ -42,3 +42,21 @@ def extract_sparse(mesh_series: DataFrame, nodes: DataFrame) -> DataFrame:
 def todo_years(wanted: DataFrame, done: DataFrame) -> DataFrame:
     """Files that are not done, by their whole key, so that two files of a year are two."""
     return wanted.join(done, [c for c in wanted.columns if c in done.columns], "left_anti")
+
+
+def bucketed(mesh_series: DataFrame, name: str, buckets: int, path: str | None = None) -> DataFrame:
+    """mesh_series, stored as the table `name` in `buckets` buckets by node_index, each sorted by node and time.
+
+    A gather from it (gather) joins bucket by bucket: the series, by far the larger side, isn't shuffled again, and
+    inside a bucket the row groups of other nodes are skipped by their least and greatest node.
+    """
+    writer = mesh_series.write.mode("overwrite").bucketBy(buckets, "node_index").sortBy("node_index", "time_h")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return mesh_series.sparkSession.table(name)
+
+
+def gather(stored: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node_id, file_year, time_h, value of the nodes from a bucketed table, whatever their number: a merge join to which only the nodes move."""
+    keys = nodes.select("node_id", "node_index").hint("merge")
+    got = stored.join(keys, "node_index")
+    return got.select("node_id", "file_year", "time_h", dry_to_null(F.col("value")).cast("float").alias("value"))

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelake.functions import calendars as C
+from tidelake.operators import spatial
+from tidelake.operators.extract import extract_sparse
+
 MIN_HOURS = 24
 
 
@@ -37,3 +41,26 @@ def skill(model: DataFrame, obs: DataFrame, keys: list[str], least: int = MIN_HO
     )
     out = out.filter(F.col("n") >= least).withColumn("scatter_index", F.try_divide("rmse", "std_obs"))
     return out.select(*keys, "n", *(F.round(c, 4).alias(c) for c in ("bias", "rmse", "corr", "scatter_index", "mean_model", "mean_obs", "std_model", "std_obs")))
+
+
+def matched(catalogue: DataFrame, index: DataFrame, max_km: float = 50.0) -> DataFrame:
+    """catalogue (file, longitude, latitude, ...) with node_index and dist_km of each station's nearest node within max_km; others are left out."""
+    stations = catalogue.withColumn("point_id", F.xxhash64("file"))
+    points = stations.select("point_id", F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
+    near = spatial.nearest_in(points, index, max_km).filter("node_index >= 0").select("point_id", "node_index", "dist_km").dropDuplicates(["point_id"])
+    return stations.join(near, "point_id").drop("point_id")
+
+
+def scored(stations: DataFrame, mesh_series: DataFrame, obs: DataFrame, calendar: str | None = None) -> DataFrame:
+    """stations (see matched) with the skill of their node's series (node_index, time_h, value) against their observations (file, ts, sea_level).
+
+    Nodes' series are cut out once each, however many stations share a node; hours in common count, from MIN_HOURS on.
+    """
+    if C.calendar_name(calendar) != "standard":
+        raise ValueError(f"observations have standard dates, the series {calendar!r} ones")
+    nodes = stations.select("node_index").distinct()
+    cut = extract_sparse(mesh_series, nodes).select("node_index", C.timestamp_of(F.col("time_h")).cast("timestamp").alias("ts"), "value")
+    of_nodes = hourly_mean(cut, ["node_index"])
+    model = stations.select("file", "node_index").join(of_nodes, "node_index").select("file", "hour", "value")
+    seen = hourly_mean(obs.select("file", F.col("ts").cast("timestamp").alias("ts"), F.col("sea_level").alias("value")), ["file"])
+    return stations.join(skill(model, seen, ["file"]), "file")

@@ -565,3 +565,41 @@ SPEEDS = ", ".join(f"('{n}', {tides.speed(n):.17g}::DOUBLE)" for n in tides.CONS
 def constituent_filter(spark, sf_dir):
     t = years(spark, sf_dir).groupBy("node_id", "file_year").agg((F.max("time_h") - F.min("time_h")).alias("total"))
     return t.select("node_id", "file_year", F.explode(tides.resolvable_in(F.col("total"))).alias("name"))
+
+
+@query(NEAREST.format(wet="") + f", s AS ({L}) SELECT n.point_id AS node_id, count(*) AS n, round(max(CAST(s.value AS FLOAT)), 2) AS value FROM n JOIN s ON s.node_id = n.node_index GROUP BY n.point_id")
+def bucketed_gather(spark, sf_dir):
+    """node_gather from a series that is stored by buckets of nodes: no exchange of the series."""
+    from tidelake.sources import scratch
+
+    path = scratch.fresh(spark, "buckets")
+    stored = X.bucketed(years(spark, sf_dir).withColumnRenamed("node_id", "node_index"), path.rsplit("/", 1)[1].replace("-", "_"), 8, path)
+    got = X.gather(stored, spatial.match_points(points_of(spark, sf_dir), mesh_of(spark, sf_dir)))
+    return got.groupBy("node_id").agg(F.count("*").alias("n"), F.round(F.max("value"), 2).alias("value"))
+
+
+NODE5 = "SELECT DISTINCT user_id % 5 AS node_index, (user_id % 5) * 10.0 AS lon, (user_id % 5) * 7.0 - 20 AS lat FROM events"
+
+
+@query(f"""WITH m AS (SELECT *, {XYZ} FROM ({NODE5})), st AS (SELECT node_index + 100 AS station, lon + 0.125 AS lon, lat - 0.25 AS lat FROM ({NODE5})), p AS (SELECT *, {XYZ} FROM st),
+c AS (SELECT p.station, m.node_index, sqrt((p.x - m.x) ** 2 + (p.y - m.y) ** 2 + (p.z - m.z) ** 2) AS d FROM p, m), near AS (SELECT station, arg_min(node_index, (d, node_index)) AS node_index, min(d) AS d FROM c GROUP BY station HAVING min(d) <= 50),
+v AS (SELECT user_id % 5 AS node_index, date_trunc('hour', ts) AS hour, avg(value) AS m FROM events WHERE event_type = 'view' GROUP BY ALL),
+o AS (SELECT user_id % 5 + 100 AS station, date_trunc('hour', ts) AS hour, avg(CAST(event_id % 1000 AS DOUBLE) / 100) AS o FROM events WHERE event_type <> 'view' AND event_id % 5 <> 0 AND event_id % 7 <> 0 GROUP BY ALL),
+b AS (SELECT station, node_index, near.d AS dist, m, o, m - o AS d FROM near JOIN v USING (node_index) JOIN o USING (station, hour))
+SELECT 'station-' || station || '.txt' AS filename, node_index, round(dist, 6) AS dist_km, count(*) AS n, round(avg(d), 3) AS bias, round(sqrt(avg(d * d)), 3) AS rmse, round(corr(m, o), 3) AS corr FROM b GROUP BY ALL HAVING count(*) >= 24""")
+def gauge_to_skill(spark, sf_dir):
+    """One run from gauge texts to scores: catalogue, nearest node, the node's series, skill. Gauges and a mesh of five nodes are made of the events."""
+    from tidelake.schema import NO_LEVEL
+    from tidelake.sources.files import gauge_headers, gauge_rows
+
+    e, k = table(spark, sf_dir, "events"), F.col("event_id")
+    node = F.col("user_id") % 5
+    mesh = e.select(node.alias("node_index"), (node * 10.0).alias("lon"), (node * 7.0 - 20).alias("lat")).distinct()
+    path = F.concat(F.lit("gauges/station-"), (node + 100).cast("string"), F.lit(".txt"))
+    heads = mesh.select(F.concat(F.lit("gauges/station-"), (F.col("node_index") + 100).cast("string"), F.lit(".txt")).alias("path"), F.concat_ws("\n", F.concat(F.lit("# LATITUDE "), (F.col("lat") - 0.25).cast("string")), F.concat(F.lit("# LONGITUDE "), (F.col("lon") + 0.125).cast("string"))).alias("value"))
+    level = F.when(k % 7 == 0, F.lit(str(NO_LEVEL))).otherwise((k % 1000 / 100).cast("string"))
+    lines = e.filter("event_type <> 'view'").select(path.alias("file"), F.concat_ws("  ", F.date_format("ts", "yyyy/MM/dd HH:mm:ss"), level, F.lit("1"), F.when(k % 5 == 0, "0").otherwise("1")).alias("value"))
+    series = e.filter("event_type = 'view'").select(node.alias("node_index"), C.hours_since_epoch(F.col("ts")).alias("time_h"), "value")
+    near = stations.matched(gauge_headers(heads), spatial.index_mesh(mesh))
+    got = stations.scored(near, series, gauge_rows(lines))
+    return got.select("filename", "node_index", F.round("dist_km", 6).alias("dist_km"), "n", *(F.round(c, 3).alias(c) for c in ("bias", "rmse", "corr")))

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import naming
 from tidelake.operators import extract as X
-from tidelake.operators import periods, spatial, tides
+from tidelake.operators import periods, spatial, stations, tides
 from tidelake.plans import metadata as M
-from tidelake.sources import files, sinks
+from tidelake.sources import files, scratch, sinks
 from tidelake.streaming import incremental
 
 
@@ -127,3 +127,15 @@ def monthly_max(spark: SparkSession, hourly_path: str, variable: str, out_dir: s
     """Each node's monthly maxima at least a day apart; the table's path."""
     counted = {"n_adjusted_node_months": F.coalesce(F.sum("n_excluded"), F.lit(0)).cast("long"), "n_node_months_with_adjustment": F.count_if("adjusted")}
     return _maxima(spark, hourly_path, variable, out_dir, "MonthlyMax", force, yaml_path, fields, lambda s, c, t: periods.monthly_max(s, calendar=c, convention=t, check="inside"), "time: maximum within months, 24 h apart", counted)
+
+
+def skill(spark: SparkSession, gauges: str, mesh_path: str, mesh_series_path: str, out_path: str, start: str | None = None, end: str | None = None, max_km: float = 50.0, index_path: str | None = None, force: bool = False) -> str:
+    """From gauge files to scores: the stations whose period meets start .. end, their nearest nodes, those nodes' series, and the skill at each; the table's path."""
+    if sinks.is_done(spark, out_path) and not force:
+        return out_path
+    mesh = spark.read.parquet(mesh_path)
+    index = spark.read.parquet(index_path) if index_path and sinks.is_done(spark, index_path) else spatial.index_mesh(mesh, index_path)
+    near = scratch.stored(stations.matched(files.station_catalogue(spark, gauges, start, end), index, max_km), "stations")
+    series = X.clip(spark.read.parquet(mesh_series_path), start, end)
+    sinks.write_table(stations.scored(near, series, files.read_gauges(spark, gauges, start, end)), out_path, None, True)
+    return out_path
