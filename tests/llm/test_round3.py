@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidelake.llm import alignment, language_id, merkle, registry, warc
+from tidelake.llm import alignment, language_id, merkle, passages, registry, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASH = "leaf altered g n idx seg level __mid __part __row __all first before to more digest held_out lang_pred score n_a n_b n_groups n_links groups_sha256 pairs times pair best n_best count_sum".split()
@@ -280,3 +280,9 @@ def test_index_merge_in_ranges_of_bounded_size(spark):
     sizes = Counter(r["part"] for r in parts)
     assert len(parts) == 3000 and len(sizes) > 20 and max(sizes.values()) < 1000
     assert keys == sorted(keys)
+
+
+def test_groups_of_passages(spark):
+    found = spark.createDataFrame([(5, 9, "passage"), (9, 2, "passage"), (7, 8, "copy"), (8, 11, "passage"), (5, 2, "passage")], "doc_id long, twin_id long, kind string")
+    assert {(r["doc_id"], r["group_id"]) for r in passages.groups(found).collect()} == {(2, 2), (5, 2), (9, 2), (7, 7), (8, 7), (11, 7)}
+    assert passages.groups(found.limit(0)).count() == 0

@@ -40,6 +40,7 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from itertools import accumulate
@@ -48,11 +49,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm import bitmap, near_dedup
-from tidelake.llm.base import GOLD, by_bytes, materialise, mix, rolling, text_of, word_hashes, word_places
+from tidelake.llm.base import GOLD, by_bytes, materialise, mix, rolling, shared_dir, text_of, word_hashes, word_places
 
 HASHES, ENOUGH, WORDS, LEAST, SIMILARITY, SMALL, FEW, GAP, BLOCK = 5, 2, 5, 50, 80, 16, 64, 15, 512
 #: Shingles of the runs by which large groups are told apart; two texts that share LONG shingles in a row share a chosen run.
@@ -288,15 +289,16 @@ def _promising(spans: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for some in by_bytes(b, 2, SLICE):
-                sets = [np.unique(np.frombuffer(s, np.int64)) for s in some.column(2).to_pylist()]
-                sizes = [len(s) for s in sets]
-                row = np.repeat(np.arange(len(sets)), sizes)
-                yield pa.RecordBatch.from_arrays([*(some.column(i).take(pa.array(row)) for i in (0, 1, 3, 4)), pa.array(np.concatenate(sets))], ["__band", "__node", "__id", "__need", "__h"])
+                sets = [np.unique(np.frombuffer(s, np.uint64)) for s in some.column(2).to_pylist()]
+                row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+                # Run and shingle as one number: where two pairs share one, a row stays too long, never the other way round.
+                key = mix(np.concatenate(sets) ^ mix(some.column(0).to_numpy().view(np.uint64) * GOLD)[row])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(some.column(i).take(pa.array(row)) for i in (1, 3))], ["__h", "__node", "__id"])
 
-    rows = spans.select("__band", "__node", "__span", "__id", "__need").mapInArrow(run, "__band long, __node long, __id long, __need long, __h long")
-    common = rows.groupBy("__band", "__h").agg(F.min("__id").alias("__p"), F.max("__id").alias("__q")).filter("__p <> __q").select("__band", "__h")
-    counted = rows.join(common, ["__band", "__h"]).groupBy("__node", "__need").agg(F.count("*").alias("__n"))
-    return spans.join(counted.filter("__n >= __need").select("__node"), "__node", "left_semi")
+    rows = spans.select("__band", "__node", "__span", "__id").mapInArrow(run, "__h long, __node long, __id long")
+    common = rows.groupBy("__h").agg(F.min("__id").alias("__p"), F.max("__id").alias("__q")).filter("__p <> __q").select("__h")
+    counted = rows.select("__h", "__node").join(common, "__h").groupBy("__node").agg(F.count("*").alias("__n"))
+    return spans.join(counted, "__node").filter("__n >= __need").drop("__n")
 
 
 def _spans(crowded: DataFrame, texts: DataFrame, words: int, width: int, similarity: int) -> DataFrame:
@@ -307,7 +309,7 @@ def _spans(crowded: DataFrame, texts: DataFrame, words: int, width: int, similar
     """
     kinds = {"__band": "long", "__node": "long", "__root": "long", "__at": "long", "__rest": "boolean"}
     lists = _listed(crowded.select("__id", F.struct(*kinds).alias("__x")), "__x")
-    near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists.hint("merge"), "__id").select("__id", "__w", "__text")
+    near = texts.join(lists.hint("shuffle_hash"), "__id").select("__id", "__w", "__text")
     names = [*kinds, "__id", "__lr", "__need", "__span"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -709,17 +711,18 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
     sizes = materialise(runs.groupBy("__key").agg(F.count("*").alias("__m")).filter("__m > 1"), "runs")
     common = runs.join(sizes.filter(F.col("__m") > few), "__key")
     rects = _paired(rare).unionByName(_paired(runs.join(sizes.filter(F.col("__m") <= few), "__key").drop("__at"))).unionByName(_starred(common), allowMissingColumns=True)
-    checked = materialise(_checked(_supported(rects, width, enough), base, words, least, similarity), "passages")
+    stored = _stored(docs.sparkSession, texts, least)
+    checked = materialise(_checked(_supported(rects, width, enough), stored, words, least, similarity), "passages")
     found = checked.filter("kind = 'passage'")
     left = checked.filter("kind = 'open'").select(F.col("twin_id").alias("__key"), F.col("doc_id").alias("__id"), F.col("start").alias("__at"))
     if not left.isEmpty():
-        spans = materialise(_spans(_crowded(common, left), base, words, width, similarity), "spans")
+        spans = materialise(_spans(_crowded(common, left), stored, words, width, similarity), "spans")
         members = materialise(_promising(spans), "members")
         near = materialise(_pivoted(_sized(members), width, similarity, block), "pivoted")
         roots = materialise(near.filter("not __link").groupBy(F.col("__old").alias("__id")).agg(F.min("__new").alias("__root")), "roots")
         placed = near_dedup.relabel(near_dedup.relabel(members, "__root", roots), "__root", roots).drop("__rest")
         rects = near.unionByName(_blocks(near_dedup._crowded(placed), width, similarity, block)).filter("__link").drop("__old", "__new", "__link")
-        found = found.unionByName(_checked(_supported(rects, width, enough), base, words, least, similarity)).distinct()
+        found = found.unionByName(_checked(_supported(rects, width, enough), stored, words, least, similarity)).distinct()
     zero, n = F.lit(0).cast("long"), F.col("__n")
     return found.unionByName(
         copies.select(F.col("__id").alias("doc_id"), F.col("__first").alias("twin_id"), zero.alias("start"), n.alias("n_words"), zero.alias("twin_start"), n.alias("twin_words"), F.lit(1.0).alias("similarity"), F.lit("copy").alias("kind"))
@@ -745,6 +748,18 @@ def _apart(base: DataFrame, copies: DataFrame) -> Mapped:
     return mapped
 
 
+def _stored(spark: SparkSession, texts: Mapped, least: int) -> DataFrame:
+    """__id, __text of the texts that are no copies and long enough for a passage, stored in buckets by __id.
+
+    Stretches are cut out of texts three times; from here on only what is wanted of them moves, not the texts.
+    """
+    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"passages_texts_{uuid.uuid4().hex}"
+    rows = texts(lambda batches: batches, "__id long, __text string").filter(F.char_length("__text") >= 2 * least - 1)
+    writer = rows.repartition(n, "__id").write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/llm-{name}")
+    writer.bucketBy(n, "__id").saveAsTable(name)
+    return spark.table(name)
+
+
 def _supported(rects: DataFrame, width: int, enough: int) -> DataFrame:
     """__a, __b, __home, __regions (flat: l, r, l2, r2 of each), __runs (flat: run, its places) of the pairs of texts that have any; a pair's rectangles come one after another."""
     mask = (1 << 28) - 1
@@ -812,14 +827,13 @@ def _checked(supported: DataFrame, texts: DataFrame, words: int, least: int, sim
 
     A text's stretches are cut out once for each home, as shingle hashes, and meet the home's pairs there: no text
     is sent whole, and no stretch once for a pair. A home has the texts of one group, so its memory is bounded.
-    The merge join keeps the bitmap's Python worker and the map's in two stages: a task never needs both.
     """
     width = least - words + 1
     supported = materialise(supported, "regions")
     side = lambda text, i: supported.select(F.col(text).alias("__id"), "__home", F.explode(F.expr(f"transform(sequence(0, size(__regions) div 4 - 1), k -> shiftleft(__regions[4 * k + {i}], 28) | __regions[4 * k + {i + 1}])")).alias("__s"))
     wanted = side("__a", 0).unionByName(side("__b", 2)).groupBy("__id", "__home").agg(F.collect_set("__s").alias("__s"))
     lists = materialise(_listed(wanted.select("__id", F.struct("__home", "__s").alias("__x")), "__x"), "stretches")
-    near = texts.filter(bitmap.maybe(bitmap.build(lists.select("__id")), "__id")).join(lists.hint("merge"), "__id").select("__id", "__w", "__text")
+    near = texts.join(lists.hint("shuffle_hash"), "__id").select("__id", "__w", "__text")
     names = ["__home", "__pair", "__a", "__b", "__list", "__runs", "__cut"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -875,5 +889,15 @@ def _checked(supported: DataFrame, texts: DataFrame, words: int, least: int, sim
     return both.mapInArrow(run, "doc_id long, twin_id long, start long, n_words long, twin_start long, twin_words long, similarity double, kind string")
 
 
+def groups(found: DataFrame) -> DataFrame:
+    """doc_id, group_id of the documents that find tells of: the smallest doc_id that passages and copies lead to.
+
+    Links of a large group connect its members without naming every pair; a group's members have its group_id in common.
+    """
+    links = found.select(F.col("doc_id").alias("__a"), F.col("twin_id").alias("__b"))
+    members = links.select(F.col("__a").alias("doc_id")).union(links.select("__b")).distinct()
+    return near_dedup.relabel(members.withColumn("group_id", F.col("doc_id")), "group_id", near_dedup.components(links))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return find(spark.read.parquet(f"{sf_dir}/documents.parquet"))
