@@ -155,12 +155,14 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> np.ndarray:
 def scored(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
     """row (a struct of the columns of docs, whatever their names), score (double) and predicted (int)."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
-    rows = docs.select(F.struct("*").alias("row"), text_of().alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
+    at = [c.lower() for c in docs.columns].index("text")  # read where it lies: a text goes to the worker once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for some in by_bytes(b, 1, SLICE):
-                s = score(some.column(1).to_pylist(), sent.value)
+            both = pa.RecordBatch.from_arrays([b.column(0), b.column(0).field(at)], ["row", "text"])
+            for some in by_bytes(both, 1, SLICE):
+                s = score([t or "" for t in some.column(1).to_pylist()], sent.value)
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["row", "score", "predicted"])
 
     kind = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
