@@ -20,9 +20,11 @@ number (optimal densification), so that small sets can be banded too.
    and the remaining pairs between components are checked.
 5. Large bands that still hold several components are compared in blocks: the
    band's rows outside its largest component, `block` at a time, with all its rows,
-   `block` at a time. A task compares two blocks' whole sets and returns a pair for
-   two components at most; these are verified as in 4. So no pair of a large band
-   is left out, and no group's pairs are ever listed.
+   `block` at a time. Two blocks' sketches meet first; of the rows whose sketch comes near one of
+   another component, whole sets are compared, and a pair for two components at most
+   is returned; these are verified as in 4. So no pair of a large band
+   is left out but by the sketches' five deviations, no group's pairs are ever listed, and a text is only sent
+   to the blocks where it has a likely partner.
 
 Components are tables throughout: each round hooks every root to its smallest
 neighbour, then jumps pointers until all are roots.
@@ -49,6 +51,8 @@ from tidelake.llm.base import GOLD, by_bytes, lower_ascii, materialise, mix, tex
 BUCKET_BITS, MANTISSA_BITS, ROWS = 7, 10, 4
 BUCKETS, BANDS = 1 << BUCKET_BITS, (1 << BUCKET_BITS) // ROWS
 WORDS, SIMILARITY, SMALL, BLOCK, SURE = 5, 80, 16, 256, 256
+#: Bytes of text that a task turns into words at once when it verifies pairs.
+VERIFIED = 4 << 20
 
 
 def shingle_set(text: str, n: int) -> set[tuple[str, ...]]:
@@ -211,8 +215,8 @@ def verify(pairs: DataFrame, docs: DataFrame, words: int, similarity: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 256):
-                some, ok, last = b.slice(k, 256), [], (None, None)
+            for some in (half for x in by_bytes(b, 2, VERIFIED) for half in by_bytes(x, 3, VERIFIED)):
+                ok, last = [], (None, None)
                 for x, y in zip(some.column(2).to_pylist(), some.column(3).to_pylist()):
                     if last[0] != x:
                         last = x, shingle_set(x, words)
@@ -272,18 +276,40 @@ def _crowded(placed: DataFrame) -> DataFrame:
     return placed.join(bands, "__band").withColumn("__rest", F.col("__root") != F.col("__top")).drop("__top")
 
 
-def _blocks(crowded: DataFrame, docs: DataFrame, words: int, similarity: int, block: int) -> DataFrame:
+def _blocks(crowded: DataFrame, classes: DataFrame, docs: DataFrame, words: int, similarity: int, block: int) -> DataFrame:
     """Links between different components of a band, one for each two components of a group at most.
 
     The rows outside the largest component are dealt to blocks, and so are all
     rows; each block of the former meets each of the latter in a group of its own.
-    There the sets' intersections come from products of 0/1 matrices.
+    Sketches meet first. Only rows whose sketch comes near one of another component send their text to the
+    group; there the sets' intersections come from products of 0/1 matrices.
     """
     k = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
     dealt = crowded.withColumns({"__i": F.pmod(F.xxhash64("__id"), k("__few")).cast("int"), "__j": F.pmod(F.xxhash64("__id"), k("__all")).cast("int")})
     every = F.sequence(F.lit(0), k("__few") - 1)
     left = dealt.filter("__rest").select("__band", "__id", "__root", F.lit(True).alias("__left"), "__i", F.explode(F.sequence(F.lit(0), k("__all") - 1)).alias("__j"))
     right = dealt.select("__band", "__id", "__root", F.lit(False).alias("__left"), F.explode(every).alias("__i"), "__j")
+    keys = ["__band", "__i", "__j"]
+
+    def likely(pdf: pd.DataFrame) -> pd.DataFrame:
+        one, two = pdf[pdf["__left"]], pdf[~pdf["__left"]]
+        if not len(one) or not len(two):
+            return pdf.head(0)[names]
+        regs, theirs = (np.frombuffer(b"".join(x["__regs"]), np.uint16).reshape(-1, BUCKETS) for x in (one, two))
+        n, m = one["__n"].to_numpy(), two["__n"].to_numpy()
+        mine, others = np.zeros(len(one), bool), np.zeros(len(two), bool)
+        for low in range(0, len(one), 32):
+            some = slice(low, low + 32)
+            equal = (regs[some, None, :] == theirs[None, :, :]).sum(2)
+            ok = _near(estimate(equal, n[some, None], m[None, :]), n[some, None], m[None, :], similarity)
+            ok &= one["__root"].to_numpy()[some, None] != two["__root"].to_numpy()[None, :]
+            mine[some] = ok.any(1)
+            others |= ok.any(0)
+        return pd.concat([one[mine], two[others]])[names]
+
+    names = [*keys, "__id", "__root", "__left"]
+    drawn = left.unionByName(right).join(classes.select("__id", "__n", "__regs"), "__id")
+    near = materialise(drawn.groupBy(*keys).applyInPandas(likely, "__band long, __i int, __j int, __id long, __root long, __left boolean"), "likely")
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), text_of().alias("__text"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -297,8 +323,7 @@ def _blocks(crowded: DataFrame, docs: DataFrame, words: int, similarity: int, bl
                 out[key] = max(out.get(key, (0.0, 0, 0)), (float(share[i, j]), int(min(ids[i], others[j])), int(max(ids[i], others[j]))))
         return pd.DataFrame([v[1:] for v in out.values()], columns=["__a", "__b"], dtype="int64")
 
-    sent = left.unionByName(right).join(texts, "__id")
-    return sent.groupBy("__band", "__i", "__j").applyInPandas(run, "__a long, __b long").distinct()
+    return near.join(texts, "__id").groupBy(*keys).applyInPandas(run, "__a long, __b long").distinct()
 
 
 def _similarities(one: list[np.ndarray], two: list[np.ndarray], columns: int = 16384) -> np.ndarray:
@@ -367,7 +392,7 @@ def _linked(classes: DataFrame, docs: DataFrame, words: int, similarity: int, sm
     crowded = materialise(_crowded(placed), "crowded")
     if crowded.isEmpty():
         return roots
-    return _grown(roots, verify(_blocks(crowded, docs, words, similarity, block), docs, words, similarity))
+    return _grown(roots, verify(_blocks(crowded, classes, docs, words, similarity, block), docs, words, similarity))
 
 
 def _grown(roots: DataFrame | None, links: DataFrame) -> DataFrame:
