@@ -21,8 +21,8 @@ def three_files(spark, late=130):
     rows = []
     for k, year in enumerate((1979, 1980, 1981)):
         start = H79 + 8760 * k
-        rows += [(0, year, start + h, None if h % 90 == 0 else g.normal()) for h in range(0, 8760, 3)]
-        rows += [(1, year, start + h, g.normal()) for h in range(late, 8760, 3)]
+        rows += [(0, year, start + h, None if h % 90 == 0 else g.normal()) for h in range(0, 8760, 6)]
+        rows += [(1, year, start + h, g.normal()) for h in range(late, 8760, 6)]
     return rows
 
 
@@ -363,3 +363,16 @@ def test_skill_from_files_and_on_the_command_line(spark, tmp_path):
     for bad in (["extract"], ["daily-max", "--hourly", "x", "--variable", "other", "--output-dir", "y"], []):
         with pytest.raises(SystemExit):
             cli.parser().parse_args(bad)
+
+
+def test_a_clip_of_yearly_files_opens_those_years(spark, tmp_path):
+    from tidelake.operators import extract
+
+    rows = [(0, 1975 + k, H79 + 8766 * (k - 4) + h, float(h)) for k in range(8) for h in range(0, 8000, 400)]
+    series(spark, rows).write.partitionBy("file_year").parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    some = extract.clip(stored, "1979-03-01", "1979-09-01", yearly=True)
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, extract.clip(stored, "1979-03-01", "1979-09-01").collect())) and some.count() > 5
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "file_year" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")] and "GreaterThanOrEqual(time_h" in plan
+    assert {p.split("file_year=")[1][:4] for p in some.inputFiles()} <= {str(y) for y in range(1975, 1983)}

@@ -37,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--mesh-series", required=True, help="table of its series: node_index, file_year, time_h, value")
     p.add_argument("--start-date", help="first instant, inclusive")
     p.add_argument("--end-date", help="last instant, inclusive")
+    p.add_argument("--yearly-files", action="store_true", help="files hold a year each: those of other years aren't opened")
     p.add_argument("--wet-mask", help="table of node_index, always_wet: only nodes that never fall dry are matched")
     p.add_argument("--model-name", choices=sorted(INDEX_SCHEMES), help="the model whose numbering the stored node block follows")
     p.add_argument("--calendar", help="the series' calendar, standard by default")
@@ -67,7 +68,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
     fields = {f: getattr(args, f, None) for f in (*NAMING, "time_stamp_convention")}
     more = {"force": args.force, "yaml_path": args.yaml_path} | {k: v for k, v in fields.items() if v is not None}
     if args.command == "extract":
-        return steps.extract(spark, args.points_csv, args.mesh, args.mesh_series, args.output_dir, args.wet_mask, args.start_date, args.end_date, args.calendar, model_name=args.model_name, index_path=args.mesh_index, **more)
+        return steps.extract(spark, args.points_csv, args.mesh, args.mesh_series, args.output_dir, args.wet_mask, args.start_date, args.end_date, args.calendar, model_name=args.model_name, index_path=args.mesh_index, yearly=args.yearly_files, **more)
     if args.command == "detide":
         return steps.detide(spark, args.hourly, args.output_dir, allow_rank_deficient=args.allow_rank_deficient, per_node_mask=args.per_node_mask, state_dir=args.state_dir, **more)
     step = steps.daily_max if args.command == "daily-max" else steps.monthly_max

@@ -13,15 +13,23 @@ def dry_to_null(value: Column) -> Column:
     return F.when(value >= DRY, value)
 
 
-def clip(series: DataFrame, start: str | None = None, end: str | None = None, calendar: str | None = None) -> DataFrame:
-    """Rows from start to end, both inclusive: `y-m-d[ h:m:s]` in the series' calendar. On stored series the bounds reach the scan."""
+def clip(series: DataFrame, start: str | None = None, end: str | None = None, calendar: str | None = None, yearly: bool = False) -> DataFrame:
+    """Rows from start to end, both inclusive: `y-m-d[ h:m:s]` in the series' calendar. On stored series the bounds reach the scan.
+
+    yearly: each file holds instants of its own year, and of the next at most its first; then the files of other
+    years aren't opened, as file_year is the partition of stored series.
+    """
     for bound, keep in ((start, lambda b: F.col("time_h") >= b), (end, lambda b: F.col("time_h") <= b)):
         if bound is not None:
             series = series.filter(keep(C.axis_hours(F.lit(0.0), f"hours since {bound}", calendar)))
+    if yearly and start is not None:
+        series = series.filter(F.col("file_year") >= int(start.split("-")[0]) - 1)
+    if yearly and end is not None:
+        series = series.filter(F.col("file_year") <= int(end.split("-")[0]))
     return series
 
 
-def extract(mesh_series: DataFrame, nodes: DataFrame, start: str | None = None, end: str | None = None, calendar: str | None = None, small_rows: int = 1_000_000) -> DataFrame:
+def extract(mesh_series: DataFrame, nodes: DataFrame, start: str | None = None, end: str | None = None, calendar: str | None = None, small_rows: int = 1_000_000, yearly: bool = False) -> DataFrame:
     """node_id, file_year, time_h, value (float; null where dry) of the nodes; nodes that several points share come back for each.
 
     mesh_series: node_index, file_year, time_h, value. The nodes are broadcast only
@@ -29,7 +37,7 @@ def extract(mesh_series: DataFrame, nodes: DataFrame, start: str | None = None,
     """
     keys = nodes.select("node_id", "node_index")
     keys = F.broadcast(keys) if keys.limit(small_rows + 1).count() <= small_rows else keys
-    got = clip(mesh_series, start, end, calendar).join(keys, "node_index")
+    got = clip(mesh_series, start, end, calendar, yearly).join(keys, "node_index")
     return got.select("node_id", "file_year", "time_h", dry_to_null(F.col("value")).cast("float").alias("value"))
 
 

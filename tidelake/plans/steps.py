@@ -48,10 +48,10 @@ def _extent(spark: SparkSession, path: str) -> dict[str, object]:
     return {k: v for k, v in told.items() if k.startswith("geospatial_") or k in ("model_name", "source_csv")}
 
 
-def extract(spark: SparkSession, points_csv: str, mesh_path: str, mesh_series_path: str, out_dir: str, mask_path: str | None = None, start: str | None = None, end: str | None = None, calendar: str | None = None, force: bool = False, yaml_path: str | None = None, model_name: str | None = None, index_path: str | None = None, **naming_fields: str) -> str:
+def extract(spark: SparkSession, points_csv: str, mesh_path: str, mesh_series_path: str, out_dir: str, mask_path: str | None = None, start: str | None = None, end: str | None = None, calendar: str | None = None, force: bool = False, yaml_path: str | None = None, model_name: str | None = None, index_path: str | None = None, yearly: bool = False, **naming_fields: str) -> str:
     """Hourly water levels at the points' nodes, and the nodes beside them; the table's path.
 
-    index_path: a stored index of the mesh (spatial.index_mesh), built where it isn't there yet; with a mask it must be one of the wet nodes.
+    index_path: a stored index of the mesh (spatial.index_mesh), built where it isn't there yet; with a mask it must be one of the wet nodes. yearly: see extract.clip.
     """
     meta = M.load(yaml_path, None, **naming_fields)
     naming.check_naming(meta)
@@ -68,7 +68,7 @@ def extract(spark: SparkSession, points_csv: str, mesh_path: str, mesh_series_pa
     _write_nodes(nodes, path, meta, model_name, {"source_csv": points_csv.rsplit("/", 1)[-1]})
     nodes = files.read_nodes(spark, f"{path}.nodes")
     attrs = M.attributes(meta, "Hourly total water level", f"Hourly water level at {naming.point_set(meta['location'])[0]}", "Hourly", "WaterLevel", calendar=calendar or "standard") | _extent(spark, path)
-    sinks.write_table(X.extract(source, nodes, start, end, calendar), path, attrs, True, "file_year", *_covered(spark, calendar))
+    sinks.write_table(X.extract(source, nodes, start, end, calendar, yearly=yearly), path, attrs, True, "file_year", *_covered(spark, calendar))
     return path
 
 

@@ -99,9 +99,15 @@ def gauge_headers(files: DataFrame) -> DataFrame:
 
 
 def station_catalogue(spark: SparkSession, path: str, sim_start: str | None = None, sim_end: str | None = None) -> DataFrame:
-    """A row for each readable gauge file that isn't hidden; with both bounds, those whose period meets the simulation's."""
-    got = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
-    out = gauge_headers(got.filter(~F.col("path").rlike(r"/\.[^/]*$")))
+    """A row for each readable gauge file that isn't hidden; with both bounds, those whose period meets the simulation's.
+
+    Files are read by lines, in splits: only the marked lines of a file's first split go on, HEADER_LINES of them at most, in their order.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
+    marked = lines.filter((F.col("split") == 0) & F.contains("value", F.lit("#")) & ~F.col("path").rlike(r"/\.[^/]*$"))
+    first = marked.withColumn("rank", F.row_number().over(Window.partitionBy("path").orderBy("at"))).filter(F.col("rank") <= HEADER_LINES)
+    heads = first.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))), lambda x: x["value"]), "\n").alias("value"))
+    out = gauge_headers(heads)
     if sim_start and sim_end:
         bounds = (F.lit(x).cast("timestamp") for x in (sim_start, sim_end))
         out = out.filter(overlaps(F.col("start_date"), F.col("end_date"), *bounds))
