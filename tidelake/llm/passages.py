@@ -284,21 +284,28 @@ def _sized(members: DataFrame) -> DataFrame:
 
 
 def _promising(spans: DataFrame) -> DataFrame:
-    """The rows of spans that have as many distinct shingles in common with others of their run as a passage needs."""
+    """The rows of spans without those __rest that have fewer distinct shingles in common with others of their run than a passage needs.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for some in by_bytes(b, 2, SLICE):
-                sets = [np.unique(np.frombuffer(s, np.uint64)) for s in some.column(2).to_pylist()]
-                row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-                # Run and shingle as one number: where two pairs share one, a row stays too long, never the other way round.
-                key = mix(np.concatenate(sets) ^ mix(some.column(0).to_numpy().view(np.uint64) * GOLD)[row])
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(some.column(i).take(pa.array(row)) for i in (1, 3))], ["__h", "__node", "__id"])
+    The others have a passage with the run's first text: their shingles are only met, by hash, and not looked up again.
+    """
+
+    def shingles(rows: DataFrame, columns: str, schema: str) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for some in by_bytes(b, 1, SLICE):
+                    sets = [np.unique(np.frombuffer(s, np.uint64)) for s in some.column(1).to_pylist()]
+                    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+                    # Run and shingle as one number: where two pairs share one, a row stays too long, never the other way round.
+                    key = mix(np.concatenate(sets) ^ mix(some.column(0).to_numpy().view(np.uint64) * GOLD)[row])
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(c.take(pa.array(row)) for c in some.columns[2:])], ["__h", *columns.split()])
+
+        return rows.select("__band", "__span", *columns.split()).mapInArrow(run, schema)
 
-    rows = spans.select("__band", "__node", "__span", "__id").mapInArrow(run, "__h long, __node long, __id long")
-    common = rows.groupBy("__h").agg(F.min("__id").alias("__p"), F.max("__id").alias("__q")).filter("__p <> __q").select("__h")
-    counted = rows.select("__h", "__node").join(common, "__h").groupBy("__node").agg(F.count("*").alias("__n"))
-    return spans.join(counted, "__node").filter("__n >= __need").drop("__n")
+    met = shingles(spans, "__id __rest", "__h long, __id long, __rest boolean")
+    common = met.groupBy("__h").agg(F.min("__id").alias("__p"), F.max("__id").alias("__q"), F.bool_or("__rest").alias("__asked")).filter("__p <> __q and __asked").select("__h")
+    rest = spans.filter("__rest")
+    counted = shingles(rest, "__node", "__h long, __node long").join(common, "__h").groupBy("__node").agg(F.count("*").alias("__n"))
+    return spans.filter("not __rest").unionByName(rest.join(counted, "__node").filter("__n >= __need").select(spans.columns))
 
 
 def _spans(crowded: DataFrame, texts: DataFrame, words: int, width: int, similarity: int) -> DataFrame:
@@ -720,8 +727,11 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
         members = materialise(_promising(spans), "members")
         near = materialise(_pivoted(_sized(members), width, similarity, block), "pivoted")
         roots = materialise(near.filter("not __link").groupBy(F.col("__old").alias("__id")).agg(F.min("__new").alias("__root")), "roots")
-        placed = near_dedup.relabel(near_dedup.relabel(members, "__root", roots), "__root", roots).drop("__rest")
-        rects = near.unionByName(_blocks(near_dedup._crowded(placed), width, similarity, block)).filter("__link").drop("__old", "__new", "__link")
+        # Only what is compared again moves with its shingles.
+        node = ["__band", "__id", "__at"]
+        placed = near_dedup.relabel(members.select(*node, "__node", "__root").distinct(), "__root", near_dedup.relabel(roots, "__root", roots))
+        again = members.select(*node, "__lr", "__need", "__span").join(near_dedup._crowded(placed), node)
+        rects = near.unionByName(_blocks(again, width, similarity, block)).filter("__link").drop("__old", "__new", "__link")
         found = found.unionByName(_checked(_supported(rects, width, enough), stored, words, least, similarity)).distinct()
     zero, n = F.lit(0).cast("long"), F.col("__n")
     return found.unionByName(
