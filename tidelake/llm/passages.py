@@ -41,7 +41,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from itertools import accumulate
 
@@ -49,11 +49,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm import bitmap, near_dedup
-from tidelake.llm.base import GOLD, by_bytes, materialise, mix, rolling, shared_dir, text_of, word_hashes, word_places
+from tidelake.llm.base import GOLD, SPACE, by_bytes, materialise, mix, rolling, shared_dir, text_of, word_hashes, word_places
 
 HASHES, ENOUGH, WORDS, LEAST, SIMILARITY, SMALL, FEW, GAP, BLOCK = 5, 2, 5, 50, 80, 16, 64, 15, 512
 #: Shingles of the runs by which large groups are told apart; two texts that share LONG shingles in a row share a chosen run.
@@ -129,19 +129,31 @@ def text_windows(h: np.ndarray, sizes: np.ndarray, width: int, hashes: int) -> I
     for f in range(hashes if len(h) else 0):
         values = mix(h ^ mix(np.array([f + 1], np.uint64) * GOLD)[0])
         l, c, r = compact_windows(values, starts, width)
-        order = np.lexsort((c, values[c], row[c]))
-        again = (row[c][order][1:] == row[c][order][:-1]) & (values[c][order][1:] == values[c][order][:-1])
-        if again.any():
-            some = np.sort(order[np.append(again, False) | np.append(False, again)])  # in the order of c
-            span = rolling.stretches(h, l[some], r[some] + 1)
-            first = np.unique(np.stack([row[c[some]].astype(np.uint64), values[c[some]], span, (c - l)[some].astype(np.uint64)], 1), axis=0, return_index=True)[1]
+        some = _repeated(values[c])
+        some = some[_repeated(values[c[some]] ^ mix(row[c[some]].astype(np.uint64) * GOLD))]  # in one text, and the few that another's meets by chance
+        if len(some):
             kept = np.ones(len(c), bool)
             kept[some] = False
-            kept[some[first]] = True
+            kept[some[_firsts(row[c[some]], values[c[some]], rolling.stretches(h, l[some], r[some] + 1), (c - l)[some])]] = True
             l, c, r = l[kept], c[kept], r[kept]
         yield row[c], values[c].view(np.int64), l, c, r
 
 
+def _repeated(x: np.ndarray) -> np.ndarray:
+    """Places, in order, of the values that come more than once."""
+    order = np.argsort(x)
+    same = x[order[1:]] == x[order[:-1]]
+    return np.sort(order[np.append(same, False) | np.append(False, same)[: len(x)]]) if same.any() else order[:0]
+
+
+def _firsts(*columns: np.ndarray) -> np.ndarray:
+    """The first place of each distinct row of the columns."""
+    order = np.lexsort(columns)
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[order[1:]] != c[order[:-1]] for c in columns], axis=0)
+    return order[new]
+
+
 def shared_keys(texts: Mapped, words: int, least: int, hashes: int, parts: int) -> DataFrame:
     """__key, __m: the windows' keys that several texts have, and how many windows have them.
 
@@ -217,7 +229,7 @@ def runs_around(h: np.ndarray, sizes: np.ndarray, c: np.ndarray, l: np.ndarray,
     p = np.where(even[p], np.flatnonzero(cut)[stretch[p]], p)
     own = row[p]
     around = rolling.stretches(h, np.maximum(starts[own], p - AROUND), np.minimum(ends[own], p + RUN + AROUND))
-    once = np.sort(np.unique(np.stack([own.astype(np.uint64), hashed[p], around], 1), axis=0, return_index=True)[1])
+    once = np.sort(_firsts(own, hashed[p], around))
     p, own = p[once], own[once]
     low, high = np.maximum(low[once], starts[own]), np.minimum(high[once], ends[own] - 1)
     return own, hashed[p].view(np.int64), p - starts[own], np.minimum(low, p) - starts[own], np.maximum(high, p + RUN - 1) - starts[own]
@@ -541,14 +553,16 @@ def _voted(rects: np.ndarray, sizes: np.ndarray, width: int, enough: int, most:
 def _runs(places: np.ndarray, gap: int) -> list[tuple[int, int]]:
     if not len(places):
         return []
-    cut = np.flatnonzero(np.diff(places) > gap)
-    return list(zip(places[np.append(0, cut + 1)].tolist(), places[np.append(cut, len(places) - 1)].tolist()))
+    cut = (places[1:] - places[:-1] > gap).nonzero()[0]
+    return list(zip([int(places[0]), *places[cut + 1].tolist()], [*places[cut].tolist(), int(places[-1])]))
 
 
 def passages(a: np.ndarray, b: np.ndarray, region: tuple[int, int, int, int], width: int, similarity: int) -> list[tuple[int, int, int, int, float]]:
     """start, end, start2, end2 (shingles, inclusive) and similarity of the passages of a region that pass on the full sets."""
     l, r, l2, r2 = region
-    codes = np.unique(np.concatenate([a[l : r + 1], b[l2 : r2 + 1]]), return_inverse=True)[1]
+    both = np.concatenate([a[l : r + 1], b[l2 : r2 + 1]])
+    order, codes = np.argsort(both), np.zeros(len(both), np.int64)
+    codes[order[1:]] = np.cumsum(both[order[1:]] != both[order[:-1]])
     x, y, most = codes[: r - l + 1], codes[r - l + 1 :], len(codes)
 
     def among(z: np.ndarray) -> np.ndarray:
@@ -557,16 +571,17 @@ def passages(a: np.ndarray, b: np.ndarray, region: tuple[int, int, int, int], wi
         return out
 
     out, long_y = [], None
-    for s, e in _runs(np.flatnonzero(among(y)[x]), GAP):
+    shared = among(y)[x].nonzero()[0]
+    for s, e in _runs(shared, GAP):
         if e - s + 1 < width:
             continue
         known, mine = [], x[s : e + 1]
-        for s2, e2 in _runs(np.flatnonzero(among(mine)[y]), GAP):
+        for s2, e2 in _runs(among(mine)[y].nonzero()[0], GAP):
             if e2 - s2 + 1 < width:
                 continue
             # Trim to what the two stretches share, then compare whole sets.
             theirs = among(y[s2 : e2 + 1])
-            both = np.flatnonzero(theirs[mine])
+            both = theirs[mine].nonzero()[0]
             p, q = s + both[0], s + both[-1]
             kept = among(x[p : q + 1])
             same, union = np.count_nonzero(kept & theirs), np.count_nonzero(kept | theirs)
@@ -575,10 +590,15 @@ def passages(a: np.ndarray, b: np.ndarray, region: tuple[int, int, int, int], wi
                 known.append((int(p), int(q)))
         # What no stretch that is similar as a whole holds: its longest similar parts, then equal runs.
         for lo, hi in _left(s, e, known, width):
+            if not _may_be_similar(_between(shared, lo, hi), width, similarity):
+                continue
             for p, q, p2, q2, j in _similar_parts(x[lo : hi + 1], y, width, similarity):
                 out.append((int(l + lo + p), int(l + lo + q), int(l2 + p2), int(l2 + q2), j))
                 known.append((lo + p, lo + q))
         for lo, hi in _left(s, e, known, width):
+            at = _between(shared, lo, hi)
+            if not (at[width - 1 :] - at[: max(0, len(at) - width + 1)] == width - 1).any():
+                continue  # not width shared ones in a row
             if long_y is None:
                 long_y = np.unique(_long_runs(b[l2 : r2 + 1], width), return_index=True)
             out += [(l + p, l + q, l2 + p2, l2 + p2 + q - p, 1.0) for p, q, p2 in _equal_runs(a[l + lo : l + hi + 1], lo, width, *long_y)]
@@ -595,31 +615,52 @@ def _left(s: int, e: int, known: list[tuple[int, int]], width: int) -> list[tupl
     return out
 
 
+def _between(places: np.ndarray, low: int, high: int) -> np.ndarray:
+    i, j = np.searchsorted(places, (low, high + 1))
+    return places[i:j]
+
+
+def _may_be_similar(at: np.ndarray, width: int, similarity: int) -> bool:
+    """Whether some stretch of width at least could reach the similarity, if the other text had what is shared (at the places at) and nothing else.
+
+    The sum is that of _similar_parts. A chain has some of these places at most and loses on the other side too.
+    """
+    score = 100 * np.arange(len(at)) - similarity * (at - at[:1])
+    high = np.maximum.accumulate(score[::-1])[::-1]
+    end = np.searchsorted(at, at + (width - 1))
+    end = end[end < len(at)]  # the first ones: at rises
+    return bool((high[end] - score[: len(end)] >= similarity - 100).any())
+
+
 def _chain(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in x with a place of the same code in y: of several, the one that goes on best from the place before."""
     order = np.argsort(y, kind="stable")
-    low, high = np.searchsorted(y[order], x, "left"), np.searchsorted(y[order], x, "right")
-    at = np.flatnonzero(high > low)
-    where, shift = order[low[at].clip(0, max(0, len(order) - 1))], 0
-    many = (high - low)[at] > 1
-    if many.any():
-        for k, i in enumerate(at.tolist()):
-            if many[k]:
-                own = order[low[i] : high[i]]
-                where[k] = own[np.argmin(np.abs(own - i - shift))]
-            shift = int(where[k]) - i
+    sorted_y = y[order]
+    low, high = np.searchsorted(sorted_y, x, "left"), np.searchsorted(sorted_y, x, "right")
+    at = (high > low).nonzero()[0]
+    low, high = low[at], high[at]
+    where = order[low]
+    many = (high - low > 1).nonzero()[0].tolist()
+    if many:
+        places, chosen, own = order.tolist(), where.tolist(), at.tolist()
+        for k, i, j in zip(many, low[many].tolist(), high[many].tolist()):
+            goal = own[k] + (chosen[k - 1] - own[k - 1] if k else 0)
+            m = bisect_left(places, goal, i, j)  # equal codes keep their order: the nearest are those around it
+            chosen[k] = places[m] if m == i or m < j and places[m] - goal < goal - places[m - 1] else places[m - 1]
+        where = np.array(chosen)
     # Short strays from a diagonal that goes on after them count as not shared.
     while len(at):
         shifts = where - at
-        cut = np.flatnonzero(np.append(True, np.abs(np.diff(shifts)) > 2 * GAP))
-        ends = np.append(cut[1:], len(at))
-        stray = np.zeros(len(at), bool)
-        for k in range(1, len(cut) - 1):
-            if ends[k] - cut[k] <= GAP and abs(shifts[cut[k] - 1] - shifts[ends[k]]) <= 2 * GAP and not stray[cut[k] - 1]:
-                stray[cut[k] : ends[k]] = True
-        if not stray.any():
+        cut = (np.abs(shifts[1:] - shifts[:-1]) > 2 * GAP).nonzero()[0] + 1
+        short = ((cut[1:] - cut[:-1] <= GAP) & (np.abs(shifts[cut[:-1] - 1] - shifts[cut[1:]]) <= 2 * GAP)).nonzero()[0].tolist()
+        if not short:
             break
-        at, where = at[~stray], where[~stray]
+        kept, last = np.ones(len(at), bool), -2
+        for k in short:
+            if k - 1 != last:  # of neighbours, every other one
+                kept[cut[k] : cut[k + 1]] = False
+                last = k
+        at, where = at[kept], where[kept]
     return at, where
 
 
@@ -633,14 +674,17 @@ def _similar_parts(x: np.ndarray, y: np.ndarray, width: int, similarity: int) ->
     at, where = _chain(x, y)
     out, todo = [], []
     if len(at):
-        cut = np.flatnonzero((np.diff(where) <= 0) | (np.diff(where) > 4 * GAP) | (np.diff(at) > 4 * GAP)) + 1
-        todo = list(zip([0, *cut.tolist()], [*cut.tolist(), len(at)]))
+        steps, steps2 = at[1:] - at[:-1], where[1:] - where[:-1]
+        cut = np.concatenate([[0], ((steps2 <= 0) | (steps2 > 4 * GAP) | (steps > 4 * GAP)).nonzero()[0] + 1, [len(at)]])
+        long = at[cut[1:] - 1] - at[cut[:-1]] + 1 >= width
+        todo = list(zip(cut[:-1][long].tolist(), cut[1:][long].tolist()))
+        scores = (100 - similarity) * np.arange(len(at))
+        scores[1:] -= similarity * np.cumsum(steps + steps2 - 2)
     while todo:
         i, j = todo.pop()
         if j - i < 2 or at[j - 1] - at[i] + 1 < width:
             continue
-        lost = np.append(0, np.cumsum(np.diff(at[i:j]) - 1 + np.diff(where[i:j]) - 1))
-        score = (100 - similarity) * np.arange(j - i) - similarity * lost
+        score = scores[i:j]
         # The longest stretch k .. m with score[m] - score[k] + (100 - similarity) >= 0: ends by the highest score from there on.
         high = np.maximum.accumulate(score[::-1])[::-1]
         last = np.searchsorted(-high, -(score - (100 - similarity)), "right") - 1
@@ -651,8 +695,8 @@ def _similar_parts(x: np.ndarray, y: np.ndarray, width: int, similarity: int) ->
         if at[m] - at[k] + 1 < width:
             continue
         p, q, p2, q2 = int(at[k]), int(at[m]), int(where[k]), int(where[m])
-        one, two = np.unique(x[p : q + 1]), np.unique(y[p2 : q2 + 1])
-        same = len(np.intersect1d(one, two, assume_unique=True))
+        one, two = set(x[p : q + 1].tolist()), set(y[p2 : q2 + 1].tolist())
+        same = len(one & two)
         union = len(one) + len(two) - same
         if 100 * same >= similarity * union:
             out.append((p, q, p2, q2, same / union))
@@ -683,10 +727,7 @@ def _digests(base: DataFrame, least: int) -> DataFrame:
         for b in batches:
             for some in by_bytes(b, 1):
                 data, starts, stops, sizes = word_places(some.column(1))
-                inside = np.zeros(len(data) + 1, np.int8)
-                inside[starts] += 1
-                np.subtract.at(inside, stops, 1)
-                kept = data[np.cumsum(inside, dtype=np.int8)[:-1] > 0].tobytes()
+                kept = data[~SPACE[data]].tobytes()  # all bytes of words
                 ends = np.append(0, np.cumsum(stops - starts))[np.append(0, np.cumsum(sizes))]
                 ok = np.flatnonzero(sizes >= least)
                 same = [hashlib.sha256(kept[ends[i] : ends[i + 1]]).digest() for i in ok.tolist()]
@@ -706,7 +747,7 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
     classes = materialise(_digests(base, least), "texts")
     firsts = classes.groupBy("__same").agg(F.min("__id").alias("__first"), F.count("*").alias("__k")).filter("__k > 1").drop("__k")
     copies = materialise(classes.join(firsts, "__same").filter("__id <> __first").select("__id", "__first", "__n").distinct(), "copies")
-    texts = _apart(base, copies)
+    texts, rows = _apart(base, copies)
     width = least - words + 1
     n = classes.agg(F.sum("__n")).first()[0] or 0
     parts = int(2 * hashes * n / width / KEYS) + 1  # a text of n words has about 2 n / width windows for a function
@@ -718,7 +759,7 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
     sizes = materialise(runs.groupBy("__key").agg(F.count("*").alias("__m")).filter("__m > 1"), "runs")
     common = runs.join(sizes.filter(F.col("__m") > few), "__key")
     rects = _paired(rare).unionByName(_paired(runs.join(sizes.filter(F.col("__m") <= few), "__key").drop("__at"))).unionByName(_starred(common), allowMissingColumns=True)
-    stored = _stored(docs.sparkSession, texts, least)
+    stored = _stored(rows, least)
     checked = materialise(_checked(_supported(rects, width, enough), stored, words, least, similarity), "passages")
     found = checked.filter("kind = 'passage'")
     left = checked.filter("kind = 'open'").select(F.col("twin_id").alias("__key"), F.col("doc_id").alias("__id"), F.col("start").alias("__at"))
@@ -739,8 +780,8 @@ def find(docs: DataFrame, words: int = WORDS, least: int = LEAST, similarity: in
     )
 
 
-def _apart(base: DataFrame, copies: DataFrame) -> Mapped:
-    """A map over the rows of base that are no copies.
+def _apart(base: DataFrame, copies: DataFrame) -> tuple[Mapped, DataFrame]:
+    """A map over the rows of base that are no copies, and these rows, of which Python sees the ids alone.
 
     A bitmap drops rows inside the map itself, so that a task needs one Python worker; what it can't
     rule out is joined once, and the few rows that are no copies after all are stored.
@@ -755,17 +796,17 @@ def _apart(base: DataFrame, copies: DataFrame) -> Mapped:
 
         return base.select("__id", "__text").mapInArrow(sure, schema).unionByName(rest.mapInArrow(run, schema))
 
-    return mapped
+    return mapped, base.select("__id", "__text").filter(~bitmap.maybe(gone, "__id")).unionByName(rest)
 
 
-def _stored(spark: SparkSession, texts: Mapped, least: int) -> DataFrame:
+def _stored(rows: DataFrame, least: int) -> DataFrame:
     """__id, __text of the texts that are no copies and long enough for a passage, stored in buckets by __id.
 
     Stretches are cut out of texts three times; from here on only what is wanted of them moves, not the texts.
     """
+    spark = rows.sparkSession
     n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"passages_texts_{uuid.uuid4().hex}"
-    rows = texts(lambda batches: batches, "__id long, __text string").filter(F.char_length("__text") >= 2 * least - 1)
-    writer = rows.repartition(n, "__id").write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/llm-{name}")
+    writer = rows.filter(F.char_length("__text") >= 2 * least - 1).repartition(n, "__id").write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/llm-{name}")
     writer.bucketBy(n, "__id").saveAsTable(name)
     return spark.table(name)
 
